@@ -1,0 +1,90 @@
+"""A keyed table fed by micro-batches, as plain Parquet folders.
+
+``<path>/batches/batch=<id>``   reduced rows of one micro-batch
+``<path>/base/version=<id>``    everything up to and including batch ``id``
+``<path>/folds``                one JSON record per finished base version
+
+A replayed micro-batch overwrites its own folder, and reducing is idempotent, so
+replays change nothing. A base version counts once its record exists, which is
+written last: a run that dies half-way leaves the older version in force.
+"""
+
+from pyspark.sql import functions as F
+
+
+class BatchLog:
+    """``reduce`` maps rows to the rows worth keeping; it must be associative and idempotent.
+
+    ``combine(base, recent)`` merges reduced recent rows into the base; by default
+    both are reduced together.
+    """
+
+    def __init__(self, spark, path, schema, reduce, combine=None):
+        self.spark = spark
+        self.path = path
+        self.schema = schema
+        self.reduce = reduce
+        self.combine = combine or (lambda base, recent: reduce(base.unionByName(recent)))
+
+    def _prepare(self):
+        # Writes only when the folders are new, so that readers find something to list.
+        empty = self.spark.createDataFrame([], self.schema)
+        empty.write.mode("ignore").parquet(f"{self.path}/batches/batch=-1")
+        folds = self.spark.createDataFrame([(-1,)], "version long")
+        folds.write.mode("ignore").json(f"{self.path}/folds")
+
+    def write(self, batch, batch_id):
+        """``foreachBatch`` target."""
+        rows = self.reduce(batch).select(*self.schema.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
+
+    def start(self, stream, checkpoint):
+        """Starts the stream that feeds the log with what is available now."""
+        self._prepare()
+        return (
+            stream.writeStream.foreachBatch(self.write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def run(self, stream, checkpoint):
+        """Feeds the log and returns its table."""
+        self.start(stream, checkpoint).awaitTermination()
+        return self.read()
+
+    def _version(self):
+        folds = self.spark.read.schema("version long").json(f"{self.path}/folds")
+        return folds.agg(F.max("version")).first()[0]
+
+    def _recent(self, after):
+        batches = self.spark.read.schema(self.schema).parquet(f"{self.path}/batches")
+        names = self.schema.fieldNames()
+        return self.reduce(batches.filter(F.col("batch") > after).select(*names))
+
+    def read(self):
+        """The table as of the last finished batch."""
+        version = self._version()
+        recent = self._recent(version)
+        if version < 0:
+            return recent
+        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/version={version}")
+        return self.combine(base, recent)
+
+    def fold(self, batch_id):
+        """Writes everything through ``batch_id`` as the new base."""
+        version = self._version()
+        if batch_id <= version:
+            return
+        batches = self.spark.read.schema(self.schema).parquet(f"{self.path}/batches")
+        names = self.schema.fieldNames()
+        due = batches.filter(F.col("batch").between(version + 1, batch_id)).select(*names)
+        rows = self.reduce(due)
+        if version >= 0:
+            base = self.spark.read.schema(self.schema).parquet(
+                f"{self.path}/base/version={version}"
+            )
+            rows = self.combine(base, rows)
+        rows.write.mode("overwrite").parquet(f"{self.path}/base/version={batch_id}")
+        record = self.spark.createDataFrame([(batch_id,)], "version long")
+        record.write.mode("append").json(f"{self.path}/folds")
