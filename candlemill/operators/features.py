@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlemill.functions.numeric import hl_spread, price_change
-from candlemill.operators.slices import SLICE_BARS, fill_both_ways, windowed
+from candlemill.operators.slices import SLICE_BARS, windowed
 from candlemill.schemas import MINUTE_MS
 
 # Window lengths in rows. Training frames reach 15 and 60 rows
@@ -160,8 +160,7 @@ def serve_features(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
         )
 
     back = SERVE_FRAMES["long"] - 1
-    rows = windowed(candles, add, back, 0, interval_ms, slice_bars)
-    return fill_both_ways(rows, list(SERVE_LAGS), 0.0, interval_ms, slice_bars)
+    return windowed(candles, add, back, 0, interval_ms, slice_bars, fill=list(SERVE_LAGS))
 
 
 def reg12_features(
@@ -188,9 +187,8 @@ def reg12_features(
         return df.withColumns(columns)
 
     back, ahead = SERVE_FRAMES["tiny"] - 1, len(extra)
-    rows = windowed(candles, add, back, ahead, interval_ms, slice_bars)
-    filled = fill_both_ways(rows, names, 0.0, interval_ms, slice_bars)
-    return filled.select("symbol", "timestamp", *REG12_INPUTS, *extra)
+    rows = windowed(candles, add, back, ahead, interval_ms, slice_bars, fill=names)
+    return rows.select("symbol", "timestamp", *REG12_INPUTS, *extra)
 
 
 def features(candles, profile, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):

@@ -79,56 +79,66 @@ def _links(counts, back, ahead):
 def with_edges(df, back, ahead, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     """Rows tagged with their slice, plus the edge rows each slice needs from others.
 
-    Compute window columns over ``slice_window()`` and pass the result to
-    ``own_rows``.
+    ``windowed`` computes over ``slice_window()`` and drops the copies.
     """
     sliced = df.withColumn(_SLICE, slice_id(interval_ms, slice_bars))
-    own = sliced.withColumn(_OWN, F.lit(True))
-    if not back and not ahead:
-        return own
+    placed = sliced.repartition("symbol", _SLICE)
+    own = placed.withColumn(_OWN, F.lit(True))
     counts = sliced.groupBy("symbol", _SLICE).agg(F.count("*").alias("n"))
     links = _links(counts, back, ahead)
-    ranked = sliced.withColumn("_first", F.row_number().over(slice_window())).withColumn(
+    ranked = placed.withColumn("_first", F.row_number().over(slice_window())).withColumn(
         "_size", F.count("*").over(W.partitionBy("symbol", _SLICE))
     )
     last = F.col("_size") - F.col("_first") + 1
     edge = (last <= back) | (F.col("_first") <= ahead)
+    # A null-safe join adds no filter below the shuffle, so both uses of `placed`
+    # stay the same plan and the rows are shuffled once.
+    to = links.withColumnsRenamed({"symbol": "_symbol", _SLICE: "_from"})
+    met = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col(_SLICE).eqNullSafe(F.col("_from"))
     copies = (
         ranked.filter(edge)
-        .join(links, ["symbol", _SLICE])
+        .join(to, met)
         .filter((last <= F.col("tail")) | (F.col("_first") <= F.col("head")))
         .select(*df.columns, F.col("_to").alias(_SLICE), F.lit(False).alias(_OWN))
+        .repartition("symbol", _SLICE)
     )
     return own.unionByName(copies)
 
 
-def own_rows(windowed):
-    """Drops the copies and the helper columns."""
-    return windowed.filter(_OWN).drop(_SLICE, _OWN)
-
-
-def windowed(df, add_columns, back=0, ahead=0, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
+def windowed(
+    df, add_columns, back=0, ahead=0, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS, fill=()
+):
     """``add_columns(frame, window)`` evaluated slice by slice.
 
-    ``slice_bars=None`` uses one window per symbol instead: right when each
-    symbol is known to have few rows, as after a newest-n cut.
+    Columns named in ``fill`` then lose their NULLs as in ``fill_both_ways``, on the
+    partitioning the rows already have. ``slice_bars=None`` uses one window per
+    symbol instead: right when each symbol is known to have few rows, as after a
+    newest-n cut.
     """
     if slice_bars is None:
-        return add_columns(df, W.partitionBy("symbol").orderBy("timestamp"))
+        w = W.partitionBy("symbol").orderBy("timestamp")
+        return _fill_in(add_columns(df, w), fill, w) if fill else add_columns(df, w)
     frame = with_edges(df, back, ahead, interval_ms, slice_bars)
-    return own_rows(add_columns(frame, slice_window()))
+    own = add_columns(frame, slice_window()).filter(_OWN).drop(_OWN)
+    return (_fill_slices(own, fill) if fill else own).drop(_SLICE)
 
 
-def fill_both_ways(df, columns, default=0.0, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
-    """Each NULL takes the next value of its symbol, else the previous one, else ``default``.
+def fill_both_ways(df, columns, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
+    """Each NULL takes the next value of its symbol, else the previous one, else 0.0.
 
     The search is unbounded. Inside a slice a window does it; across slices the
-    first and last value of each slice are carried, found by an aggregation.
+    first and last value of each slice are carried, found by an aggregation over
+    the filled columns alone.
     """
-    if slice_bars is None:
-        w = W.partitionBy("symbol").orderBy("timestamp")
-        return df.withColumns({c: F.coalesce(*_nearest(c, w), F.lit(default)) for c in columns})
     sliced = df.withColumn(_SLICE, slice_id(interval_ms, slice_bars))
+    return _fill_slices(sliced.repartition("symbol", _SLICE), columns).drop(_SLICE)
+
+
+def _fill_in(df, columns, w):
+    return df.withColumns({c: F.coalesce(*_nearest(c, w), F.lit(0.0)) for c in columns})
+
+
+def _fill_slices(sliced, columns):
     time_if = {c: F.when(F.col(c).isNotNull(), F.col("timestamp")) for c in columns}
     edges = sliced.groupBy("symbol", _SLICE).agg(
         *[F.min_by(c, time_if[c]).alias(f"_first_{c}") for c in columns],
@@ -147,8 +157,9 @@ def fill_both_ways(df, columns, default=0.0, interval_ms=MINUTE_MS, slice_bars=S
     filled = {}
     for c in columns:
         up, down = _nearest(c, w)
-        filled[c] = F.coalesce(up, F.col(f"_next_{c}"), down, F.col(f"_prev_{c}"), F.lit(default))
-    return sliced.join(carried, ["symbol", _SLICE]).withColumns(filled).select(*df.columns)
+        filled[c] = F.coalesce(up, f"_next_{c}", down, f"_prev_{c}", F.lit(0.0))
+    joined = sliced.join(carried, ["symbol", _SLICE], "left")
+    return joined.withColumns(filled).select(*sliced.columns)
 
 
 def _nearest(column, w):

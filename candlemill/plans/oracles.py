@@ -100,6 +100,13 @@ SERVE_SELECT = f"""SELECT {COLS}, lag_close_1, lag_close_2, lag_close_3, lag_clo
     FROM feat"""
 
 
+def wide(sql):
+    """Prices near 10^5: fewer decimals than for small prices."""
+    for name in ["rolling_avg_close_5", "rolling_avg_15m", "rolling_avg_1h"]:
+        sql = sql.replace(f", 8) AS {name}", f", 7) AS {name}")
+    return sql.replace(", 8) AS volatility_15m", ", 5) AS volatility_15m")
+
+
 def train_features(source_cte):
     return f"""WITH {source_cte}
     SELECT *, {TRAIN_LAGS}, {SPREAD_8}, {PCT_8}, {TRAIN_ROLL}
@@ -212,9 +219,11 @@ ORACLES = {
         SELECT *, {SPREAD_8}, {PCT_8}, round({PCT_GUARDED}, 8) AS price_change_pct_guarded
         FROM candles""",
     "candle_features_train": train_features(CANDLES),
-    "candle_features_train_wide": train_features(SUPPLIER),
+    "candle_features_train_wide": wide(train_features(SUPPLIER)),
     "candle_features_serve": f"WITH {CANDLES}, {serve('candles', 'feat')} {SERVE_SELECT}",
-    "candle_features_serve_wide": f"WITH {SUPPLIER}, {serve('candles', 'feat')} {SERVE_SELECT}",
+    "candle_features_serve_wide": wide(
+        f"WITH {SUPPLIER}, {serve('candles', 'feat')} {SERVE_SELECT}"
+    ),
     "candle_features_reg12": f"""WITH {CANDLES}, {serve('candles', 'feat')},
         shown AS ({SERVE_SELECT})
         SELECT symbol, "timestamp", {', '.join(REG12_INPUTS)} FROM shown""",
@@ -276,10 +285,7 @@ ORACLES = {
                coalesce(close, 0.0) AS current_price,
                CASE WHEN coalesce(score, 0) >= 0 THEN '{UP}' ELSE '{DOWN}' END AS prediction_signal,
                CASE WHEN coalesce(score, 0) >= 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction_raw,
-               round(coalesce(least(95.0, greatest(60.0, 70.0 + abs(score) * 500)), 75.0), 8)
-                   AS confidence_exact,
-               round(coalesce(least(95.0, greatest(60.0, 70.0 + abs(score) * 500)), 75.0), 1)
-                   AS confidence,
+               round(sure, 8) AS confidence_exact, round(sure, 1) AS confidence,
                round(coalesce(price_change_pct, 0.0), 8) AS price_change_pct,
                round(coalesce(rolling_avg_15m, 0.0), 8) AS rolling_avg_15m,
                round(coalesce(rolling_avg_1h, 0.0), 8) AS rolling_avg_1h,
@@ -287,7 +293,9 @@ ORACLES = {
                round(coalesce(hl_spread, 0.0), 8) AS hl_spread,
                CASE WHEN t.symbol IS NULL THEN 'GBT Classifier'
                     ELSE 'Gradient Boosting Signal Engine' END AS model_name
-        FROM symbols s LEFT JOIN scored t ON t.symbol = s.symbol""",
+        FROM symbols s LEFT JOIN scored t ON t.symbol = s.symbol,
+            LATERAL (SELECT CASE WHEN t.symbol IS NULL THEN 75.0
+                     ELSE least(95.0, greatest(60.0, 70.0 + abs(score) * 500)) END AS sure)""",
     "signal_backtest": f"{backtest(CANDLES)} {BACKTEST_SELECT}",
     "signal_backtest_wide": f"{backtest(SUPPLIER)} {BACKTEST_SELECT}",
     "signal_accuracy": f"""{backtest(CANDLES)}
@@ -334,7 +342,7 @@ ORACLES = {
     "feed_demux_kline": f"""WITH {KLINES}
         SELECT "offset", 'kline' AS type, symbol, {KLINE_TEXT} AS "timestamp", {VALUE_COLS}, is_closed
         FROM klines""",
-    "feed_rejects": f"""SELECT event_id * 4 AS "offset", '{{bad' AS value, 'not json' AS reason
+    "feed_rejects": f"""SELECT event_id * 4 AS "offset", '{{bad' AS value, 'no envelope' AS reason
         FROM events WHERE value < {I.DAMAGED_BELOW}""",
     "kafka_payload_encode": f"""WITH {KLINES}
         SELECT "offset", symbol AS key, CAST(to_json({{

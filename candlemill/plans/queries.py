@@ -32,6 +32,13 @@ def _shown(df):
     return rounded(df, *STATS, *RATIOS)
 
 
+def _shown_wide(df):
+    """Prices near 10^5: engines agree on fewer decimals than for small prices."""
+    averages = [c for c in STATS if c != "volatility_15m"]
+    wide = rounded(rounded(df, *averages, digits=7), "volatility_15m", digits=5)
+    return rounded(wide, *RATIOS)
+
+
 # --- sources -----------------------------------------------------------------
 
 
@@ -117,11 +124,11 @@ def candle_features_reg12(spark, sf_dir):
 
 
 def candle_features_train_wide(spark, sf_dir):
-    return _shown(features.features(I.supplier_candles(spark, sf_dir), "train", I.MONTH_MS, 24))
+    return _shown_wide(features.features(I.supplier_candles(spark, sf_dir), "train", I.MONTH_MS, 24))
 
 
 def candle_features_serve_wide(spark, sf_dir):
-    return _shown(features.features(I.supplier_candles(spark, sf_dir), "serve", I.MONTH_MS, 24))
+    return _shown_wide(features.features(I.supplier_candles(spark, sf_dir), "serve", I.MONTH_MS, 24))
 
 
 def candle_training_set(spark, sf_dir):
@@ -133,7 +140,7 @@ def null_fill_bidirectional(spark, sf_dir):
     candles = I.candles(spark, sf_dir)
     busy = F.col("number_of_trades") > 1
     blanked = candles.withColumns({c: F.when(busy, F.col(c)) for c in ["close", "volume"]})
-    return fill_both_ways(blanked, ["close", "volume"], 0.0, I.HOUR_MS)
+    return fill_both_ways(blanked, ["close", "volume"], I.HOUR_MS)
 
 
 def time_split(spark, sf_dir):
