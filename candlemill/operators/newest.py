@@ -14,13 +14,13 @@ def _top(df, n, keys, order):
 def newest_n(df, n, salts=SALTS):
     """The ``n`` newest candles of every symbol.
 
-    Each scan task cuts to ``n`` rows per group before the shuffle. A symbol that
-    spans many scan tasks still sends ``n`` rows from each, so its candidates are
-    first cut in ``salts`` parts; the last step sees at most ``n * salts`` rows per
-    symbol. The salt is a hash of the time, hence the same when a task reruns.
+    Each task cuts to ``n`` rows per symbol before the shuffle. A symbol that spans
+    many tasks still gets ``n`` rows from each of them, so these candidates are first
+    cut in ``salts`` groups of tasks; the last step sees at most ``n * salts`` rows
+    per symbol. Any grouping gives the same result.
     """
     newest = [F.desc("timestamp")]
-    salt = F.pmod(F.xxhash64("timestamp"), F.lit(salts))
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
     parts = _top(df.withColumn("_salt", salt), n, ["symbol", "_salt"], newest).drop("_salt")
     return _top(parts, n, ["symbol"], newest)
 

@@ -33,10 +33,11 @@ def exact_quantile(df, q=SPLIT_AT, block_s=DAY_S):
         {"upto": F.sum("n").over(running), "total": F.sum("n").over(everything)}
     ).withColumn("needed", F.ceil(F.col("total").cast("decimal(20,0)") * share).cast("long"))
     day = days.filter(F.col("upto") >= F.col("needed")).orderBy("block").limit(1)
-    day = day.select("block", (F.col("needed") - (F.col("upto") - F.col("n"))).alias("needed"))
-    within = times.join(day, "block").groupBy("ts_unix", "needed").agg(F.count("*").alias("n"))
+    rank = day.select(F.col("needed") - (F.col("upto") - F.col("n"))).scalar()
+    within = times.filter(F.col("block") == day.select("block").scalar())
+    per_time = within.groupBy("ts_unix").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(W.orderBy("ts_unix").rowsBetween(W.unboundedPreceding, 0))
-    reached = within.withColumn("upto", upto).filter(F.col("upto") >= F.col("needed"))
+    reached = per_time.withColumn("upto", upto).filter(F.col("upto") >= rank)
     return reached.agg(F.min("ts_unix").alias("split_ts"))
 
 
@@ -46,7 +47,10 @@ def approx_quantile(df, q=SPLIT_AT, accuracy=10_000):
 
 
 def time_split(df, exact=True, q=SPLIT_AT):
-    """The rows with ``is_train``: at or before the split time, or after it."""
+    """The rows with ``is_train``: at or before the split time, or after it.
+
+    The rows are read up to three times: pass a stored table, not a long plan.
+    """
     timed = with_ts_unix(df)
     threshold = (exact_quantile if exact else approx_quantile)(timed, q)
     return timed.withColumn("is_train", F.col("ts_unix") <= threshold.scalar())

@@ -145,7 +145,8 @@ def null_fill_bidirectional(spark, sf_dir):
 
 def time_split(spark, sf_dir):
     rows = features.training_set(I.candles(spark, sf_dir), I.HOUR_MS)
-    return split.time_split(rows.select("symbol", "timestamp", "close", "label"))
+    rows = rows.select("symbol", "timestamp", "close", "label")
+    return split.time_split(direction.stored_once(rows, "training"))
 
 
 # --- merges ------------------------------------------------------------------

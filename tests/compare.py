@@ -30,6 +30,23 @@ def connect(sf_dir):
     return con
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(df, con, sql):
+    relation = con.sql(sql)
+    theirs = dict(zip(relation.columns, map(str, relation.types)))
+    ours = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
+    return None if ours == theirs else {k: (ours.get(k), theirs.get(k)) for k in ours if ours.get(k) != theirs.get(k)}
+
+
 def _plain(value):
     if isinstance(value, Decimal):
         value = float(value)
