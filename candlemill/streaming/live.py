@@ -69,9 +69,11 @@ def closed_candles(spark, path):
     """The stored table fed by closed candles: later ones replace earlier ones."""
 
     def combine(base, recent):
-        # Keys of the recent rows are few; Spark broadcasts them if they are small.
-        kept = base.join(recent.select(*KEY), KEY, "left_anti")
-        return kept.unionByName(recent)
+        # Recent keys are few beside the base; Spark broadcasts them if they are small,
+        # and only base rows of these keys are weighed against the recent ones.
+        keys = recent.select(*KEY)
+        touched = base.join(keys, KEY, "left_semi").unionByName(recent)
+        return base.join(keys, KEY, "left_anti").unionByName(_by_key(touched))
 
     return BatchLog(spark, path, LIVE_SCHEMA, lambda rows: _by_key(rows.filter("is_closed")), combine)
 

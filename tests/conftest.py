@@ -12,7 +12,7 @@ from candlemill.session import build_session, scratch_path  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4")
+    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="3")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
