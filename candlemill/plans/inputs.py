@@ -112,12 +112,11 @@ def _kline_value(symbol, bar_ms, prices, trades, closed):
     return F.to_json(F.struct(stream.alias("stream"), F.struct(k.alias("k")).alias("data")))
 
 
-def _tick_klines(ticks, closed=False):
-    value = F.col("value")
-    prices = dict.fromkeys(["open", "high", "low", "close", "volume"], value)
-    return _kline_value(
-        F.col("event_type"), bar_start_ms("ts", HOUR_MS), prices, F.lit(1), F.lit(closed)
-    )
+def _tick_klines():
+    """The open candle a single tick sends: its value in all places."""
+    prices = dict.fromkeys(["open", "high", "low", "close", "volume"], F.col("value"))
+    bar_ms = bar_start_ms("ts", HOUR_MS)
+    return _kline_value(F.col("event_type"), bar_ms, prices, F.lit(1), F.lit(False))
 
 
 def feed_messages(ticks):
@@ -138,17 +137,17 @@ def feed_messages(ticks):
         )
     )
     damaged = F.col("value") < DAMAGED_BELOW
+    resent = F.col("value") >= RESENT_FROM
     at = F.col("event_id") * 4
-    kline = F.when(damaged, F.lit("{bad")).otherwise(_tick_klines(ticks))
+    sent = ticks.select("event_id", "value", _tick_klines().alias("kline"), ticker.alias("ticker"))
+    message = lambda offset, text: F.struct(offset.alias("offset"), text.alias("value"))
     messages = F.array(
-        F.struct(at.alias("offset"), kline.alias("value")),
-        F.struct((at + 1).alias("offset"), ticker.alias("value")),
-    )
-    resent = F.array(
-        F.struct((at + RESENT_OFFSET).alias("offset"), _tick_klines(ticks).alias("value"))
+        message(at, F.when(damaged, F.lit("{bad")).otherwise(F.col("kline"))),
+        message(at + 1, F.col("ticker")),
+        F.when(resent, message(at + RESENT_OFFSET, F.col("kline"))),
     )
-    both = F.when(F.col("value") >= RESENT_FROM, F.concat(messages, resent)).otherwise(messages)
-    per_tick = ticks.select(F.explode(both).alias("m")).select("m.offset", "m.value")
+    per_tick = sent.select(F.explode(F.array_compact(messages)).alias("m"))
+    per_tick = per_tick.select("m.offset", "m.value")
     bars = _bars(ticks, F.max("event_id").alias("last_id"))
     prices = {c: F.col(c) for c in ["open", "high", "low", "close", "volume"]}
     closing = _kline_value(

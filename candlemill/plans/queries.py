@@ -285,11 +285,9 @@ def _feed(spark, sf_dir):
 
 
 def _topic(spark, sf_dir):
-    """The topic: demultiplexed candle and ticker messages, encoded and landed, as a stream."""
-    messages = I.feed_messages(I.events(spark, sf_dir))
-    parts = [feed.encode(feed.demux_klines(messages)), feed.encode(feed.demux_tickers(messages))]
-    both = parts[0].unionByName(parts[1]).select("offset", "value")
-    return read_landed(spark, I.landed(both, "topic"))
+    """The topic the feed is published to, landed, as a stream."""
+    payloads = feed.publish(I.feed_messages(I.events(spark, sf_dir)))
+    return read_landed(spark, I.landed(payloads.select("offset", "value"), "topic"))
 
 
 def _appended(spark, rows, name):

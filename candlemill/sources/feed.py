@@ -15,9 +15,18 @@ TICKER_COLS = ["type", "symbol", "price", "change_pct", "volume"]
 KLINE_COLS = ["type", "symbol", "timestamp", *VALUES, "is_closed"]
 
 
+def _parsed(raw, schema):
+    """Adds the parsed text as ``msg``, parsing each text once.
+
+    Filters on a plain ``from_json`` column are pushed below it and then parse again
+    for every field they test; they are not pushed below a generator.
+    """
+    return raw.withColumn("msg", F.explode(F.array(F.from_json("value", schema))))
+
+
 def open_envelopes(raw):
     """Adds the parsed envelope, its symbol and its stream type."""
-    parsed = raw.withColumn("msg", F.from_json("value", ENVELOPE_SCHEMA))
+    parsed = _parsed(raw, ENVELOPE_SCHEMA)
     stream = F.col("msg.stream")
     return parsed.withColumn("symbol", F.upper(F.split_part(stream, F.lit("@"), F.lit(1)))).withColumn(
         "stream_type", F.split_part(stream, F.lit("@"), F.lit(2))
@@ -54,28 +63,40 @@ def _complete(fields):
     return ok
 
 
+def _is_ticker(fields):
+    return (F.col("stream_type") == "ticker") & _complete(fields)
+
+
+def _is_kline(fields):
+    return (F.col("stream_type") == "kline_1m") & _complete(fields)
+
+
+def _message(kind, fields):
+    return [F.lit(kind).alias("type"), F.col("symbol"), *[c.alias(n) for n, c in fields.items()]]
+
+
 def demux_tickers(raw):
     """Ticker messages; a message lacking a readable field is not published."""
     fields = _ticker_fields()
-    rows = open_envelopes(raw).filter((F.col("stream_type") == "ticker") & _complete(fields))
-    return rows.select(
-        *_passed(raw),
-        F.lit("ticker").alias("type"),
-        "symbol",
-        *[c.alias(name) for name, c in fields.items()],
-    )
+    rows = open_envelopes(raw).filter(_is_ticker(fields))
+    return rows.select(*_passed(raw), *_message("ticker", fields))
 
 
 def demux_klines(raw):
     """One-minute candle messages; a message lacking a readable field is not published."""
     fields = _kline_fields()
-    rows = open_envelopes(raw).filter((F.col("stream_type") == "kline_1m") & _complete(fields))
-    return rows.select(
-        *_passed(raw),
-        F.lit("kline").alias("type"),
-        "symbol",
-        *[c.alias(name) for name, c in fields.items()],
+    rows = open_envelopes(raw).filter(_is_kline(fields))
+    return rows.select(*_passed(raw), *_message("kline", fields))
+
+
+def publish(raw):
+    """The feed as topic payloads of both types, in one pass: demultiplexed and encoded."""
+    ticker, kline = _ticker_fields(), _kline_fields()
+    rows = open_envelopes(raw).filter(_is_ticker(ticker) | _is_kline(kline))
+    text = F.when(_is_ticker(ticker), F.to_json(F.struct(*_message("ticker", ticker)))).otherwise(
+        F.to_json(F.struct(*_message("kline", kline)))
     )
+    return rows.select(*_passed(raw), F.col("symbol").alias("key"), text.alias("value"))
 
 
 def reject_reason():
@@ -106,13 +127,13 @@ def decode_klines(messages, symbols):
     Tickers, other symbols and unreadable messages are skipped.
     """
     passed = _passed(messages)
-    m = messages.withColumn("m", F.from_json("value", KLINE_SCHEMA))
-    fields = {"timestamp": parse_text("m.timestamp")}
-    fields.update({c: number(f"m.{c}") for c in PRICES})
-    fields["number_of_trades"] = number("m.number_of_trades", "long")
-    fields["is_closed"] = F.col("m.is_closed")
-    symbol = F.upper("m.symbol")
-    keep = (F.col("m.type") == "kline") & symbol.isin(list(symbols)) & _complete(fields)
+    m = _parsed(messages, KLINE_SCHEMA)
+    fields = {"timestamp": parse_text("msg.timestamp")}
+    fields.update({c: number(f"msg.{c}") for c in PRICES})
+    fields["number_of_trades"] = number("msg.number_of_trades", "long")
+    fields["is_closed"] = F.col("msg.is_closed")
+    symbol = F.upper("msg.symbol")
+    keep = (F.col("msg.type") == "kline") & symbol.isin(list(symbols)) & _complete(fields)
     return m.filter(keep).select(
         *passed, symbol.alias("symbol"), *[c.alias(name) for name, c in fields.items()]
     )

@@ -59,6 +59,12 @@ def test_every_message_is_published_rejected_or_of_another_stream(raw):
     assert got == BAD
 
 
+def test_publish_is_both_demultiplexers_encoded(raw):
+    both = feed.encode(feed.demux_klines(raw)).unionByName(feed.encode(feed.demux_tickers(raw)))
+    rows = lambda df: sorted(map(tuple, df.select("offset", "key", "value").collect()))
+    assert rows(feed.publish(raw)) == rows(both) and both.count() == 2
+
+
 def test_topic_round_trip(raw):
     payload = feed.encode(feed.demux_klines(raw))
     assert payload.columns == ["offset", "key", "value"]
