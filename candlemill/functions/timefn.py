@@ -15,25 +15,20 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def _seconds_since_epoch(ts):
+    """Time since 1970-01-01 00:00 UTC as an interval of seconds."""
+    return (_col(ts) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).cast("interval second")
+
+
 def epoch_ms(ts) -> Column:
-    """Milliseconds since 1970-01-01 00:00 UTC."""
-    ts = _col(ts)
-    days = F.unix_date(ts.cast("date")).cast("long")
-    return (
-        days * F.lit(DAY_MS)
-        + F.hour(ts) * F.lit(3_600_000)
-        + F.minute(ts) * F.lit(60_000)
-        + (F.date_part(F.lit("SECOND"), ts) * F.lit(1000)).cast("long")
-    )
+    """Milliseconds since 1970-01-01 00:00 UTC, rounded down."""
+    exact = _seconds_since_epoch(ts).cast("decimal(18,6)")
+    return F.floor(exact * F.lit(1000)).cast("long")
 
 
 def epoch_s(ts) -> Column:
-    """Whole seconds since 1970-01-01 00:00 UTC."""
-    ts = _col(ts)
-    days = F.unix_date(ts.cast("date")).cast("long")
-    return (
-        days * F.lit(86_400) + F.hour(ts) * F.lit(3600) + F.minute(ts) * F.lit(60) + F.second(ts)
-    )
+    """Whole seconds since 1970-01-01 00:00 UTC; cheaper than ``epoch_ms``."""
+    return _seconds_since_epoch(ts).cast("long")
 
 
 def from_epoch_ms(ms) -> Column:
@@ -49,10 +44,16 @@ def from_epoch_ms(ms) -> Column:
     )
 
 
+def bar_number(ts, interval_ms) -> Column:
+    """Number of whole bars of length ``interval_ms`` between 1970 and ``ts``."""
+    if interval_ms % 1000 == 0:
+        return F.floor(epoch_s(ts) / F.lit(interval_ms // 1000))
+    return F.floor(epoch_ms(ts) / F.lit(interval_ms))
+
+
 def bar_start_ms(ts, interval_ms) -> Column:
     """Start of the bar of length ``interval_ms`` that contains ``ts``."""
-    ms = epoch_ms(ts)
-    return ms - F.pmod(ms, F.lit(interval_ms))
+    return bar_number(ts, interval_ms) * F.lit(interval_ms)
 
 
 def parse_text(text) -> Column:

@@ -3,31 +3,42 @@
 A window partitioned by symbol alone puts every row of a hot symbol into one
 task. Here a symbol's rows are cut into time slices of ``slice_bars`` bar
 lengths. As (symbol, timestamp) is the key of a candle table, a slice holds at
-most ``slice_bars`` rows. Each slice also receives copies of the rows its frames
-reach into: the last ``back`` rows before it and the first ``ahead`` rows after
-it, counted in rows, so gaps of any length give the frames a plain window gives.
-
-Cost: one shuffle of the rows on (symbol, slice), a count per slice (partial
-aggregation over the two key columns), and ``back + ahead`` copied rows per slice.
-The only per-symbol window runs over the slice counts, one row per slice.
+most ``slice_bars`` rows. Each slice also receives copies of rows its frames
+reach into: at least the last ``back`` rows before it and the first ``ahead``
+rows after it. Frames count rows, so further copies do no harm, and gaps of any
+length give what a plain window gives. Rows without a key are left out.
+
+Which rows to copy follows from counts alone: per slice, the rows in some zones
+at its end and its start. The smallest zone that holds enough rows is copied; no
+ranking or sorting of rows is needed for it.
+
+Cost: one shuffle of the rows on (symbol, slice), one count per slice and zone
+(partial aggregation over the two key columns), and the copies. The only
+per-symbol window runs over the counts, one row per slice.
 """
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from candlemill.functions.timefn import epoch_ms
+from candlemill.functions.timefn import bar_number
 from candlemill.schemas import MINUTE_MS
 
 SLICE_BARS = 10_080  # one week of minutes
+ZONE_GROWTH = 4
 
 _SLICE = "_slice"
 _OWN = "_own"
 
 
-def slice_id(interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
-    ms = epoch_ms("timestamp")
-    width = interval_ms * slice_bars
-    return F.floor((ms - F.pmod(ms, F.lit(width))) / F.lit(width)).cast("long")
+def _bar_in_slice(interval_ms, slice_bars):
+    """Bars between the start of a row's slice and the row."""
+    return F.pmod(bar_number("timestamp", interval_ms), F.lit(slice_bars))
+
+
+def _with_slice(df, interval_ms, slice_bars):
+    number = bar_number("timestamp", interval_ms)
+    keyed = F.col("symbol").isNotNull() & F.col(_SLICE).isNotNull()
+    return df.withColumn(_SLICE, F.floor(number / F.lit(slice_bars))).filter(keyed)
 
 
 def slice_window():
@@ -35,45 +46,59 @@ def slice_window():
     return W.partitionBy("symbol", _SLICE).orderBy("timestamp")
 
 
-def _links(counts, back, ahead):
-    """Which slice hands how many edge rows to which neighbour.
+def _zones(rows, slice_bars):
+    """Zone lengths in bars, from twice the rows wanted up to just below a slice."""
+    zone = 2 * rows
+    while 0 < zone < slice_bars:
+        yield zone
+        zone *= ZONE_GROWTH
+
+
+def _neighbours(frame, zones, between, wanted):
+    """The neighbours inside ``frame`` that hand rows over, each with the zone to copy.
 
-    ``tail`` is the number of last rows, ``head`` the number of first rows that
-    ``_slice`` hands to ``_to``. Every listed slice has at least one row, so no
-    frame reaches further than ``back`` (``ahead``) slices.
+    ``between`` counts the rows of the slices that lie between the two. A zone is
+    picked when it holds the rows still wanted beyond those; NULL is the whole slice.
     """
+    source = F.struct(F.col(_SLICE).alias("slice"), "n", "upto", *[f"z{i}" for i in zones])
+    near = F.filter(F.collect_list(source).over(frame), lambda s: between(s) < F.lit(wanted))
+
+    def zone(s):
+        missing = F.lit(wanted) - between(s)
+        picks = [F.when(s[f"z{i}"] >= missing, F.lit(i)) for i in zones]
+        return F.coalesce(*picks, F.lit(None).cast("int"))
+
+    return F.transform(near, lambda s: F.struct(s["slice"].alias("slice"), zone(s).alias("zone")))
+
+
+def _links(sliced, back, ahead, bar, slice_bars):
+    """Which slice hands which zone to which neighbour; zones at a slice's start are negative.
+
+    Every listed slice has at least one row, so frames reach no further than
+    ``back`` or ``ahead`` slices.
+    """
+    tails, heads = list(_zones(back, slice_bars)), list(_zones(ahead, slice_bars))
+    counts = (
+        sliced.select("symbol", _SLICE, bar.alias("_bar"))
+        .groupBy("symbol", _SLICE)
+        .agg(
+            F.count("*").alias("n"),
+            *[F.count_if(F.col("_bar") >= slice_bars - z).alias(f"z{z}") for z in tails],
+            *[F.count_if(F.col("_bar") < z).alias(f"z{-z}") for z in heads],
+        )
+    )
     w = W.partitionBy("symbol").orderBy(_SLICE)
-    running = counts.withColumn(
-        "upto", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0))
+    counts = counts.withColumn("upto", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    upto, n = F.col("upto"), F.col("n")
+    before = _neighbours(w.rowsBetween(-back, -1), tails, lambda s: upto - n - s["upto"], back)
+    after = _neighbours(
+        w.rowsBetween(1, ahead), [-z for z in heads], lambda s: s["upto"] - s["n"] - upto, ahead
+    )
+    lists = [side for side, wanted in [(before, back), (after, ahead)] if wanted]
+    near = counts.select("symbol", _SLICE, F.concat(*lists).alias("near"))
+    return near.select("symbol", F.col(_SLICE).alias("_to"), F.explode("near").alias("src")).select(
+        "symbol", F.col("src.slice").alias(_SLICE), "_to", F.col("src.zone").alias("_zone")
     )
-    here = F.struct(F.col(_SLICE).alias("slice"), F.col("upto"), F.col("n"))
-    parts = []
-    if back:
-        before = F.collect_list(here).over(w.rowsBetween(-back, -1))
-        parts.append(
-            running.withColumn("near", before).withColumn("src", F.explode("near")).select(
-                "symbol",
-                F.col("src.slice").alias(_SLICE),
-                F.col(_SLICE).alias("_to"),
-                (F.lit(back) - (F.col("upto") - F.col("n") - F.col("src.upto"))).alias("tail"),
-                F.lit(0).cast("long").alias("head"),
-            )
-        )
-    if ahead:
-        after = F.collect_list(here).over(w.rowsBetween(1, ahead))
-        parts.append(
-            running.withColumn("near", after).withColumn("src", F.explode("near")).select(
-                "symbol",
-                F.col("src.slice").alias(_SLICE),
-                F.col(_SLICE).alias("_to"),
-                F.lit(0).cast("long").alias("tail"),
-                (F.lit(ahead) - (F.col("src.upto") - F.col("src.n") - F.col("upto"))).alias("head"),
-            )
-        )
-    links = parts[0]
-    for part in parts[1:]:
-        links = links.unionByName(part)
-    return links.filter((F.col("tail") > 0) | (F.col("head") > 0))
 
 
 def with_edges(df, back, ahead, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
@@ -81,24 +106,18 @@ def with_edges(df, back, ahead, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
 
     ``windowed`` computes over ``slice_window()`` and drops the copies.
     """
-    sliced = df.withColumn(_SLICE, slice_id(interval_ms, slice_bars))
+    sliced = _with_slice(df, interval_ms, slice_bars)
     placed = sliced.repartition("symbol", _SLICE)
     own = placed.withColumn(_OWN, F.lit(True))
-    counts = sliced.groupBy("symbol", _SLICE).agg(F.count("*").alias("n"))
-    links = _links(counts, back, ahead)
-    ranked = placed.withColumn("_first", F.row_number().over(slice_window())).withColumn(
-        "_size", F.count("*").over(W.partitionBy("symbol", _SLICE))
-    )
-    last = F.col("_size") - F.col("_first") + 1
-    edge = (last <= back) | (F.col("_first") <= ahead)
-    # A null-safe join adds no filter below the shuffle, so both uses of `placed`
-    # stay the same plan and the rows are shuffled once.
-    to = links.withColumnsRenamed({"symbol": "_symbol", _SLICE: "_from"})
-    met = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col(_SLICE).eqNullSafe(F.col("_from"))
+    bar = _bar_in_slice(interval_ms, slice_bars)
+    links = _links(sliced, back, ahead, bar, slice_bars)
+    # Links are one row per slice and neighbour: a hash table of one partition's links
+    # is small, and the rows need no sort to meet them.
+    zone = F.col("_zone")
+    inside = zone.isNull() | F.when(zone > 0, bar >= slice_bars - zone).otherwise(bar < -zone)
     copies = (
-        ranked.filter(edge)
-        .join(to, met)
-        .filter((last <= F.col("tail")) | (F.col("_first") <= F.col("head")))
+        placed.join(links.hint("shuffle_hash"), ["symbol", _SLICE])
+        .filter(inside)
         .select(*df.columns, F.col("_to").alias(_SLICE), F.lit(False).alias(_OWN))
         .repartition("symbol", _SLICE)
     )
@@ -130,7 +149,7 @@ def fill_both_ways(df, columns, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     first and last value of each slice are carried, found by an aggregation over
     the filled columns alone.
     """
-    sliced = df.withColumn(_SLICE, slice_id(interval_ms, slice_bars))
+    sliced = _with_slice(df, interval_ms, slice_bars)
     return _fill_slices(sliced.repartition("symbol", _SLICE), columns).drop(_SLICE)
 
 

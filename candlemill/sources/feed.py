@@ -15,105 +15,106 @@ TICKER_COLS = ["type", "symbol", "price", "change_pct", "volume"]
 KLINE_COLS = ["type", "symbol", "timestamp", *VALUES, "is_closed"]
 
 
-def _parsed(raw, schema):
-    """Adds the parsed text as ``msg``, parsing each text once.
+def _once(rows, name, column):
+    """Adds a costly column that is evaluated once per row.
 
-    Filters on a plain ``from_json`` column are pushed below it and then parse again
-    for every field they test; they are not pushed below a generator.
+    Filters on a plain column are pushed below it and evaluate it again for every
+    field they test; they are not pushed below a generator.
     """
-    return raw.withColumn("msg", F.explode(F.array(F.from_json("value", schema))))
+    return rows.withColumn(name, F.explode(F.array(column)))
 
 
 def open_envelopes(raw):
-    """Adds the parsed envelope, its symbol and its stream type."""
-    parsed = _parsed(raw, ENVELOPE_SCHEMA)
-    stream = F.col("msg.stream")
-    return parsed.withColumn("symbol", F.upper(F.split_part(stream, F.lit("@"), F.lit(1)))).withColumn(
-        "stream_type", F.split_part(stream, F.lit("@"), F.lit(2))
-    )
+    """Adds the parsed envelope ``msg``, its symbol and its stream type."""
+    parsed = _once(raw, "msg", F.from_json("value", ENVELOPE_SCHEMA))
+    part = lambda i: F.split_part(F.col("msg.stream"), F.lit("@"), F.lit(i))
+    return parsed.withColumns({"symbol": F.upper(part(1)), "stream_type": part(2)})
 
 
 def _passed(raw):
     return [c for c in raw.columns if c != "value"]
 
 
-def _ticker_fields():
-    data = F.col("msg.data")
-    return {
-        "price": number(data.getField("c")),
-        "change_pct": number(data.getField("P")),
-        "volume": number(data.getField("v")),
-    }
+def _typed(opened):
+    """Adds the typed fields of both message types, as structs."""
+    data, k = F.col("msg.data"), F.col("msg.data.k")
+    source = {"open": "o", "high": "h", "low": "l", "close": "c", "volume": "v"}
+    ticker = F.struct(
+        number(data.getField("c")).alias("price"),
+        number(data.getField("P")).alias("change_pct"),
+        number(data.getField("v")).alias("volume"),
+    )
+    kline = F.struct(
+        format_text(from_epoch_ms(number(k.getField("t"), "long"))).alias("timestamp"),
+        *[number(k.getField(source[c])).alias(c) for c in PRICES],
+        number(k.getField("n"), "long").alias("number_of_trades"),
+        k.getField("x").alias("is_closed"),
+    )
+    kind = F.col("stream_type")
+    return _once(
+        opened,
+        "typed",
+        F.struct(
+            F.when(kind == "ticker", ticker).alias("ticker"),
+            F.when(kind == "kline_1m", kline).alias("kline"),
+        ),
+    )
 
 
-def _kline_fields():
-    k = F.col("msg.data.k")
-    source = {"open": "o", "high": "h", "low": "l", "close": "c", "volume": "v"}
-    fields = {"timestamp": format_text(from_epoch_ms(number(k.getField("t"), "long")))}
-    fields.update({c: number(k.getField(source[c])) for c in PRICES})
-    fields["number_of_trades"] = number(k.getField("n"), "long")
-    fields["is_closed"] = k.getField("x")
-    return fields
+FIELDS = {"ticker": TICKER_COLS[2:], "kline": KLINE_COLS[2:]}
 
 
-def _complete(fields):
+def _complete(prefix, names):
     ok = F.lit(True)
-    for c in fields.values():
-        ok = ok & c.isNotNull()
+    for name in names:
+        ok = ok & F.col(f"{prefix}.{name}").isNotNull()
     return ok
 
 
-def _is_ticker(fields):
-    return (F.col("stream_type") == "ticker") & _complete(fields)
+def _is(kind):
+    """Whether a row holds a publishable message of this type."""
+    return _complete(f"typed.{kind}", FIELDS[kind])
 
 
-def _is_kline(fields):
-    return (F.col("stream_type") == "kline_1m") & _complete(fields)
+def _message(kind):
+    fields = [F.col(f"typed.{kind}.{name}").alias(name) for name in FIELDS[kind]]
+    return [F.lit(kind).alias("type"), F.col("symbol"), *fields]
 
 
-def _message(kind, fields):
-    return [F.lit(kind).alias("type"), F.col("symbol"), *[c.alias(n) for n, c in fields.items()]]
+def _demux(raw, kind, stream_type):
+    opened = open_envelopes(raw).filter(F.col("stream_type") == stream_type)
+    return _typed(opened).filter(_is(kind)).select(*_passed(raw), *_message(kind))
 
 
 def demux_tickers(raw):
     """Ticker messages; a message lacking a readable field is not published."""
-    fields = _ticker_fields()
-    rows = open_envelopes(raw).filter(_is_ticker(fields))
-    return rows.select(*_passed(raw), *_message("ticker", fields))
+    return _demux(raw, "ticker", "ticker")
 
 
 def demux_klines(raw):
     """One-minute candle messages; a message lacking a readable field is not published."""
-    fields = _kline_fields()
-    rows = open_envelopes(raw).filter(_is_kline(fields))
-    return rows.select(*_passed(raw), *_message("kline", fields))
+    return _demux(raw, "kline", "kline_1m")
 
 
 def publish(raw):
     """The feed as topic payloads of both types, in one pass: demultiplexed and encoded."""
-    ticker, kline = _ticker_fields(), _kline_fields()
-    rows = open_envelopes(raw).filter(_is_ticker(ticker) | _is_kline(kline))
-    text = F.when(_is_ticker(ticker), F.to_json(F.struct(*_message("ticker", ticker)))).otherwise(
-        F.to_json(F.struct(*_message("kline", kline)))
-    )
+    rows = _typed(open_envelopes(raw)).filter(_is("ticker") | _is("kline"))
+    body = {kind: F.to_json(F.struct(*_message(kind))) for kind in FIELDS}
+    text = F.when(_is("ticker"), body["ticker"]).otherwise(body["kline"])
     return rows.select(*_passed(raw), F.col("symbol").alias("key"), text.alias("value"))
 
 
-def reject_reason():
-    """Why an opened envelope yields no message; NULL when it yields one or is of another stream."""
+def rejects(raw):
+    """Messages the demultiplexer drops, with the reason; other streams are not listed."""
     kind = F.col("stream_type")
     # Text that is no JSON object reads as an envelope without fields.
-    return (
+    reason = (
         F.when(F.col("msg.stream").isNull() | F.col("msg.data").isNull(), "no envelope")
-        .when((kind == "ticker") & ~_complete(_ticker_fields()), "bad ticker")
-        .when((kind == "kline_1m") & ~_complete(_kline_fields()), "bad kline")
+        .when((kind == "ticker") & ~_is("ticker"), "bad ticker")
+        .when((kind == "kline_1m") & ~_is("kline"), "bad kline")
     )
-
-
-def rejects(raw):
-    """Messages the demultiplexer drops, with the reason."""
-    opened = open_envelopes(raw).withColumn("reason", reject_reason())
-    return opened.filter(F.col("reason").isNotNull()).select(*raw.columns, "reason")
+    rows = _typed(open_envelopes(raw)).withColumn("reason", reason)
+    return rows.filter(F.col("reason").isNotNull()).select(*raw.columns, "reason")
 
 
 def message_price(price, close):
@@ -126,17 +127,18 @@ def decode_klines(messages, symbols):
 
     Tickers, other symbols and unreadable messages are skipped.
     """
-    passed = _passed(messages)
-    m = _parsed(messages, KLINE_SCHEMA)
-    fields = {"timestamp": parse_text("msg.timestamp")}
-    fields.update({c: number(f"msg.{c}") for c in PRICES})
-    fields["number_of_trades"] = number("msg.number_of_trades", "long")
-    fields["is_closed"] = F.col("msg.is_closed")
+    parsed = _once(messages, "msg", F.from_json("value", KLINE_SCHEMA))
     symbol = F.upper("msg.symbol")
-    keep = (F.col("msg.type") == "kline") & symbol.isin(list(symbols)) & _complete(fields)
-    return m.filter(keep).select(
-        *passed, symbol.alias("symbol"), *[c.alias(name) for name, c in fields.items()]
+    wanted = parsed.filter((F.col("msg.type") == "kline") & symbol.isin(list(symbols)))
+    typed = F.struct(
+        parse_text("msg.timestamp").alias("timestamp"),
+        *[number(f"msg.{c}").alias(c) for c in PRICES],
+        number("msg.number_of_trades", "long").alias("number_of_trades"),
+        F.col("msg.is_closed").alias("is_closed"),
     )
+    rows = _once(wanted, "typed", typed).filter(_complete("typed", FIELDS["kline"]))
+    fields = [F.col(f"typed.{name}").alias(name) for name in FIELDS["kline"]]
+    return rows.select(*_passed(messages), symbol.alias("symbol"), *fields)
 
 
 def encode(messages):
