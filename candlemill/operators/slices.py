@@ -135,8 +135,8 @@ def windowed(
     newest-n cut.
     """
     if slice_bars is None:
-        w = W.partitionBy("symbol").orderBy("timestamp")
-        return _fill_in(add_columns(df, w), fill, w) if fill else add_columns(df, w)
+        added = add_columns(df, W.partitionBy("symbol").orderBy("timestamp"))
+        return _fill_in(added, fill) if fill else added
     frame = with_edges(df, back, ahead, interval_ms, slice_bars)
     own = add_columns(frame, slice_window()).filter(_OWN).drop(_OWN)
     return (_fill_slices(own, fill) if fill else own).drop(_SLICE)
@@ -153,8 +153,24 @@ def fill_both_ways(df, columns, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     return _fill_slices(sliced.repartition("symbol", _SLICE), columns).drop(_SLICE)
 
 
-def _fill_in(df, columns, w):
-    return df.withColumns({c: F.coalesce(*_nearest(c, w), F.lit(0.0)) for c in columns})
+def _nearest(column, keys):
+    """Last value at or before the row, and first value at or after it.
+
+    The latter is the last value in descending order: Spark extends such a frame row
+    by row, while a frame that ends at the partition's end is read anew for each row.
+    """
+    back = W.partitionBy(*keys).rowsBetween(W.unboundedPreceding, 0)
+    down = F.last(column, True).over(back.orderBy("timestamp"))
+    up = F.last(column, True).over(back.orderBy(F.desc("timestamp")))
+    return down, up
+
+
+def _fill_in(df, columns):
+    filled = {}
+    for c in columns:
+        down, up = _nearest(c, ["symbol"])
+        filled[c] = F.coalesce(up, down, F.lit(0.0))
+    return df.withColumns(filled)
 
 
 def _fill_slices(sliced, columns):
@@ -163,26 +179,17 @@ def _fill_slices(sliced, columns):
         *[F.min_by(c, time_if[c]).alias(f"_first_{c}") for c in columns],
         *[F.max_by(c, time_if[c]).alias(f"_last_{c}") for c in columns],
     )
-    by_slice = W.partitionBy("symbol").orderBy(_SLICE)
-    following = by_slice.rowsBetween(1, W.unboundedFollowing)
-    preceding = by_slice.rowsBetween(W.unboundedPreceding, -1)
+    others = W.partitionBy("symbol").rowsBetween(W.unboundedPreceding, -1)
+    earlier, later = others.orderBy(_SLICE), others.orderBy(F.desc(_SLICE))
     carried = edges.select(
         "symbol",
         _SLICE,
-        *[F.first(f"_first_{c}", True).over(following).alias(f"_next_{c}") for c in columns],
-        *[F.last(f"_last_{c}", True).over(preceding).alias(f"_prev_{c}") for c in columns],
+        *[F.last(f"_first_{c}", True).over(later).alias(f"_next_{c}") for c in columns],
+        *[F.last(f"_last_{c}", True).over(earlier).alias(f"_prev_{c}") for c in columns],
     )
-    w = slice_window()
     filled = {}
     for c in columns:
-        up, down = _nearest(c, w)
+        down, up = _nearest(c, ["symbol", _SLICE])
         filled[c] = F.coalesce(up, f"_next_{c}", down, f"_prev_{c}", F.lit(0.0))
     joined = sliced.join(carried, ["symbol", _SLICE], "left")
     return joined.withColumns(filled).select(*sliced.columns)
-
-
-def _nearest(column, w):
-    """First value at or after the row, and last value at or before it."""
-    up = F.first(column, True).over(w.rowsBetween(0, W.unboundedFollowing))
-    down = F.last(column, True).over(w.rowsBetween(W.unboundedPreceding, 0))
-    return up, down
