@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from candlemill.functions.numeric import hl_spread, price_change
+from candlemill.functions.timefn import epoch_ms
 from candlemill.operators.slices import SLICE_BARS, windowed
 from candlemill.schemas import MINUTE_MS
 
@@ -132,17 +133,24 @@ def direction_label():
     return F.when(F.col("next_close") > F.col("close"), F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def training_set(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
+def training_set(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS, max_gap_ms=None):
     """Training features with the label; rows with any NULL or NaN are dropped.
 
-    Features and the look-ahead share one window pass.
+    Features and the look-ahead share one window pass. The label compares adjacent
+    candles, however far apart; ``max_gap_ms`` drops rows whose next candle is later.
     """
 
     def add(df, w):
-        return df.withColumns({**_train_columns(w), "next_close": F.lead("close", 1).over(w)})
+        columns = {**_train_columns(w), "next_close": F.lead("close", 1).over(w)}
+        if max_gap_ms is not None:
+            columns["_next"] = F.lead("timestamp", 1).over(w)
+        return df.withColumns(columns)
 
     back = TRAIN_FRAMES["long"] - 1
     rows = windowed(candles, add, back, 1, interval_ms, slice_bars)
+    if max_gap_ms is not None:
+        near = epoch_ms("_next") - epoch_ms("timestamp") <= max_gap_ms
+        rows = rows.filter(near).drop("_next")
     return rows.withColumn("label", direction_label()).dropna("any")
 
 

@@ -352,6 +352,12 @@ ORACLES = {
         FROM klines""",
     "kline_stream_decode": f"WITH {KLINES} SELECT * FROM klines",
     "live_candle_state": f"WITH {STATE} SELECT * FROM state",
+    "live_state_chart": f"""WITH {STATE}, {STORED}, merged AS (
+            SELECT {COLS}, CAST(NULL AS BOOLEAN) AS is_closed FROM stored s
+            WHERE NOT EXISTS (SELECT 1 FROM state l
+                              WHERE l.symbol = s.symbol AND l."timestamp" = s."timestamp")
+            UNION ALL SELECT {COLS}, is_closed FROM state)
+        {newest('merged', CHART_BARS)}""",
     "live_latest_candle": f"""WITH {KLINES} SELECT * FROM klines
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "offset" DESC) = 1""",
     "live_candle_retention": f"WITH {STATE} {newest('state', LIVE_BARS)}",

@@ -324,6 +324,12 @@ def live_candle_state(spark, sf_dir):
     return _kept(live.live_candles(spark, scratch_path(spark, "live")), klines)
 
 
+def live_state_chart(spark, sf_dir):
+    """Stored candles overlaid with the streamed state; the newest per symbol."""
+    state = live_candle_state(spark, sf_dir).drop("offset")
+    return merge.live_over_stored(I.stored_candles(spark, sf_dir), state, n=CHART_BARS)
+
+
 def live_latest_candle(spark, sf_dir):
     klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
     return _kept(live.latest_candle(spark, scratch_path(spark, "latest")), klines)
@@ -431,6 +437,7 @@ QUERIES = {
         kafka_payload_encode,
         kline_stream_decode,
         live_candle_state,
+        live_state_chart,
         live_latest_candle,
         live_candle_retention,
         closed_candle_stream,

@@ -1,9 +1,19 @@
-"""The scheduled chain: fill gaps, check quality, retrain."""
+"""Table jobs: seed from files, and the scheduled chain of gap fill, quality gate and retrain."""
 
 from candlemill.ml import direction
 from candlemill.operators import gaps, merge, quality
 from candlemill.operators.slices import SLICE_BARS
 from candlemill.schemas import MINUTE_MS
+from candlemill.sources.csvfiles import read_candles
+
+
+def seed(spark, csv_path, candles):
+    """The table after the historical files are added; rows it has already stay as they are.
+
+    Rows without a readable time have no key and are left out.
+    """
+    history = read_candles(spark, csv_path).filter("timestamp IS NOT NULL")
+    return merge.insert_ignore(candles, history)
 
 
 def fill_gaps(candles, pages, now_ms, interval_ms=MINUTE_MS):

@@ -78,6 +78,16 @@ def test_training_set_drops_warm_up_last_and_broken_rows(candles):
         assert row.label == float(match.next_close.iloc[0] > match.close.iloc[0])
 
 
+def test_labels_may_be_limited_to_near_candles(candles):
+    rows = random_rows(8, {"A": 60}, p_gap=0.3)
+    every = {r.timestamp for r in features.training_set(candles(rows)).collect()}
+    near = features.training_set(candles(rows), max_gap_ms=3 * MINUTE_MS)
+    times = [r[1] for r in rows]
+    gap = dict(zip(times, [(b - a).total_seconds() for a, b in zip(times, times[1:])]))
+    assert {r.timestamp for r in near.collect()} == {t for t in every if gap[t] <= 180}
+    assert "_next" not in near.columns
+
+
 def test_nan_rows_do_not_train(candles):
     rows = random_rows(2, {"A": 20}, p_gap=0)
     rows[10] = rows[10][:6] + (float("nan"),) + rows[10][7:]

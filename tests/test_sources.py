@@ -6,6 +6,7 @@ import pytest
 from frames import random_rows
 from pyspark.sql import functions as F
 
+from candlemill.plans.refresh import seed
 from candlemill.schemas import CANDLE_COLS, CANDLE_SCHEMA, SYMBOLS
 from candlemill.sinks import jdbc as jdbc_sink
 from candlemill.sinks import tables
@@ -63,6 +64,15 @@ def test_csv_round_trip(spark, candles, scratch):
     assert back.exceptAll(df).isEmpty() and back.count() == 47
 
 
+def test_seed_keeps_what_is_stored(spark, candles, scratch):
+    rows = random_rows(1, {"AAA": 10}, p_gap=0)
+    path = scratch("csv")
+    write_csv(candles(rows), path, "1month")
+    mine = ("AAA", rows[3][1], 0.0, 0.0, 0.0, 0.0, 0.0, 0)
+    seeded = {r.timestamp: r.close for r in seed(spark, path, candles([mine])).collect()}
+    assert len(seeded) == 10 and seeded[rows[3][1]] == 0.0 and seeded[rows[4][1]] == rows[4][5]
+
+
 def test_canonical_types_from_decimals(candles):
     df = candles(random_rows(1, {"AAA": 5}))
     wide = df.withColumns({c: F.col(c).cast("decimal(38,18)") for c in ["open", "close"]})
