@@ -14,6 +14,8 @@ def build_session(app="candlemill", master=None, **conf):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites kept for error messages make building large plans slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
     )
     if master:
