@@ -19,7 +19,6 @@ from candlemill.operators.signals import (
     CARRIED,
     HISTORY_ROWS,
     LATEST_WEIGHTS,
-    cold_start,
     rule_latest,
     signal_text,
 )

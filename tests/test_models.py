@@ -18,7 +18,7 @@ def rows():
     return random_rows(31, {"A": 200, "B": 100, "SHORT": 4}, p_gap=0.05)
 
 
-def test_settings():
+def test_settings(spark):
     gbt = direction.classifier_pipeline().getStages()[1]
     assert (gbt.getMaxDepth(), gbt.getMaxIter(), gbt.getStepSize(), gbt.getSeed()) == (6, 80, 0.1, 42)
     gbt = direction.regressor_pipeline().getStages()[1]
