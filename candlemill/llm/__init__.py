@@ -1 +1,8 @@
 """Operators for building training corpora from documents and web pages."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Tasks get this package's functions by value, so executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -47,8 +47,8 @@ class RuleTrie:
     beginning, so a path fits as soon as it starts with the rule's.
     """
 
-    def __init__(self, rules):
-        self.root = {}
+    def __init__(self, rules=(), root=None):
+        self.root = {} if root is None else root
         for rule, verdict in rules:
             host, slash, rest = rule.partition("/")
             node = self.root
@@ -110,11 +110,11 @@ def filter_urls(pages, rules=RULES, default="allow"):
     rules = list(rules)
     if len(rules) > MOST_RULES or sum(len(r) for r, _ in rules) > MOST_RULE_CHARS:
         raise ValueError("too many rules for a broadcast trie")
-    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
+    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules).root)
 
     @F.pandas_udf("rule string, verdict string")
     def judge(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        find = trie.value.find
+        find = RuleTrie(root=trie.value).find
         found = [find(h, p) or (None, default) for h, p in zip(hosts, paths)]
         return pd.DataFrame(found, columns=["rule", "verdict"], dtype=object)
 
