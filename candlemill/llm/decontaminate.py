@@ -24,10 +24,9 @@ SHARE = 0.5
 #: 50 MB); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
-# Placeholders are private-use characters, which these functions take out of texts first.
+# Placeholders are private-use characters, which are taken out of texts first.
 NAME, NUMBER, UNIT, POINT = "\ue001", "\ue002", "\ue003", "\ue004"
 _SYMBOLS = "%\u20ac$\u00a3\u00b0"
-_LETTERS_FOR_SYMBOLS = "\ue010\ue011\ue012\ue013\ue014"
 #: Units are recognised only after a number.
 UNITS = (
     "km cm mm m kg mg g l ml s min h ms kb mb gb tb w kw kwh v hz khz mhz ghz j kj cal kcal pa bar "
@@ -37,9 +36,9 @@ UNITS = (
 
 _WORD = r"\p{L}\p{M}"
 _NAME_RE = rf"\p{{Lu}}(?<=[{_WORD}\d,;:] .)[{_WORD}]*"
-_UNIT_RE = rf"(?<=\d) ?((?i:{'|'.join(UNITS)})(?![{_WORD}])|[{_LETTERS_FOR_SYMBOLS}])"
+_UNIT_RE = rf"(\d) ?((?i:{'|'.join(UNITS)})(?![{_WORD}])|[{_SYMBOLS}])"
 _NUMBER_RE = rf"\d[\d{POINT}]*"
-_BETWEEN = rf"[^{_WORD}\d{NAME}-{POINT}{_LETTERS_FOR_SYMBOLS}]+"
+_BETWEEN = rf"[^{_WORD}\d{NAME}-{POINT}{_SYMBOLS}]+"
 
 
 def _tokens(text, values):
@@ -47,26 +46,30 @@ def _tokens(text, values):
 
     Both forms have the same number of tokens, in the same places.
     """
-    told = lambda mark, group: f" {mark}${group} " if values else f" {mark} "
-    t = F.translate(F.coalesce(text, F.lit("")), f"{NAME}{NUMBER}{UNIT}{POINT}{_LETTERS_FOR_SYMBOLS}", " " * 9)
-    t = F.translate(t, _SYMBOLS, _LETTERS_FOR_SYMBOLS)
-    t = F.regexp_replace(t, r"(?<=\d)[.,:/](?=\d)", POINT)
-    t = F.regexp_replace(t, _NAME_RE, told(NAME, 0))
-    t = F.regexp_replace(t, _UNIT_RE, told(UNIT, 1))
-    t = F.regexp_replace(t, _NUMBER_RE, told(NUMBER, 0))
-    # White space at both ends makes the first and last piece empty, whatever the text.
-    pieces = F.split(F.concat(F.lit(" "), F.lower(t), F.lit(" ")), _BETWEEN)
-    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0)))
-
-
-def _windows(rows, length):
-    """A row ``(…, place, hash)`` for each window of ``length`` tokens of ``codes``."""
-    count = F.size("codes") - length + 1
-    places = F.explode(F.sequence(F.lit(0), count - 1)).alias("place")
-    others = [c for c in rows.columns if c != "codes"]
-    exploded = rows.filter(count > 0).select(*others, "codes", places)
-    parts = [F.get("codes", F.col("place") + k) for k in range(length)]
-    return exploded.select(*others, "place", F.xxhash64(F.lit(length), *parts).alias("hash"))
+    told = lambda mark, group: f"{mark}${group}" if values else mark
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NAME}-{POINT}]", " ")
+    t = F.regexp_replace(t, r"(\d)[.,:/](?=\d)", f"$1{POINT}")
+    t = F.regexp_replace(t, _NAME_RE, f" {told(NAME, 0)} ")
+    t = F.regexp_replace(t, _UNIT_RE, f"$1 {told(UNIT, 2)} ")
+    t = F.regexp_replace(t, _NUMBER_RE, f" {told(NUMBER, 0)} ")
+    # Only a text's beginning and end can give an empty piece.
+    return F.array_remove(F.split(F.lower(t), _BETWEEN), "")
+
+
+def _windows(docs, length):
+    """A row ``(doc_id, place, hash)`` for each window of ``length`` template tokens.
+
+    The hashes are made in one array per text, so that exploding it carries nothing else; the
+    one-element transform names the tokens' hashes, so that they are made once.
+    """
+
+    def hashes(codes):
+        spots = F.sequence(F.lit(0), F.size(codes) - length)
+        many = F.transform(spots, lambda i: F.xxhash64(F.lit(length), *[F.get(codes, i + k) for k in range(length)]))
+        return F.when(F.size(codes) >= length, many).otherwise(F.array().cast("array<bigint>"))
+
+    found = F.get(F.transform(F.array(_codes(F.col("text"))), hashes), 0)
+    return docs.select("doc_id", F.posexplode(found).alias("place", "hash"))
 
 
 def _codes(text):
@@ -131,11 +134,10 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     # At most ``window`` lengths and one count come to the driver.
     lengths = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
     small = sum(lengths.values()) <= BROADCAST_WINDOWS
-    coded = docs.select("doc_id", _codes(F.col("text")).alias("codes"))
     joined = []
     for length in lengths or {window: 0}:
         some = items.filter(F.col("length") == length).select("hash", "item_id", "item_place")
-        joined.append(_windows(coded, length).join(F.broadcast(some) if small else some, "hash"))
+        joined.append(_windows(docs, length).join(F.broadcast(some) if small else some, "hash"))
     hits = reduce(lambda a, b: a.union(b), joined).select(
         "doc_id", "item_id", "item_place", (F.col("place") - F.col("item_place")).alias("shift")
     )

@@ -29,8 +29,9 @@ def sketch(text, n=SHINGLE, k=K):
     A text of one to ``n - 1`` words has the one shingle of all its words; NULL and empty
     texts have an empty sketch.
     """
-    pieces = F.split(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), r"[\x20\x09-\x0D]+")
-    words = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0))), lambda w: F.xxhash64(w))
+    # Only a text's beginning and end can give an empty piece.
+    pieces = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    words = F.transform(pieces, lambda w: F.xxhash64(w))
 
     def shingles(w):
         many = F.transform(
