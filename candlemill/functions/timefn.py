@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
-TEXT_FORMAT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+TEXT_FORMAT = r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)(?:Z|([+-])(\d{2}):?(\d{2}))?$"
 
 
 def _col(c):
@@ -57,9 +57,18 @@ def bar_start_ms(ts, interval_ms) -> Column:
 
 
 def parse_text(text) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text as ``timestamp_ntz``; anything else is NULL."""
+    """Date and time text as ``timestamp_ntz`` in UTC; anything else is NULL.
+
+    Reads ``yyyy-MM-dd HH:mm``, with a blank or ``T`` between, with or without seconds, their
+    fraction (up to six digits) and a zone (``Z`` or an offset, which is taken off).
+    """
     text = _col(text)
-    return F.when(text.rlike(TEXT_FORMAT), text.try_cast("timestamp_ntz"))
+    part = lambda i: F.regexp_extract(text, TEXT_FORMAT, i)
+    wall = F.replace(part(1), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
+    number = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
+    offset = F.make_dt_interval(F.lit(0), number(3), number(4), F.lit(0).cast("decimal(18,6)"))
+    shifted = F.when(part(2) == "+", wall - offset).when(part(2) == "-", wall + offset).otherwise(wall)
+    return F.when(text.rlike(TEXT_FORMAT), shifted)
 
 
 def format_text(ts) -> Column:

@@ -1,14 +1,15 @@
 """Keyed merges on (symbol, timestamp).
 
-An ``order`` column, where given, is the arrival number of a row. Duplicates
-inside one batch are reduced by aggregation, which combines on the map side, so
-any number of copies of one key is harmless.
+An ``order`` column, where given, is the arrival number of a row. Without one, equal keys
+of a batch are ordered by their values, NULLs first: an arbitrary rule, but the same on every
+run. Duplicates inside one batch are reduced by aggregation, which combines on the map side,
+so any number of copies of one key is harmless.
 """
 
 from pyspark.sql import functions as F
 
 from candlemill.operators.newest import newest_n
-from candlemill.schemas import CANDLE_COLS, KEY
+from candlemill.schemas import CANDLE_COLS, KEY, VALUES
 
 
 def _reduce(rows, keys, order, pick):
@@ -24,6 +25,16 @@ def last_arrived(rows, order, keys=KEY):
     return _reduce(rows, keys, order, F.max_by)
 
 
+def one_per_key(rows, order, reduce):
+    """One row per key: by ``order``, or by the values where there is none.
+
+    Ties in ``order`` go by the values too.
+    """
+    values = [c for c in VALUES if c in rows.columns]
+    numbered = rows.withColumn("_order", F.struct(*([order] if order else []), *values))
+    return reduce(numbered, "_order").drop("_order")
+
+
 def new_rows(target, incoming, order=None):
     """Incoming rows whose key the target lacks; the first of equal keys.
 
@@ -31,8 +42,7 @@ def new_rows(target, incoming, order=None):
     broadcasts the batch side of that semi join when it is small enough, so a
     small batch does not shuffle a large target.
     """
-    batch = first_arrived(incoming, order) if order else incoming.dropDuplicates(KEY)
-    batch = batch.select(*CANDLE_COLS)
+    batch = one_per_key(incoming, order, first_arrived).select(*CANDLE_COLS)
     taken = target.select(*KEY).join(batch.select(*KEY), KEY, "left_semi")
     return batch.join(taken, KEY, "left_anti")
 
@@ -44,8 +54,7 @@ def insert_ignore(target, incoming, order=None):
 
 def upsert(target, incoming, order=None):
     """The target with the batch written over it: the last write wins, in all six values."""
-    batch = last_arrived(incoming, order) if order else incoming
-    batch = batch.select(*CANDLE_COLS)
+    batch = one_per_key(incoming, order, last_arrived).select(*CANDLE_COLS)
     kept = target.select(*CANDLE_COLS).join(batch.select(*KEY), KEY, "left_anti")
     return kept.unionByName(batch)
 

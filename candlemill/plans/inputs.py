@@ -16,6 +16,7 @@ EVENT_SYMBOLS = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
 EMPTY_SYMBOL = "NONE"
 NOW = "2024-01-31 00:00:30"
 NOW_MS = 1_706_659_230_000
+GAP_NOW_MS = 1_707_523_230_000  # 2024-02-10 00:00:30: ten days after the last event
 UNFINISHED_MS = 1_706_659_200_000  # the hour that has begun at NOW
 STORED_BEFORE = "2024-01-21 00:00:00"
 LIVE_FROM = "2024-01-19 00:00:00"

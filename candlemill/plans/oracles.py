@@ -148,13 +148,13 @@ BACKTEST_SELECT = f"""SELECT "timestamp" AS "Time", symbol AS "Symbol", close AS
     FROM shown"""
 
 HOUR = I.HOUR_MS
-LATEST = f"""{STORED}, {SYMBOLS},
+LATEST = f"""{CANDLES}, {SYMBOLS},
     latest AS (
         SELECT s.symbol, max(epoch_ms(c."timestamp")) AS latest_ms
-        FROM symbols s LEFT JOIN stored c ON c.symbol = s.symbol GROUP BY 1),
+        FROM symbols s LEFT JOIN candles c ON c.symbol = s.symbol GROUP BY 1),
     plan AS (
         SELECT symbol, latest_ms, latest_ms + 1 AS start_ms,
-               coalesce({I.NOW_MS} - (latest_ms + 1) >= {HOUR}, false) AS needed FROM latest)"""
+               coalesce({I.GAP_NOW_MS} - (latest_ms + 1) >= {HOUR}, false) AS needed FROM latest)"""
 
 # The pages cover the candles from LIVE_FROM on, plus one unfinished bar to be dropped.
 FETCHED = f"""{STORED}, {RECENT}, fetched AS (
@@ -197,6 +197,9 @@ ORACLES = {
     "symbol_from_path": f"""WITH {CANDLES}
         SELECT symbol, count(*) AS n_rows FROM candles GROUP BY 1
         UNION ALL SELECT '', count(*) FROM candles WHERE symbol = 'ERROR'""",
+    "csv_rejects": f"""WITH {CANDLES}
+        SELECT symbol, 'bad time' AS reason, count(*) AS n_rows FROM candles
+        WHERE date_part('hour', "timestamp") = 0 GROUP BY 1""",
     "canonical_candles": f"WITH {CANDLES} SELECT * FROM candles",
     "rest_page_decode": f"""WITH {CANDLES}, rows_ AS (
             SELECT * FROM candles UNION ALL
@@ -215,9 +218,10 @@ ORACLES = {
     "candle_rolling_train": f"WITH {CANDLES} SELECT *, {TRAIN_ROLL} FROM candles",
     "candle_rolling_serve": f"""WITH {CANDLES}, feat AS (SELECT *, {SERVE_ROLL} FROM candles)
         SELECT {COLS}, {SERVE_ROLL_8} FROM feat""",
-    "candle_returns": f"""WITH {CANDLES}
+    "candle_returns": f"""WITH {CANDLES}, rows_ AS (
+            SELECT * REPLACE (CASE WHEN number_of_trades = 1 THEN 0.0 ELSE open END AS open) FROM candles)
         SELECT *, {SPREAD_8}, {PCT_8}, round({PCT_GUARDED}, 8) AS price_change_pct_guarded
-        FROM candles""",
+        FROM rows_""",
     "candle_features_train": train_features(CANDLES),
     "candle_features_train_wide": wide(train_features(SUPPLIER)),
     "candle_features_serve": f"WITH {CANDLES}, {serve('candles', 'feat')} {SERVE_SELECT}",
@@ -255,6 +259,14 @@ ORACLES = {
         WHERE NOT EXISTS (SELECT 1 FROM batch b
                           WHERE b.symbol = s.symbol AND b."timestamp" = s."timestamp")
         UNION ALL SELECT {COLS} FROM batch""",
+    "merge_repeated_keys": f"WITH {MERGED} SELECT {COLS} FROM merged",
+    "table_upsert_commit": f"WITH {MERGED} SELECT {COLS} FROM merged",
+    "table_insert_commit": f"""WITH {STORED}, {LIVE}
+        SELECT {COLS} FROM stored UNION ALL
+        SELECT {COLS} FROM live l
+        WHERE NOT EXISTS (SELECT 1 FROM stored s
+                          WHERE s.symbol = l.symbol AND s."timestamp" = l."timestamp")""",
+    "table_newest": f"WITH {CANDLES} {newest('candles', CHART_BARS)}",
     "live_history_merge": f"WITH {MERGED} SELECT * FROM merged",
     "live_history_chart": f"WITH {MERGED} {newest('merged', CHART_BARS)}",
     "candle_metrics": f"""WITH {MERGED},
@@ -313,7 +325,7 @@ ORACLES = {
             SELECT symbol, latest_ms, page + 1,
                    latest_ms + ((page + 1) * {I.PAGE_BARS} + 1) * {HOUR}
             FROM pages
-            WHERE latest_ms + ((page + 1) * {I.PAGE_BARS} + 1) * {HOUR} < {I.NOW_MS})
+            WHERE latest_ms + ((page + 1) * {I.PAGE_BARS} + 1) * {HOUR} < {I.GAP_NOW_MS})
         SELECT symbol, page, start_ms FROM pages""",
     "gap_backfill": f"""WITH {FETCHED}
         SELECT {COLS} FROM stored UNION ALL SELECT {COLS} FROM fetched""",
@@ -327,7 +339,8 @@ ORACLES = {
         SELECT symbol, "timestamp" FROM grid
         EXCEPT SELECT symbol, "timestamp" FROM candles""",
     "dq_no_null_prices": f"""WITH {CANDLES}
-        SELECT count(*) = 0 AS ok FROM candles WHERE close IS NULL OR volume IS NULL""",
+        SELECT symbol, count(*) FILTER (WHERE symbol = 'VIEW' AND number_of_trades = 1) = 0 AS ok
+        FROM candles GROUP BY 1""",
     "dq_zero_volume": f"""WITH {CANDLES}
         SELECT symbol, count(*) AS n_rows, count(*) FILTER (WHERE floor(volume) = 0) AS n_zero_volume
         FROM candles GROUP BY 1""",
@@ -336,8 +349,8 @@ ORACLES = {
                   UNION ALL SELECT symbol, "timestamp" FROM recent)
         SELECT symbol, "timestamp", count(*) AS n_rows FROM both_ GROUP BY 1, 2 HAVING count(*) > 1""",
     "dq_null_keys": f"""WITH {CANDLES}
-        SELECT count(*) FILTER (WHERE symbol IS NULL) AS n_null_symbol,
-               count(*) FILTER (WHERE "timestamp" IS NULL) AS n_null_timestamp FROM candles""",
+        SELECT count(*) FILTER (WHERE number_of_trades = 1) AS n_null_symbol,
+               count(*) FILTER (WHERE number_of_trades = 2) AS n_null_timestamp FROM candles""",
     "feed_demux_ticker": f"WITH {TICKERS} SELECT * FROM tickers",
     "feed_demux_kline": f"""WITH {KLINES}
         SELECT "offset", 'kline' AS type, symbol, {KLINE_TEXT} AS "timestamp", {VALUE_COLS}, is_closed
@@ -351,6 +364,12 @@ ORACLES = {
             'number_of_trades': number_of_trades, 'is_closed': is_closed}}) AS VARCHAR) AS value
         FROM klines""",
     "kline_stream_decode": f"WITH {KLINES} SELECT * FROM klines",
+    "topic_rejects": f"""WITH {KLINES}, {TICKERS}, sent AS (
+            SELECT "offset", true AS kline FROM klines UNION ALL SELECT "offset", false FROM tickers)
+        SELECT "offset", CASE WHEN "offset" % 97 = 0 THEN 'no message'
+                              WHEN "offset" % 101 = 0 THEN 'bad time' ELSE 'bad field' END AS reason
+        FROM sent
+        WHERE "offset" % 97 = 0 OR kline AND ("offset" % 101 = 0 OR "offset" % 103 = 0)""",
     "live_candle_state": f"WITH {STATE} SELECT * FROM state",
     "live_state_chart": f"""WITH {STATE}, {STORED}, merged AS (
             SELECT {COLS}, CAST(NULL AS BOOLEAN) AS is_closed FROM stored s
@@ -364,4 +383,10 @@ ORACLES = {
     "closed_candle_stream": f"WITH {CANDLES} SELECT * FROM candles",
     "ticker_latest": f"""WITH {TICKERS} SELECT * FROM tickers
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "offset" DESC) = 1""",
+    "gbt_split_counts": f"""WITH {CANDLES}, {TRAINING_SET},
+        timed AS (SELECT CAST(epoch("timestamp") AS BIGINT) AS ts_unix FROM training),
+        cut AS (SELECT quantile_disc(ts_unix, 0.8) AS split_time FROM timed)
+        SELECT count(*) FILTER (WHERE ts_unix <= split_time) AS n_train,
+               count(*) FILTER (WHERE ts_unix > split_time) AS n_test, max(split_time) AS split_at
+        FROM timed, cut""",
 }

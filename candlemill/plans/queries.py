@@ -1,5 +1,7 @@
 """The registered queries: each reads the given tables and returns one DataFrame."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from candlemill.functions.timefn import from_epoch_ms
@@ -10,12 +12,12 @@ from candlemill.plans import inputs as I
 from candlemill.schemas import CANDLE_COLS, KEY
 from candlemill.session import scratch_path
 from candlemill.sinks.csvfiles import write_csv
+from candlemill.sinks.store import CandleStore
 from candlemill.sources import csvfiles, feed, rest
 from candlemill.sources.canonical import canonical
 from candlemill.sources.landed import read_landed
 from candlemill.streaming import live
 
-TREES = 5  # boosting rounds in the registered model queries; the jobs default to 80
 BACKTEST_LIMIT = 20
 CHART_BARS = 100
 STATS = ["rolling_avg_close_5", "rolling_avg_15m", "rolling_avg_1h", "volatility_15m"]
@@ -64,6 +66,18 @@ def _csv_folder(spark, sf_dir):
     return path
 
 
+def csv_rejects(spark, sf_dir):
+    """Rows of files in which the times of midnight bars were damaged."""
+    path = scratch_path(spark, "csv-damaged")
+    candles = I.candles(spark, sf_dir).withColumn("timestamp", F.col("timestamp").cast("string"))
+    midnight = F.col("timestamp").like("% 00:00:00")
+    damaged = candles.withColumn("timestamp", F.when(midnight, "n/a").otherwise(F.col("timestamp")))
+    named = damaged.withColumn("file", F.concat("symbol", F.lit("_1m_1year.csv"))).drop("symbol")
+    named.write.partitionBy("file").option("header", True).csv(path)
+    rows = csvfiles.rejected_rows(spark, path.replace("\\", "/"))
+    return rows.groupBy("symbol", "reason").agg(F.count("*").alias("n_rows"))
+
+
 def canonical_candles(spark, sf_dir):
     text = I.candles(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in CANDLE_COLS])
     return canonical(text)
@@ -108,7 +122,10 @@ def candle_rolling_serve(spark, sf_dir):
 
 
 def candle_returns(spark, sf_dir):
-    return _shown(features.returns(I.candles(spark, sf_dir)))
+    """Bars of one trade open at 0 here, which a ratio must survive."""
+    quiet = F.col("number_of_trades") == 1
+    candles = I.candles(spark, sf_dir)
+    return _shown(features.returns(candles.withColumn("open", F.when(quiet, 0.0).otherwise(F.col("open")))))
 
 
 def candle_features_train(spark, sf_dir):
@@ -178,6 +195,41 @@ def merge_upsert_last_wins(spark, sf_dir):
     return merge.upsert(I.stored_candles(spark, sf_dir), batch, order="event_id")
 
 
+def _table(spark, sf_dir):
+    """A stored table on disk that holds the stored candles."""
+    store = CandleStore(spark, scratch_path(spark, "table"))
+    store.insert_ignore(I.stored_candles(spark, sf_dir))
+    return store
+
+
+def table_upsert_commit(spark, sf_dir):
+    """The stored table after the live candles are committed over it, read back."""
+    store = _table(spark, sf_dir)
+    store.upsert(I.live_candles(spark, sf_dir))
+    return store.read()
+
+
+def table_insert_commit(spark, sf_dir):
+    """The stored table after the live candles it lacks are committed, read back."""
+    store = _table(spark, sf_dir)
+    store.insert_ignore(I.live_candles(spark, sf_dir))
+    return store.read()
+
+
+def table_newest(spark, sf_dir):
+    """The newest candles of the stored table, read from its newest months alone."""
+    store = CandleStore(spark, scratch_path(spark, "table"))
+    store.insert_ignore(I.candles(spark, sf_dir))
+    return newest.newest_n(store.newest(CHART_BARS), CHART_BARS)
+
+
+def merge_repeated_keys(spark, sf_dir):
+    """A batch that gives a key several times and has no order: the greatest values win."""
+    candles = I.live_candles(spark, sf_dir).select(*CANDLE_COLS)
+    other = candles.withColumn("open", F.col("open") - 1)
+    return merge.upsert(I.stored_candles(spark, sf_dir), candles.unionByName(other).unionByName(candles))
+
+
 def live_history_merge(spark, sf_dir):
     return merge.live_over_stored(*_halves(spark, sf_dir))
 
@@ -222,7 +274,7 @@ def signal_accuracy(spark, sf_dir):
 
 def _tail_plan(spark, sf_dir):
     symbols = I.symbol_table(spark, [I.EMPTY_SYMBOL])
-    return gaps.tail_plan(I.stored_candles(spark, sf_dir), symbols, I.NOW_MS, I.HOUR_MS)
+    return gaps.tail_plan(I.candles(spark, sf_dir), symbols, I.GAP_NOW_MS, I.HOUR_MS)
 
 
 def gap_plan(spark, sf_dir):
@@ -231,11 +283,11 @@ def gap_plan(spark, sf_dir):
 
 def gap_plan_startup(spark, sf_dir):
     symbols = I.symbol_table(spark, [I.EMPTY_SYMBOL])
-    return gaps.startup_plan(I.stored_candles(spark, sf_dir), symbols, I.HOUR_MS)
+    return gaps.startup_plan(I.candles(spark, sf_dir), symbols, I.HOUR_MS)
 
 
 def gap_pages(spark, sf_dir):
-    return gaps.page_plan(_tail_plan(spark, sf_dir), I.NOW_MS, I.HOUR_MS, I.PAGE_BARS)
+    return gaps.page_plan(_tail_plan(spark, sf_dir), I.GAP_NOW_MS, I.HOUR_MS, I.PAGE_BARS)
 
 
 def _fetched(spark, sf_dir):
@@ -256,7 +308,15 @@ def missing_bars(spark, sf_dir):
 
 
 def dq_no_null_prices(spark, sf_dir):
-    return quality.no_null_prices(I.candles(spark, sf_dir))
+    """Per symbol, whose closes were blanked where the symbol is VIEW and a bar has one trade."""
+    blank = (F.col("symbol") == "VIEW") & (F.col("number_of_trades") == 1)
+    candles = I.candles(spark, sf_dir)
+    damaged = candles.withColumn("close", F.when(~blank, F.col("close")))
+    checks = [
+        quality.no_null_prices(damaged.filter(F.col("symbol") == s)).select(F.lit(s).alias("symbol"), "ok")
+        for s in I.EVENT_SYMBOLS
+    ]
+    return reduce(lambda a, b: a.unionByName(b), checks)
 
 
 def dq_zero_volume(spark, sf_dir):
@@ -272,7 +332,12 @@ def dq_key_unique(spark, sf_dir):
 
 
 def dq_null_keys(spark, sf_dir):
-    return quality.null_keys(I.candles(spark, sf_dir))
+    """Bars of one trade lose their symbol, bars of two their time."""
+    trades = F.col("number_of_trades")
+    damaged = I.candles(spark, sf_dir).withColumns(
+        {"symbol": F.when(trades != 1, F.col("symbol")), "timestamp": F.when(trades != 2, F.col("timestamp"))}
+    )
+    return quality.null_keys(damaged)
 
 
 # --- streams -----------------------------------------------------------------
@@ -319,6 +384,21 @@ def kline_stream_decode(spark, sf_dir):
     return _appended(spark, klines, "decoded")
 
 
+def topic_rejects(spark, sf_dir):
+    """The topic with some messages cut short, some times and some field names damaged."""
+    payloads = feed.publish(I.feed_messages(I.events(spark, sf_dir)))
+    at, value = F.col("offset"), F.col("value")
+    damaged = (
+        F.when(at % 97 == 0, "{bad")
+        .when(at % 101 == 0, F.regexp_replace(value, r'"timestamp":"(\d+)-', '"timestamp":"$1/'))
+        .when(at % 103 == 0, F.replace(value, F.lit('"high":'), F.lit('"hi":')))
+        .otherwise(value)
+    )
+    topic = I.landed(payloads.select("offset", damaged.alias("value")), "topic-damaged")
+    rows = feed.topic_rejects(read_landed(spark, topic), I.EVENT_SYMBOLS)
+    return _appended(spark, rows.select("offset", "reason"), "topic-rejects")
+
+
 def live_candle_state(spark, sf_dir):
     klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
     return _kept(live.live_candles(spark, scratch_path(spark, "live")), klines)
@@ -356,23 +436,34 @@ def ticker_latest(spark, sf_dir):
 
 def gbt_train(spark, sf_dir):
     """Retrains on everything, saves, loads, and reports the loaded model's importances."""
-    model = direction.train(I.candles(spark, sf_dir), I.HOUR_MS, maxIter=TREES)
+    model = direction.train(I.candles(spark, sf_dir), I.HOUR_MS)
     path = scratch_path(spark, "model")
     direction.save(model, path)
     return direction.importances(spark, direction.load(path), features.TRAIN_INPUTS)
 
 
+def gbt_split_counts(spark, sf_dir):
+    """Rows on either side of the split the evaluation uses, and its time."""
+    rows = features.training_set(I.candles(spark, sf_dir), I.HOUR_MS).select("timestamp", "label")
+    parts = split.time_split(direction.stored_once(rows, "training"), exact=True)
+    return parts.agg(
+        F.count_if("is_train").alias("n_train"),
+        F.count_if(~F.col("is_train")).alias("n_test"),
+        F.max(F.when(F.col("is_train"), F.col("ts_unix"))).alias("split_at"),
+    )
+
+
 def gbt_accuracy(spark, sf_dir):
     candles = I.candles(spark, sf_dir)
     _, report = direction.train_and_evaluate(
-        candles, exact=True, interval_ms=I.HOUR_MS, maxIter=TREES
+        candles, exact=True, interval_ms=I.HOUR_MS
     )
     return report
 
 
 def gbt_score(spark, sf_dir):
     candles = I.candles(spark, sf_dir)
-    model = direction.train(candles, I.HOUR_MS, maxIter=TREES)
+    model = direction.train(candles, I.HOUR_MS)
     path = scratch_path(spark, "model")
     direction.save(model, path)
     symbols = I.symbol_table(spark, [I.EMPTY_SYMBOL])
@@ -382,7 +473,7 @@ def gbt_score(spark, sf_dir):
 def gbt_regression(spark, sf_dir):
     """The regressor's prediction of the close after each symbol's newest candle."""
     candles = I.candles(spark, sf_dir)
-    model = direction.train_regressor(candles, I.HOUR_MS, maxIter=TREES)
+    model = direction.train_regressor(candles, I.HOUR_MS)
     recent = newest.newest_n(candles, signals.HISTORY_ROWS)
     rows = newest.newest_row(features.reg12_features(recent, slice_bars=None))
     return model.transform(rows).select("symbol", "timestamp", "close", "prediction")
@@ -392,6 +483,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         csv_candle_scan,
+        csv_rejects,
         symbol_from_path,
         canonical_candles,
         rest_page_decode,
@@ -414,6 +506,10 @@ QUERIES = {
         merge_insert_ignore,
         merge_upsert,
         merge_upsert_last_wins,
+        merge_repeated_keys,
+        table_upsert_commit,
+        table_insert_commit,
+        table_newest,
         live_history_merge,
         live_history_chart,
         candle_metrics,
@@ -436,12 +532,14 @@ QUERIES = {
         feed_rejects,
         kafka_payload_encode,
         kline_stream_decode,
+        topic_rejects,
         live_candle_state,
         live_state_chart,
         live_latest_candle,
         live_candle_retention,
         closed_candle_stream,
         ticker_latest,
+        gbt_split_counts,
         gbt_train,
         gbt_accuracy,
         gbt_score,

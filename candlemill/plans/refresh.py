@@ -1,36 +1,37 @@
 """Table jobs: seed from files, and the scheduled chain of gap fill, quality gate and retrain."""
 
 from candlemill.ml import direction
-from candlemill.operators import gaps, merge, quality
+from candlemill.operators import quality
 from candlemill.operators.slices import SLICE_BARS
 from candlemill.schemas import MINUTE_MS
 from candlemill.sources.csvfiles import read_candles
+from candlemill.sources.rest import closed_only, decode_pages
 
 
-def seed(spark, csv_path, candles):
-    """The table after the historical files are added; rows it has already stay as they are.
+def seed(spark, csv_path, store):
+    """Commits the historical files to the store; rows it has already stay as they are.
 
-    Rows without a readable time have no key and are left out.
+    Rows without a readable time have no key: ``csvfiles.rejected_rows`` lists them. Of rows
+    that several files give for one key the least by its values is taken. Returns what was added.
     """
-    history = read_candles(spark, csv_path).filter("timestamp IS NOT NULL")
-    return merge.insert_ignore(candles, history)
+    return store.insert_ignore(read_candles(spark, csv_path))
 
 
-def fill_gaps(candles, pages, now_ms, interval_ms=MINUTE_MS):
-    """The table after the landed pages are applied."""
-    return merge.insert_ignore(candles, gaps.fetched_rows(candles, pages, now_ms, interval_ms))
+def fill_gaps(store, pages, now_ms, interval_ms=MINUTE_MS):
+    """Commits the closed bars of the landed pages that the store lacks; returns them."""
+    return store.insert_ignore(closed_only(decode_pages(pages), now_ms, interval_ms))
 
 
 def refresh(
-    candles, pages, now_ms, model_path, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS, **settings
+    store, pages, now_ms, model_path, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS, **settings
 ):
     """Runs the steps in order; a failed check raises and nothing is trained or saved.
 
-    The filled table is written once to the shared folder, as the check and the
-    training both read it.
+    What was fetched is committed first and stays, so the next run does not fetch it again.
     """
-    filled = direction.stored_once(fill_gaps(candles, pages, now_ms, interval_ms), "filled")
-    quality.gate(filled)
-    model = direction.train(filled, interval_ms, slice_bars, **settings)
+    fill_gaps(store, pages, now_ms, interval_ms)
+    candles = store.read()
+    quality.gate(candles)
+    model = direction.train(candles, interval_ms, slice_bars, **settings)
     direction.save(model, model_path)
-    return filled, model
+    return candles, model

@@ -1,6 +1,8 @@
 """Session defaults and the shared scratch folder."""
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,12 +28,16 @@ def build_session(app="candlemill", master=None, **conf):
 
 
 def scratch_root(spark):
-    """The folder named by ``spark.checkpoint.dir``; local sessions may lack one."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Local sessions may lack one: they get a folder of their own, removed when Python ends.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="candlemill-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)

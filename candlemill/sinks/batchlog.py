@@ -1,16 +1,24 @@
 """A keyed table fed by micro-batches, as plain Parquet folders.
 
-``<path>/batches/batch=<id>``   reduced rows of one micro-batch
-``<path>/base/version=<id>``    everything up to and including batch ``id``
-``<path>/folds``                one JSON record per finished base version
+``<path>/batches/run=<r>/batch=<id>``  reduced rows of one micro-batch
+``<path>/finished``                    one record per finished batch
+``<path>/base/version=<v>``            everything folded so far
+``<path>/folds``                       per base version, how far it goes in each run
 
-A replayed micro-batch overwrites its own folder, and reducing is idempotent, so
-replays change nothing. A base version counts once its record exists, which is
-written last: a run that dies half-way leaves the older version in force.
+Batch ids restart with every new checkpoint, so a batch is named by its run as well: an id
+kept in the checkpoint folder. Ids of different runs are never compared; what counts between
+runs is the order the rows carry. Batches and base versions count once their record exists,
+which is written last, so readers never see a part of one. A replayed micro-batch overwrites
+its own folder, and reducing is idempotent, so replays change nothing.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
+#: Finished batches after which a running stream folds them into the base.
+FOLD_EVERY = 100
+
 
 class BatchLog:
     """``reduce`` maps rows to the rows worth keeping; it must be associative and idempotent.
@@ -19,72 +27,107 @@ class BatchLog:
     both are reduced together.
     """
 
-    def __init__(self, spark, path, schema, reduce, combine=None):
+    def __init__(self, spark, path, schema, reduce, combine=None, fold_every=FOLD_EVERY):
         self.spark = spark
         self.path = path
         self.schema = schema
         self.reduce = reduce
         self.combine = combine or (lambda base, recent: reduce(base.unionByName(recent)))
+        self.fold_every = fold_every
+        self.run_id = None
+        self._state = None  # what the records say, while a stream of this log runs
 
     def _prepare(self):
         # Writes only when the folders are new, so that readers find something to list.
-        empty = self.spark.createDataFrame([], self.schema)
-        empty.write.mode("ignore").parquet(f"{self.path}/batches/batch=-1")
-        folds = self.spark.createDataFrame([(-1,)], "version long")
-        folds.write.mode("ignore").json(f"{self.path}/folds")
+        self._records([("", -1)], "run string, batch long").write.mode("ignore").json(f"{self.path}/finished")
+        self._records([(0, "", -1)], "version long, run string, through long").write.mode("ignore").json(
+            f"{self.path}/folds"
+        )
+
+    def _records(self, rows, schema):
+        """A few rows in one file."""
+        structs = F.array(*[F.struct(*[F.lit(x) for x in row]) for row in rows])
+        return self.spark.range(1).select(F.inline(structs.cast(f"array<struct<{schema.replace(' ', ':')}>>".replace(",:", ","))))
+
+    def _run_of(self, checkpoint):
+        """The id of the run that owns a checkpoint; a new checkpoint gets a new one."""
+        place = f"{checkpoint}/run-id"
+        self._records([(uuid.uuid4().hex,)], "run string").write.mode("ignore").json(place)
+        return self.spark.read.schema("run string").json(place).first()["run"]
+
+    def _folder(self, run, batch_id):
+        return f"{self.path}/batches/run={run}/batch={batch_id}"
+
+    def _base(self):
+        """The base version in force and how far it goes in each run."""
+        folds = self.spark.read.schema("version long, run string, through long").json(f"{self.path}/folds")
+        last = folds.filter(F.col("version") == folds.agg(F.max("version")).first()[0]).collect()
+        return last[0]["version"], {r["run"]: r["through"] for r in last}
+
+    def _pending(self, through):
+        """Finished batches the base lacks; folding keeps their number small."""
+        finished = self.spark.read.schema("run string, batch long").json(f"{self.path}/finished").distinct()
+        names = [(r["run"], r["batch"]) for r in finished.collect() if r["batch"] >= 0]
+        return sorted((run, b) for run, b in names if b > through.get(run, -1))
+
+    def _known(self):
+        version, through = self._base()
+        return version, through, self._pending(through)
 
     def write(self, batch, batch_id):
-        """``foreachBatch`` target."""
+        """``foreachBatch`` target. One stream feeds a log at a time."""
+        version, through, pending = self._state or self._known()
+        if batch_id <= through.get(self.run_id, -1):
+            return  # a replay of a batch that is in the base already
         rows = self.reduce(batch).select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(self._folder(self.run_id, batch_id))
+        record = self._records([(self.run_id, batch_id)], "run string, batch long")
+        record.write.mode("append").json(f"{self.path}/finished")
+        pending = sorted({*pending, (self.run_id, batch_id)})
+        self._state = version, through, pending
+        if self.fold_every and len(pending) >= self.fold_every:
+            self.fold()
 
-    def start(self, stream, checkpoint):
-        """Starts the stream that feeds the log with what is available now."""
+    def start(self, stream, checkpoint, every=None):
+        """Starts the stream that feeds the log: with what is available now, or, with a time
+        such as ``"10 seconds"``, for as long as it is left running."""
         self._prepare()
-        return (
-            stream.writeStream.foreachBatch(self.write)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+        self.run_id = self._run_of(checkpoint)
+        self._state = self._known()
+        writer = stream.writeStream.foreachBatch(self.write).option("checkpointLocation", checkpoint)
+        return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
     def run(self, stream, checkpoint):
         """Feeds the log and returns its table."""
         self.start(stream, checkpoint).awaitTermination()
         return self.read()
 
-    def _version(self):
-        folds = self.spark.read.schema("version long").json(f"{self.path}/folds")
-        return folds.agg(F.max("version")).first()[0]
-
-    def _recent(self, after):
-        batches = self.spark.read.schema(self.schema).parquet(f"{self.path}/batches")
-        names = self.schema.fieldNames()
-        return self.reduce(batches.filter(F.col("batch") > after).select(*names))
+    def _table(self, version, pending):
+        read = self.spark.read.schema(self.schema)
+        if pending:
+            recent = self.reduce(read.parquet(*[self._folder(*name) for name in pending]))
+        else:
+            recent = self.spark.createDataFrame([], self.schema)
+        if version == 0:
+            return recent
+        return self.combine(read.parquet(f"{self.path}/base/version={version}"), recent)
 
     def read(self):
         """The table as of the last finished batch."""
-        version = self._version()
-        recent = self._recent(version)
-        if version < 0:
-            return recent
-        base = self.spark.read.schema(self.schema).parquet(f"{self.path}/base/version={version}")
-        return self.combine(base, recent)
+        version, _, pending = self._known()
+        return self._table(version, pending)
 
-    def fold(self, batch_id):
-        """Writes everything through ``batch_id`` as the new base."""
-        version = self._version()
-        if batch_id <= version:
+    def fold(self):
+        """Writes the table as a new base; batches finished meanwhile stay outside it."""
+        version, through, pending = self._known()
+        if not pending:
             return
-        batches = self.spark.read.schema(self.schema).parquet(f"{self.path}/batches")
-        names = self.schema.fieldNames()
-        due = batches.filter(F.col("batch").between(version + 1, batch_id)).select(*names)
-        rows = self.reduce(due)
-        if version >= 0:
-            base = self.spark.read.schema(self.schema).parquet(
-                f"{self.path}/base/version={version}"
-            )
-            rows = self.combine(base, rows)
-        rows.write.mode("overwrite").parquet(f"{self.path}/base/version={batch_id}")
-        record = self.spark.createDataFrame([(batch_id,)], "version long")
-        record.write.mode("append").json(f"{self.path}/folds")
+        rows = self._table(version, pending).select(*self.schema.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{self.path}/base/version={version + 1}")
+        for run, batch_id in pending:
+            through[run] = max(batch_id, through.get(run, -1))
+        records = [(version + 1, run, batch_id) for run, batch_id in through.items()]
+        self._records(records, "version long, run string, through long").write.mode("append").json(
+            f"{self.path}/folds"
+        )
+        self._state = version + 1, through, []

@@ -1,0 +1,137 @@
+"""A keyed candle table as Parquet folders, changed by commits.
+
+``<path>/data/version=<v>/symbol=<s>/month=<m>``  rows written by commit ``v``
+``<path>/manifests/version=<v>``                  which version holds each (symbol, month)
+``<path>/versions``                               one record per finished commit
+
+A commit rewrites only the months of the symbols it touches. It counts once its record
+exists, which is written last: readers see the table before or after it, never between, and a
+commit that dies half-way leaves nothing but folders nobody reads. One job commits at a time.
+"""
+
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from candlemill.operators import merge
+from candlemill.schemas import CANDLE_SCHEMA, KEY
+from candlemill.session import scratch_path
+
+MANIFEST = "symbol string, month string, version long, n_rows long"
+_PART = ["symbol", "month"]
+
+
+def _month():
+    return F.substring(F.col("timestamp").cast("string"), 1, 7)
+
+
+class CandleStore:
+    """Rows are keyed by (symbol, timestamp); ``schema`` may hold further columns."""
+
+    def __init__(self, spark, path, schema=CANDLE_SCHEMA):
+        self.spark, self.path = spark, path
+        # Read back, every column may be NULL as far as Parquet knows.
+        self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
+    def _prepare(self):
+        record = self.spark.createDataFrame([(0,)], "version long")
+        self.spark.createDataFrame([], MANIFEST).write.mode("ignore").parquet(self._manifest_path(0))
+        record.write.mode("ignore").json(f"{self.path}/versions")
+
+    def _manifest_path(self, version):
+        return f"{self.path}/manifests/version={version}"
+
+    def version(self):
+        """Number of the last finished commit."""
+        self._prepare()
+        records = self.spark.read.schema("version long").json(f"{self.path}/versions")
+        return records.agg(F.max("version")).first()[0]
+
+    def manifest(self):
+        """``(symbol, month, version, n_rows)`` of the table as it stands."""
+        return self.spark.read.schema(MANIFEST).parquet(self._manifest_path(self.version()))
+
+    def _rows(self, manifest):
+        """Rows of the given parts. A part is one month of one symbol."""
+        parts = [tuple(r) for r in manifest.select("version", *_PART).collect()]
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        versions = sorted({p[0] for p in parts})
+        fields = [f for f in self.schema if f.name != "symbol"]
+        schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in _PART], T.StructField("version", T.LongType())])
+        data = (
+            self.spark.read.schema(schema)
+            .option("basePath", f"{self.path}/data")
+            .parquet(*[f"{self.path}/data/version={v}" for v in versions])
+        )
+        listed = self.spark.createDataFrame(parts, "version long, symbol string, month string")
+        # Bounded by the number of parts; it prunes folders when the scan starts.
+        return data.join(F.broadcast(listed), ["version", *_PART], "left_semi").select(*self.schema.fieldNames())
+
+    def read(self, symbols=None):
+        """The whole table, or the given symbols."""
+        manifest = self.manifest()
+        return self._rows(manifest if symbols is None else manifest.filter(F.col("symbol").isin(list(symbols))))
+
+    def newest_parts(self, n):
+        """The newest months of each symbol that together hold its ``n`` newest candles.
+
+        Keys are unique, so the manifest's row counts tell how far back to go, and a symbol
+        with few candles a month simply takes more months.
+        """
+        later = W.partitionBy("symbol").orderBy(F.desc("month")).rowsBetween(W.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("n_rows").over(later), F.lit(0))
+        return self.manifest().withColumn("before", before).filter(F.col("before") < n)
+
+    def newest(self, n):
+        """A superset of the ``n`` newest candles per symbol, from the fewest months."""
+        return self._rows(self.newest_parts(n))
+
+    def _commit(self, batch, merged):
+        """Replaces the parts a batch touches by ``merged(stored rows of these parts)``."""
+        current = self.version()
+        manifest = self.spark.read.schema(MANIFEST).parquet(self._manifest_path(current))
+        touched = batch.select("symbol", _month().alias("month")).distinct()
+        touched_parts = manifest.join(touched, _PART, "left_semi")
+        rows = merged(self._rows(touched_parts)).select(*self.schema.fieldNames())
+        new = current + 1
+        data = f"{self.path}/data/version={new}"
+        rows.withColumn("month", _month()).write.mode("overwrite").partitionBy(*_PART).parquet(data)
+        fields = [f for f in self.schema if f.name != "symbol"]
+        schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in _PART]])
+        written = self.spark.read.schema(schema).parquet(data).groupBy(*_PART).agg(F.count("*").alias("n_rows"))
+        written = written.select(*_PART, F.lit(new).cast("long").alias("version"), "n_rows")
+        kept = manifest.join(touched, _PART, "left_anti")
+        kept.unionByName(written).coalesce(1).write.mode("overwrite").parquet(self._manifest_path(new))
+        self.spark.createDataFrame([(new,)], "version long").write.mode("append").json(f"{self.path}/versions")
+
+    def _batch(self, rows):
+        """The batch, written once, as the commit reads it more than once."""
+        path = scratch_path(self.spark, "commit")
+        rows.filter(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull()).write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def upsert(self, rows, order=None):
+        """Commits ``rows`` over the table; of equal keys the last by ``order`` counts
+        (see ``merge``).
+
+        Rows without a key are left out. Committing a batch again changes nothing.
+        """
+        batch = self._batch(merge.one_per_key(rows, order, merge.last_arrived))
+        if not batch.isEmpty():
+            names = self.schema.fieldNames()
+            self._commit(batch, lambda stored: stored.join(batch.select(*KEY), KEY, "left_anti").unionByName(batch.select(*names)))
+
+    def insert_ignore(self, rows, order=None):
+        """Commits the rows whose key the table lacks; of equal keys the first by ``order``.
+
+        Only months that gain a candle are rewritten, so a batch of known keys commits nothing.
+        """
+        batch = self._batch(merge.one_per_key(rows, order, merge.first_arrived))
+        touched = batch.select("symbol", _month().alias("month")).distinct()
+        stored = self._rows(self.manifest().join(touched, _PART, "left_semi"))
+        fresh = self._batch(batch.join(stored.select(*KEY), KEY, "left_anti"))
+        if not fresh.isEmpty():
+            names = self.schema.fieldNames()
+            self._commit(fresh, lambda old: old.unionByName(fresh.select(*names)))
+        return fresh.select(*self.schema.fieldNames())

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from candlemill.functions.timefn import parse_text
 from candlemill.schemas import CSV_SCHEMA
 from candlemill.sources.canonical import canonical
 
@@ -36,3 +37,9 @@ def rejected_files(spark, path):
     """Rows per file whose name carries no symbol."""
     rejected = scan_csv(spark, path).filter(F.col("symbol") == "")
     return rejected.groupBy("path").agg(F.count("*").alias("n_rows"))
+
+
+def rejected_rows(spark, path):
+    """Rows of symbol files whose time cannot be read: they have no key, so no job stores them."""
+    rows = scan_csv(spark, path).filter(F.col("symbol") != "")
+    return rows.filter(parse_text("timestamp").isNull()).withColumn("reason", F.lit("bad time"))

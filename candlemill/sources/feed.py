@@ -122,23 +122,43 @@ def message_price(price, close):
     return F.when(F.coalesce(price, F.lit(0.0)) != 0, price).otherwise(close)
 
 
-def decode_klines(messages, symbols):
-    """Topic messages to typed live candles of the allowed symbols.
-
-    Tickers, other symbols and unreadable messages are skipped.
-    """
+def _candle_messages(messages, symbols):
+    """Candle messages of the allowed symbols, with their typed fields."""
     parsed = _once(messages, "msg", F.from_json("value", KLINE_SCHEMA))
-    symbol = F.upper("msg.symbol")
-    wanted = parsed.filter((F.col("msg.type") == "kline") & symbol.isin(list(symbols)))
     typed = F.struct(
         parse_text("msg.timestamp").alias("timestamp"),
         *[number(f"msg.{c}").alias(c) for c in PRICES],
         number("msg.number_of_trades", "long").alias("number_of_trades"),
         F.col("msg.is_closed").alias("is_closed"),
     )
-    rows = _once(wanted, "typed", typed).filter(_complete("typed", FIELDS["kline"]))
+    wanted = (F.col("msg.type") == "kline") & F.upper("msg.symbol").isin(list(symbols))
+    return parsed, wanted, typed
+
+
+def decode_klines(messages, symbols):
+    """Topic messages to typed live candles of the allowed symbols.
+
+    Tickers and other symbols are skipped; unreadable messages go to ``topic_rejects``.
+    """
+    parsed, wanted, typed = _candle_messages(messages, symbols)
+    rows = _once(parsed.filter(wanted), "typed", typed).filter(_complete("typed", FIELDS["kline"]))
     fields = [F.col(f"typed.{name}").alias(name) for name in FIELDS["kline"]]
-    return rows.select(*_passed(messages), symbol.alias("symbol"), *fields)
+    return rows.select(*_passed(messages), F.upper("msg.symbol").alias("symbol"), *fields)
+
+
+def topic_rejects(messages, symbols):
+    """Topic messages that ought to be candles but cannot be read, with the reason.
+
+    Tickers and candles of other symbols are no rejects.
+    """
+    parsed, wanted, typed = _candle_messages(messages, symbols)
+    rows = _once(parsed, "typed", typed)
+    reason = (
+        F.when(F.col("msg.type").isNull(), "no message")
+        .when(wanted & F.col("typed.timestamp").isNull(), "bad time")
+        .when(wanted & ~_complete("typed", FIELDS["kline"]), "bad field")
+    )
+    return rows.withColumn("reason", reason).filter(F.col("reason").isNotNull()).select(*messages.columns, "reason")
 
 
 def encode(messages):

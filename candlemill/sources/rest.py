@@ -30,6 +30,18 @@ def decode_pages(pages):
     )
 
 
+def rejected_pages(pages):
+    """Pages that are no JSON array, and single rows without a readable open time."""
+    parsed = pages.withColumn("rows", F.from_json("value", REST_PAGE_TYPE))
+    whole = parsed.filter(F.col("rows").isNull()).select(
+        "symbol", "value", F.lit("no page").alias("reason")
+    )
+    rows = parsed.select("symbol", F.explode("rows").alias("cells"))
+    open_ms = number(F.get("cells", F.lit(REST_POSITIONS["open_time"])), "long")
+    bad = rows.filter(from_epoch_ms(open_ms).isNull())
+    return whole.unionByName(bad.select("symbol", F.to_json("cells").alias("value"), F.lit("bad time").alias("reason")))
+
+
 def closed_only(rows, now_ms, interval_ms):
     """Bars that had ended by ``now_ms``."""
     return rows.filter(F.col("open_ms") <= F.lit(now_ms - interval_ms))

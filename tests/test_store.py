@@ -1,0 +1,77 @@
+"""The stored table: commits, what readers see, and which months are read."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from candlemill.operators import merge, newest
+from candlemill.sinks.store import CandleStore
+
+T0 = datetime(2024, 1, 1)
+
+
+def row(symbol, day, close):
+    return (symbol, T0 + timedelta(days=day), close, close, close, close, close, 1)
+
+
+def table(df):
+    return {(r.symbol, (r.timestamp - T0).days): r.close for r in df.collect()}
+
+
+@pytest.fixture
+def store(spark, scratch):
+    return CandleStore(spark, scratch("store"))
+
+
+def test_commits_like_the_merges(spark, candles, store):
+    assert store.read().isEmpty() and store.version() == 0
+    store.insert_ignore(candles([row("A", 0, 1.0), row("A", 40, 2.0), row("B C/D", 0, 3.0)]))
+    store.insert_ignore(candles([row("A", 0, 9.0), row("A", 1, 4.0)]))
+    assert table(store.read()) == {("A", 0): 1.0, ("A", 1): 4.0, ("A", 40): 2.0, ("B C/D", 0): 3.0}
+    store.upsert(candles([row("A", 0, 5.0), row("E", 70, 6.0)]))
+    want = {("A", 0): 5.0, ("A", 1): 4.0, ("A", 40): 2.0, ("B C/D", 0): 3.0, ("E", 70): 6.0}
+    assert table(store.read()) == want
+    assert table(store.read(["E"])) == {("E", 70): 6.0}
+    # Untouched months stay where they were written.
+    assert {(r.symbol, r.month): r.version for r in store.manifest().collect()} == {
+        ("A", "2024-01"): 3, ("A", "2024-02"): 1, ("B C/D", "2024-01"): 1, ("E", "2024-03"): 3,
+    }
+
+
+def test_known_rows_and_rows_without_key_commit_nothing(spark, candles, store):
+    store.insert_ignore(candles([row("A", 0, 1.0)]))
+    keyless = candles([row("A", 1, 1.0)]).withColumn("symbol", F.lit(None).cast("string"))
+    store.insert_ignore(candles([row("A", 0, 7.0)]))
+    store.insert_ignore(keyless)
+    store.upsert(keyless)
+    assert store.version() == 1
+
+
+def test_a_commit_that_died_is_not_seen(spark, candles, store):
+    store.insert_ignore(candles([row("A", 0, 1.0)]))
+    left = candles([row("A", 0, 8.0)]).withColumn("month", F.lit("2024-01"))
+    left.write.partitionBy("symbol", "month").parquet(f"{store.path}/data/version=2")
+    assert table(store.read()) == {("A", 0): 1.0}
+    store.upsert(candles([row("A", 0, 2.0)]))
+    assert table(store.read()) == {("A", 0): 2.0}
+
+
+def test_repeated_keys_are_reduced_the_same_way_each_time(spark, candles, store):
+    batch = candles([row("A", 0, 3.0), row("A", 0, 5.0), row("A", 0, 4.0)])
+    assert table(merge.upsert(candles([]), batch)) == {("A", 0): 5.0}
+    assert table(merge.insert_ignore(candles([]), batch.repartition(5))) == {("A", 0): 3.0}
+    store.upsert(batch)
+    assert table(store.read()) == {("A", 0): 5.0}
+
+
+def test_newest_reads_no_more_months_than_needed(spark, candles, store):
+    dense = [row("A", d, float(d)) for d in range(0, 120)]
+    sparse = [row("B", d, float(d)) for d in range(0, 120, 40)]
+    store.insert_ignore(candles(dense + sparse))
+    months = {(r.symbol, r.month) for r in store.newest_parts(3).collect()}
+    assert {m for s, m in months if s == "A"} == {"2024-04"}
+    assert len({m for s, m in months if s == "B"}) == 3
+    got, want = store.newest(3), store.read()
+    assert table(newest.newest_n(got, 3)) == table(newest.newest_n(want, 3))
+    assert got.count() < want.count()

@@ -81,28 +81,60 @@ def test_stream_equals_batch_over_restarts(spark, scratch, job):
     assert rows_of(again) == rows_of(second)
 
 
-@pytest.mark.parametrize("job", JOBS)
+@pytest.mark.parametrize("job", ["closed", "retained"])
 def test_folding_and_replaying_batches_change_nothing(spark, scratch, job):
     make, _ = JOBS[job]
     topic, table = scratch("topic"), scratch("table")
     land(spark, topic, messages(9), 4)
     log = make(spark, table)
     before = rows_of(log.run(klines(spark, topic), scratch("cp")))
-    log.fold(1)
+    # The batch after the next fold is delivered once more, before and after it.
+    folder = f"{table}/batches/run={log.run_id}/batch=2"
+    replay = spark.createDataFrame(spark.read.schema(log.schema).parquet(folder).collect(), log.schema)
+    log.write(replay, 2)
     assert rows_of(log.read()) == before
-    # The batch after the fold is delivered once more.
-    replay = spark.read.schema(log.schema).parquet(f"{table}/batches/batch=2").cache()
-    replay.count()
+    log.fold()
     log.write(replay, 2)
     assert rows_of(log.read()) == before
-    log.fold(3)
-    log.fold(2)  # older than the base: nothing to do
+    log.fold()  # nothing new
     assert rows_of(log.read()) == before
-    # A base without its record, left by a run that died, is not read.
-    spark.createDataFrame([], log.schema).write.parquet(f"{table}/base/version=4")
+    # A base and a batch without their records, left by a run that died, are not read.
+    spark.createDataFrame([], log.schema).write.parquet(f"{table}/base/version=2")
+    replay.withColumn("offset", replay["offset"] + 1000).write.parquet(f"{table}/batches/run=dead/batch=0")
     assert rows_of(log.read()) == before
 
 
+@pytest.mark.parametrize("folded", [False, True])
+def test_a_fresh_checkpoint_loses_nothing(spark, scratch, folded):
+    """The topic's older messages are gone, the log has them; batch ids begin at 0 again."""
+    rows = messages(11)
+    table, old, new = scratch("table"), scratch("topic"), scratch("topic")
+    land(spark, old, rows[:80], 4)
+    log = live.closed_candles(spark, table)
+    log.run(klines(spark, old), scratch("cp"))
+    if folded:
+        log.fold()
+    land(spark, new, rows[80:], 1)
+    again = live.closed_candles(spark, table).run(klines(spark, new), scratch("cp"))
+    every = feed.decode_klines(spark.createDataFrame(rows, "offset long, value string"), NAMES)
+    want = last_arrived(every.filter("is_closed"), "offset", KEY)
+    assert rows_of(again) == rows_of(want.select(*again.columns))
+
+
+def test_a_running_stream_folds_by_itself(spark, scratch):
+    topic, table = scratch("topic"), scratch("table")
+    land(spark, topic, messages(12), 4)
+    log = live.live_candles(spark, table)
+    log.fold_every = 2
+    query = log.start(klines(spark, topic), scratch("cp"), every="0 seconds")
+    query.processAllAvailable()
+    query.stop()
+    assert log._base()[0] == 2
+    every = feed.decode_klines(spark.createDataFrame(messages(12), "offset long, value string"), NAMES)
+    got = log.read()
+    assert rows_of(got) == rows_of(last_arrived(every, "offset", KEY).select(*got.columns))
+
+
 def test_retention_bound(spark, scratch):
     topic = scratch("topic")
     land(spark, topic, messages(4, 300, minutes=500), 3)
