@@ -45,7 +45,7 @@ _CLOSED_BY = {
 _FORMATS = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 
 #: Labelled pages the model is trained on, and passes over them.
-PAGES = 500
+PAGES = 700
 EPOCHS = 6
 RATE = 0.3
 SEED = 5
@@ -87,6 +87,10 @@ def blocks(page):
         joined = _SPACES.sub(" ", "".join(text)).strip()
         if joined:
             features = dict.fromkeys(f for entry in stack for f in entry[1])
+            # The nearest named part says most about a block.
+            nearest = next((e for e in reversed(stack) if e[0] not in _FORMATS and len(e[1]) > 1), None)
+            if nearest:
+                features.update(dict.fromkeys(f"nearest {f}" for f in nearest[1]))
             out.append((joined, linked, tuple(features)))
         text, linked = [], 0
 
@@ -401,8 +405,8 @@ def labelled_page(rng):
         marked.append((f"<h1>{rng.choice([_short(rng, 9), _sentences(rng, 2, 12)])}</h1>", 1))
     for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 13, 20])):
         marked.append((_paragraph(rng), 1))
-        if rng.random() < 0.06:
-            part(rng.choice(["ad", "aside", "share", "notice", "form"]))
+        if rng.random() < 0.12:
+            part(rng.choice(["ad", "ad", "aside", "share", "notice", "form"]))
     if rng.random() < 0.25:
         part(rng.choice(["share", "comments", "ad"]))
     marked.append((f"</{tag}>", 0))

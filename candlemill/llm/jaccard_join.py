@@ -278,6 +278,8 @@ def _cells(members):
     two blocks; a member goes to as many cells as its group has blocks.
     """
     sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    # Read from a table, so that Spark can split the members of a hot hub in the join.
+    sizes = staged(sizes, "group-sizes")
     placed = members.join(sizes, "hub").withColumn(
         "block", F.pmod(F.xxhash64("set_id"), F.col("blocks"))
     )

@@ -294,8 +294,10 @@ def repeated_spans(documents, min_words=50, gap=25, group=GROUP):
         _as_rows(min_words, gap), "window long, doc_id long, start long"
     )
     owners = rows.groupBy("window").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
+    # Read from a table, so that Spark can split the windows of a hot key in the join.
+    owners = staged(owners.filter("first_doc_id != last").select("window", "first_doc_id"), "owners")
     large = (
-        rows.join(owners.filter("first_doc_id != last"), "window")
+        rows.join(owners, "window")
         .filter("doc_id != first_doc_id")
         .select("doc_id", "start", (F.col("start") + min_words).alias("end"), "first_doc_id")
         .distinct()
