@@ -9,8 +9,10 @@ segment; for the next smaller band it asks only with the cheapest choice of ``v`
 (``_allocate``): 0 leaves a segment out, 1 asks for equality, 2 asks for the segment and
 for its one-deletion neighbours, which the first segments of a band publish too.
 
-Documents that share such a hash are candidates; they are verified exactly, on their
-whole sets of 64-bit shingle hashes, in blocks of bounded size.
+Documents that share such a hash are candidates. Small groups of candidates become pairs,
+from which those go whose shingles per hash range already differ in more than H; large groups
+are cut into blocks. Then they are verified exactly, on their whole sets of 64-bit shingle
+hashes.
 """
 
 import numpy as np
@@ -26,6 +28,8 @@ from candlemill.llm.wordhash import as_long, batch_words, grams, mix
 BAND = 1.5
 #: Documents of one block of a group; a task compares two blocks.
 BLOCK = 256
+#: Groups of up to this many candidates are taken pair by pair.
+PAIRED = 16
 #: Expected crowd behind an empty segment, against which the cost of a hash is weighed.
 CROWD = 1000.0
 _U = np.uint64
@@ -54,7 +58,7 @@ class Bands:
             h = self.differing(high - 1, self.largest(high - 1))
             self.lows.append(high)
             self.segments.append(h + 1)
-            self.deletions.append(0 if h == 0 else 1 + h // 64)
+            self.deletions.append(int(h > 0))
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
     def high(self, band):
@@ -125,38 +129,97 @@ def _sets(texts, n):
         yield np.unique(grams(words, size) + _U(size))
 
 
-def _sketches(n, percent):
-    """Per document its set's size, a 64-bit name of the set, and the set's hashes."""
+def _ranges(size):
+    """Hash ranges whose shingles are counted: about one for four shingles, a power of two."""
+    return 1 << max(3, int(size // 4).bit_length())
+
+
+def _counts(shingles):
+    """Shingles in each range of hashes; at most 255 are told, which keeps the bound below."""
+    shift = _U(65 - _ranges(len(shingles)).bit_length())
+    found = np.bincount((shingles >> shift).astype(np.int64), minlength=_ranges(len(shingles)))
+    return np.minimum(found, 255).astype(np.uint8)
+
+
+def _named(shingles):
+    """A 64-bit name of a set; None for an empty one."""
+    return int(as_long(mix(shingles).sum(keepdims=True) ^ _U(len(shingles)))[0]) if len(shingles) else None
+
+
+def _sketches(n):
+    """Per document its set's size, name and counts."""
 
     def run(batches):
-        bands, seen = Bands(percent), set()
         for batch, texts in text_slices(batches, "text"):
-            sizes, names, lists = [], [], []
+            sizes, names, counts = [], [], []
             for shingles in _sets(texts, n):
-                size = len(shingles)
-                name = int(as_long(mix(shingles).sum(keepdims=True) ^ _U(size))[0]) if size else None
-                sizes.append(size)
-                names.append(name)
-                # Equal sets act as one; a task says each set's hashes once while it remembers it.
-                if not size or name in seen:
-                    lists.append(None)
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(name)
-                lists.append(as_long(_signatures(shingles, bands)))
+                sizes.append(len(shingles))
+                names.append(_named(shingles))
+                counts.append(_counts(shingles).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("doc_id")),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
-                    pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(counts, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "hashes"],
+                names=["doc_id", "n_shingles", "set_id", "counts"],
             )
 
     return run
 
 
+def _hashes(n, percent):
+    """``(set_id, hash)``: what each set publishes and asks with.
+
+    Equal sets act as one; a task says each set's hashes once while it remembers the set.
+    """
+
+    def run(batches):
+        bands, seen = Bands(percent), set()
+        for batch, texts in text_slices(batches, "text"):
+            names, lists = [], []
+            for shingles in _sets(texts, n):
+                name = _named(shingles)
+                if name is None or name in seen:
+                    continue
+                if len(seen) < 1_000_000:
+                    seen.add(name)
+                names.append(name)
+                lists.append(as_long(_signatures(shingles, bands)))
+            if names:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(names, [len(x) for x in lists]), pa.int64()),
+                        pa.array(np.concatenate(lists), pa.int64()),
+                    ],
+                    names=["set_id", "hash"],
+                )
+
+    return run
+
+
+def _near_enough(percent):
+    """Pairs whose counts don't rule out a link: the counts of two sets differ by no more
+    than the sets do, and merging neighbouring ranges only lowers the difference."""
+
+    def run(batches):
+        bands = Bands(percent)
+        for batch in batches:
+            keep = []
+            for r in batch.to_pylist():
+                a, b = (np.frombuffer(r[c], np.uint8).astype(np.int32) for c in ("counts_a", "counts_b"))
+                while len(a) > len(b):
+                    a = a[0::2] + a[1::2]
+                while len(b) > len(a):
+                    b = b[0::2] + b[1::2]
+                apart = int(np.abs(np.minimum(a, 255) - np.minimum(b, 255)).sum())
+                keep.append(apart <= bands.differing(r["size_a"], r["size_b"]))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
 def _whole_sets(n):
     """The sets themselves, as bytes, of documents to be verified."""
 
@@ -271,16 +334,29 @@ def _candidates(hashes):
     return hashes.join(hubs, "hash").select("hub", "set_id").distinct()
 
 
+def _pairs(members, sets, percent):
+    """Cells of two for the pairs of small groups that may be linked."""
+    left = members.select("hub", F.col("set_id").alias("a"))
+    right = members.select("hub", F.col("set_id").alias("b"))
+    both = left.join(right, "hub").filter("a < b").select("a", "b").distinct()
+    told = lambda x: sets.select(
+        F.col("set_id").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("counts").alias(f"counts_{x}")
+    )
+    kept = both.join(told("a"), "a").join(told("b"), "b").mapInArrow(_near_enough(percent), "a long, b long")
+    kept = staged(kept, "pairs")
+    side = lambda x, n: kept.select(
+        F.col("a").alias("hub"), F.col("b").alias("i"), F.lit(-1).cast("long").alias("j"), F.lit(n).alias("side"), F.col(x).alias("set_id")
+    )
+    return side("a", 0).union(side("b", 1))
+
+
 def _cells(members):
-    """Every member once for each pair of blocks it takes part in, with the pair's numbers.
+    """Every member of a large group once for each pair of blocks it takes part in.
 
     Two blocks meet in one cell, so a group of any size is compared in tasks of at most
     two blocks; a member goes to as many cells as its group has blocks.
     """
-    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    # Read from a table, so that Spark can split the members of a hot hub in the join.
-    sizes = staged(sizes, "group-sizes")
-    placed = members.join(sizes, "hub").withColumn(
+    placed = members.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK))).withColumn(
         "block", F.pmod(F.xxhash64("set_id"), F.col("blocks"))
     )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -311,15 +387,17 @@ def near_sets(documents, n=3, percent=90):
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = staged(
-        docs.mapInArrow(
-            _sketches(n, percent), "doc_id long, n_shingles long, set_id long, hashes array<long>"
-        ),
-        "sketches",
+        docs.mapInArrow(_sketches(n), "doc_id long, n_shingles long, set_id long, counts binary"), "sketches"
     )
-    hashes = sketches.select("set_id", F.explode("hashes").alias("hash"))
-    members = staged(_candidates(hashes), "members")
+    members = staged(_candidates(docs.mapInArrow(_hashes(n, percent), "set_id long, hash long")), "members")
+    # Read from a table, so that Spark can split the members of a hot hub in the join.
+    sizes = staged(members.groupBy("hub").agg(F.count("*").alias("n")), "group-sizes")
+    sized = members.join(sizes, "hub")
+    distinct_sets = sketches.filter("set_id IS NOT NULL").select("set_id", "n_shingles", "counts").dropDuplicates(["set_id"])
+    pairs = _pairs(sized.filter(F.col("n") <= PAIRED), distinct_sets, percent)
+    cells = staged(pairs.union(_cells(sized.filter(F.col("n") > PAIRED))), "cells")
     # One document stands for each set that has to be verified.
-    wanted = members.select("set_id").distinct()
+    wanted = cells.select("set_id").distinct()
     stand_ins = (
         sketches.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_id")
@@ -328,7 +406,7 @@ def near_sets(documents, n=3, percent=90):
     )
     texts = docs.join(stand_ins, "doc_id").select("set_id", "text")
     sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary").dropDuplicates(["set_id"])
-    cells = _cells(members).join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
+    cells = cells.join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
     cells = cells.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
     links = cells.mapInArrow(_verify(percent), "a long, b long")
     classes = connected(links).select(F.col("node").alias("set_id"), F.col("component").alias("class"))

@@ -51,9 +51,10 @@ def shingles(text, n):
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-@pytest.mark.parametrize("n, percent, block", [(3, 90, 256), (5, 80, 4)])
-def test_near_sets(spark, texts, monkeypatch, n, percent, block):
+@pytest.mark.parametrize("n, percent, block, paired", [(3, 90, 256, 16), (5, 80, 4, 3)])
+def test_near_sets(spark, texts, monkeypatch, n, percent, block, paired):
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "PAIRED", paired)
     sets = [shingles(t, n) for t in texts]
     root = list(range(len(sets)))
 
