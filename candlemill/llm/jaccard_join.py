@@ -9,10 +9,10 @@ segment; for the next smaller band it asks only with the cheapest choice of ``v`
 (``_allocate``): 0 leaves a segment out, 1 asks for equality, 2 asks for the segment and
 for its one-deletion neighbours, which the first segments of a band publish too.
 
-Documents that share such a hash are candidates. Small groups of candidates become pairs,
-from which those go whose shingles per hash range already differ in more than H; large groups
-are cut into blocks. Then they are verified exactly, on their whole sets of 64-bit shingle
-hashes.
+Documents that share such a hash are candidates, compared in blocks of bounded size: first by
+how many shingles they have in each range of hashes, which leaves out documents that differ
+in more than H from every other one of their block, then exactly, on the whole sets of 64-bit
+shingle hashes.
 """
 
 import numpy as np
@@ -28,8 +28,6 @@ from candlemill.llm.wordhash import as_long, batch_words, grams, mix
 BAND = 1.5
 #: Documents of one block of a group; a task compares two blocks.
 BLOCK = 256
-#: Groups of up to this many candidates are taken pair by pair.
-PAIRED = 16
 #: Expected crowd behind an empty segment, against which the cost of a hash is weighed.
 CROWD = 1000.0
 _U = np.uint64
@@ -130,8 +128,8 @@ def _sets(texts, n):
 
 
 def _ranges(size):
-    """Hash ranges whose shingles are counted: about one for four shingles, a power of two."""
-    return 1 << max(3, int(size // 4).bit_length())
+    """Hash ranges whose shingles are counted: about one for 16 shingles, a power of two."""
+    return 1 << max(3, int(size // 16).bit_length())
 
 
 def _counts(shingles):
@@ -199,27 +197,64 @@ def _hashes(n, percent):
     return run
 
 
+def _cells_of(batches):
+    """Whole cells from batches sorted by cell, as pandas frames; cells may span batches."""
+    rest = None
+    for batch in batches:
+        frame = batch.to_pandas()
+        if rest is not None:
+            frame = pd.concat([rest, frame], ignore_index=True)
+        cells = frame[["hub", "i", "j"]].to_numpy()
+        cuts = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
+        bounds = [0, *cuts]
+        yield [frame.iloc[a:b] for a, b in zip(bounds, cuts) if b - a > 1]
+        rest = frame.iloc[bounds[-1] :]
+    if rest is not None and len(rest) > 1:
+        yield [rest]
+
+
+def _sides(frame):
+    """Rows of the two blocks of a cell; side 2 marks a block compared with itself."""
+    sides = frame["side"].to_numpy()
+    return np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
+
+
 def _near_enough(percent):
-    """Pairs whose counts don't rule out a link: the counts of two sets differ by no more
-    than the sets do, and merging neighbouring ranges only lowers the difference."""
+    """The members of cells that their counts allow a link with another member.
+
+    The counts of two sets differ by no more than the sets do; merging neighbouring ranges
+    and cutting counts at 255 only lowers the difference, so no link is lost.
+    """
 
     def run(batches):
         bands = Bands(percent)
-        for batch in batches:
-            keep = []
-            for r in batch.to_pylist():
-                a, b = (np.frombuffer(r[c], np.uint8).astype(np.int32) for c in ("counts_a", "counts_b"))
-                while len(a) > len(b):
-                    a = a[0::2] + a[1::2]
-                while len(b) > len(a):
-                    b = b[0::2] + b[1::2]
-                apart = int(np.abs(np.minimum(a, 255) - np.minimum(b, 255)).sum())
-                keep.append(apart <= bands.differing(r["size_a"], r["size_b"]))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for cells in _cells_of(batches):
+            kept = []
+            for frame in cells:
+                counts = [np.frombuffer(x, np.uint8).astype(np.int32) for x in frame["counts"]]
+                width = min(map(len, counts))
+                told = np.stack([np.minimum(c.reshape(width, -1).sum(1), 255) for c in counts])
+                left, right = _sides(frame)
+                size = frame["n_shingles"].to_numpy()
+                hit = np.zeros(len(frame), bool)
+                for at in left:
+                    apart = np.abs(told[right] - told[at]).sum(1)
+                    near = apart <= bands.differing(size[right], size[at])
+                    near &= right != at
+                    hit[at] |= near.any()
+                    hit[right[near]] = True
+                kept.append(frame.loc[hit, ["hub", "i", "j", "side", "set_id"]])
+            if kept:
+                yield pa.RecordBatch.from_pandas(pd.concat(kept), schema=_CELL, preserve_index=False)
 
     return run
 
 
+_CELL = pa.schema(
+    [("hub", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("side", pa.int32()), ("set_id", pa.int64())]
+)
+
+
 def _whole_sets(n):
     """The sets themselves, as bytes, of documents to be verified."""
 
@@ -282,12 +317,10 @@ def _verify(percent):
     def pairs_of(frame):
         ids = frame["set_id"].to_numpy()
         sets = [np.frombuffer(x, _U) for x in frame["shingles"]]
-        sides = frame["side"].to_numpy()
         if len(ids) == 2:
             common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
             return [(ids[0], ids[1])] if linked(common, len(sets[0]), len(sets[1])) else []
-        # Side 2 marks the only block of a pair of a block with itself.
-        left, right = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
+        left, right = _sides(frame)
         if not len(left) or not len(right):
             return []
         sizes = np.array([len(s) for s in sets], float)
@@ -299,20 +332,8 @@ def _verify(percent):
         return [(ids[i], ids[j]) for i, j in _forest(len(ids), zip(a[keep], b[keep]))]
 
     def run(batches):
-        """Rows come sorted by cell; a cell may go on in the next batch."""
-        rest = None
-        for batch in batches:
-            frame = batch.to_pandas()
-            if rest is not None:
-                frame = pd.concat([rest, frame], ignore_index=True)
-            cells = frame[["hub", "i", "j"]].to_numpy()
-            cuts = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
-            bounds = [0, *cuts]
-            found = [p for a, b in zip(bounds, cuts) for p in pairs_of(frame.iloc[a:b]) if b - a > 1]
-            rest = frame.iloc[bounds[-1] :]
-            yield _links(found)
-        if rest is not None and len(rest) > 1:
-            yield _links(pairs_of(rest))
+        for cells in _cells_of(batches):
+            yield _links([p for frame in cells for p in pairs_of(frame)])
 
     def _links(found):
         a, b = zip(*found) if found else ((), ())
@@ -334,24 +355,8 @@ def _candidates(hashes):
     return hashes.join(hubs, "hash").select("hub", "set_id").distinct()
 
 
-def _pairs(members, sets, percent):
-    """Cells of two for the pairs of small groups that may be linked."""
-    left = members.select("hub", F.col("set_id").alias("a"))
-    right = members.select("hub", F.col("set_id").alias("b"))
-    both = left.join(right, "hub").filter("a < b").select("a", "b").distinct()
-    told = lambda x: sets.select(
-        F.col("set_id").alias(x), F.col("n_shingles").alias(f"size_{x}"), F.col("counts").alias(f"counts_{x}")
-    )
-    kept = both.join(told("a"), "a").join(told("b"), "b").mapInArrow(_near_enough(percent), "a long, b long")
-    kept = staged(kept, "pairs")
-    side = lambda x, n: kept.select(
-        F.col("a").alias("hub"), F.col("b").alias("i"), F.lit(-1).cast("long").alias("j"), F.lit(n).alias("side"), F.col(x).alias("set_id")
-    )
-    return side("a", 0).union(side("b", 1))
-
-
 def _cells(members):
-    """Every member of a large group once for each pair of blocks it takes part in.
+    """Every member of a group once for each pair of blocks it takes part in.
 
     Two blocks meet in one cell, so a group of any size is compared in tasks of at most
     two blocks; a member goes to as many cells as its group has blocks.
@@ -392,10 +397,12 @@ def near_sets(documents, n=3, percent=90):
     members = staged(_candidates(docs.mapInArrow(_hashes(n, percent), "set_id long, hash long")), "members")
     # Read from a table, so that Spark can split the members of a hot hub in the join.
     sizes = staged(members.groupBy("hub").agg(F.count("*").alias("n")), "group-sizes")
-    sized = members.join(sizes, "hub")
     distinct_sets = sketches.filter("set_id IS NOT NULL").select("set_id", "n_shingles", "counts").dropDuplicates(["set_id"])
-    pairs = _pairs(sized.filter(F.col("n") <= PAIRED), distinct_sets, percent)
-    cells = staged(pairs.union(_cells(sized.filter(F.col("n") > PAIRED))), "cells")
+    by_cell = lambda rows: rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    told = _cells(members.join(sizes, "hub")).join(distinct_sets, "set_id")
+    told = told.select("hub", "i", "j", "side", "set_id", "n_shingles", "counts")
+    cells = by_cell(told).mapInArrow(_near_enough(percent), "hub long, i long, j long, side int, set_id long")
+    cells = staged(cells, "cells")
     # One document stands for each set that has to be verified.
     wanted = cells.select("set_id").distinct()
     stand_ins = (
@@ -405,10 +412,9 @@ def near_sets(documents, n=3, percent=90):
         .join(wanted, "set_id")
     )
     texts = docs.join(stand_ins, "doc_id").select("set_id", "text")
-    sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary").dropDuplicates(["set_id"])
+    sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary")
     cells = cells.join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
-    cells = cells.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-    links = cells.mapInArrow(_verify(percent), "a long, b long")
+    links = by_cell(cells).mapInArrow(_verify(percent), "a long, b long")
     classes = connected(links).select(F.col("node").alias("set_id"), F.col("component").alias("class"))
     named = (
         sketches.filter("set_id IS NOT NULL")
