@@ -10,9 +10,10 @@ segment; for the next smaller band it asks only with the cheapest choice of ``v`
 for its one-deletion neighbours, which the first segments of a band publish too.
 
 Documents that share such a hash are candidates, compared in blocks of bounded size: first by
-how many shingles they have in each range of hashes, which leaves out documents that differ
-in more than H from every other one of their block, then exactly, on the whole sets of 64-bit
-shingle hashes.
+how many shingles they have in each range of hashes, which leaves out pairs that differ in
+more than H. What is left falls into families, the components of the remaining pairs; inside
+a family documents are compared exactly, on the whole sets of 64-bit shingle hashes, so a set
+is shipped for its one family and not for every hash it shares.
 """
 
 import numpy as np
@@ -220,39 +221,36 @@ def _sides(frame):
 
 
 def _near_enough(percent):
-    """The members of cells that their counts allow a link with another member.
+    """Pairs of a cell that their counts allow a link, as many as keep them connected.
 
     The counts of two sets differ by no more than the sets do; merging neighbouring ranges
     and cutting counts at 255 only lowers the difference, so no link is lost.
     """
 
+    def pairs_of(frame, bands):
+        counts = [np.frombuffer(x, np.uint8).astype(np.int32) for x in frame["counts"]]
+        width = min(map(len, counts))
+        told = np.stack([np.minimum(c.reshape(width, -1).sum(1), 255) for c in counts])
+        left, right = _sides(frame)
+        size, ids = frame["n_shingles"].to_numpy(), frame["set_id"].to_numpy()
+        found = []
+        for at in left:
+            apart = np.abs(told[right] - told[at]).sum(1)
+            near = (apart <= bands.differing(size[right], size[at])) & (right != at)
+            found += [(at, other) for other in right[near]]
+        return [(ids[i], ids[j]) for i, j in _forest(len(ids), found)]
+
     def run(batches):
         bands = Bands(percent)
         for cells in _cells_of(batches):
-            kept = []
-            for frame in cells:
-                counts = [np.frombuffer(x, np.uint8).astype(np.int32) for x in frame["counts"]]
-                width = min(map(len, counts))
-                told = np.stack([np.minimum(c.reshape(width, -1).sum(1), 255) for c in counts])
-                left, right = _sides(frame)
-                size = frame["n_shingles"].to_numpy()
-                hit = np.zeros(len(frame), bool)
-                for at in left:
-                    apart = np.abs(told[right] - told[at]).sum(1)
-                    near = apart <= bands.differing(size[right], size[at])
-                    near &= right != at
-                    hit[at] |= near.any()
-                    hit[right[near]] = True
-                kept.append(frame.loc[hit, ["hub", "i", "j", "side", "set_id"]])
-            if kept:
-                yield pa.RecordBatch.from_pandas(pd.concat(kept), schema=_CELL, preserve_index=False)
+            yield _links([p for frame in cells for p in pairs_of(frame, bands)])
 
     return run
 
 
-_CELL = pa.schema(
-    [("hub", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("side", pa.int32()), ("set_id", pa.int64())]
-)
+def _links(found):
+    a, b = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _whole_sets(n):
@@ -335,12 +333,6 @@ def _verify(percent):
         for cells in _cells_of(batches):
             yield _links([p for frame in cells for p in pairs_of(frame)])
 
-    def _links(found):
-        a, b = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-        )
-
     return run
 
 
@@ -361,9 +353,9 @@ def _cells(members):
     Two blocks meet in one cell, so a group of any size is compared in tasks of at most
     two blocks; a member goes to as many cells as its group has blocks.
     """
-    placed = members.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK))).withColumn(
-        "block", F.pmod(F.xxhash64("set_id"), F.col("blocks"))
-    )
+    # Sizes are read from a table, so that Spark can split the members of a hot hub in the join.
+    sizes = staged(members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks")), "group-sizes")
+    placed = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     side = F.when(F.col("other") == F.col("block"), 2).when(F.col("block") < F.col("other"), 0)
     return placed.withColumn("other", other).select(
@@ -395,16 +387,14 @@ def near_sets(documents, n=3, percent=90):
         docs.mapInArrow(_sketches(n), "doc_id long, n_shingles long, set_id long, counts binary"), "sketches"
     )
     members = staged(_candidates(docs.mapInArrow(_hashes(n, percent), "set_id long, hash long")), "members")
-    # Read from a table, so that Spark can split the members of a hot hub in the join.
-    sizes = staged(members.groupBy("hub").agg(F.count("*").alias("n")), "group-sizes")
     distinct_sets = sketches.filter("set_id IS NOT NULL").select("set_id", "n_shingles", "counts").dropDuplicates(["set_id"])
     by_cell = lambda rows: rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-    told = _cells(members.join(sizes, "hub")).join(distinct_sets, "set_id")
+    told = _cells(members).join(distinct_sets, "set_id")
     told = told.select("hub", "i", "j", "side", "set_id", "n_shingles", "counts")
-    cells = by_cell(told).mapInArrow(_near_enough(percent), "hub long, i long, j long, side int, set_id long")
-    cells = staged(cells, "cells")
+    families = connected(by_cell(told).mapInArrow(_near_enough(percent), "a long, b long"))
+    cells = _cells(staged(families.select(F.col("component").alias("hub"), F.col("node").alias("set_id")), "families"))
     # One document stands for each set that has to be verified.
-    wanted = cells.select("set_id").distinct()
+    wanted = families.select(F.col("node").alias("set_id"))
     stand_ins = (
         sketches.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_id")
