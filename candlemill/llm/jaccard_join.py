@@ -9,11 +9,8 @@ segment; for the next smaller band it asks only with the cheapest choice of ``v`
 (``_allocate``): 0 leaves a segment out, 1 asks for equality, 2 asks for the segment and
 for its one-deletion neighbours, which the first segments of a band publish too.
 
-Documents that share such a hash are candidates, compared in blocks of bounded size: first by
-how many shingles they have in each range of hashes, which leaves out pairs that differ in
-more than H. What is left falls into families, the components of the remaining pairs; inside
-a family documents are compared exactly, on the whole sets of 64-bit shingle hashes, so a set
-is shipped for its one family and not for every hash it shares.
+Documents that share such a hash are candidates; they are verified exactly, on their
+whole sets of 64-bit shingle hashes, in blocks of bounded size.
 """
 
 import numpy as np
@@ -57,7 +54,7 @@ class Bands:
             h = self.differing(high - 1, self.largest(high - 1))
             self.lows.append(high)
             self.segments.append(h + 1)
-            self.deletions.append(int(h > 0))
+            self.deletions.append(0 if h == 0 else 1 + h // 64)
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
     def high(self, band):
@@ -128,131 +125,38 @@ def _sets(texts, n):
         yield np.unique(grams(words, size) + _U(size))
 
 
-def _ranges(size):
-    """Hash ranges whose shingles are counted: about one for 16 shingles, a power of two."""
-    return 1 << max(3, int(size // 16).bit_length())
-
-
-def _counts(shingles):
-    """Shingles in each range of hashes; at most 255 are told, which keeps the bound below."""
-    shift = _U(65 - _ranges(len(shingles)).bit_length())
-    found = np.bincount((shingles >> shift).astype(np.int64), minlength=_ranges(len(shingles)))
-    return np.minimum(found, 255).astype(np.uint8)
-
-
-def _named(shingles):
-    """A 64-bit name of a set; None for an empty one."""
-    return int(as_long(mix(shingles).sum(keepdims=True) ^ _U(len(shingles)))[0]) if len(shingles) else None
-
-
-def _sketches(n):
-    """Per document its set's size, name and counts."""
+def _sketches(n, percent):
+    """Per document its set's size, a 64-bit name of the set, and the set's hashes."""
 
     def run(batches):
+        bands, seen = Bands(percent), set()
         for batch, texts in text_slices(batches, "text"):
-            sizes, names, counts = [], [], []
+            sizes, names, lists = [], [], []
             for shingles in _sets(texts, n):
-                sizes.append(len(shingles))
-                names.append(_named(shingles))
-                counts.append(_counts(shingles).tobytes() if len(shingles) else None)
+                size = len(shingles)
+                name = int(as_long(mix(shingles).sum(keepdims=True) ^ _U(size))[0]) if size else None
+                sizes.append(size)
+                names.append(name)
+                # Equal sets act as one; a task says each set's hashes once while it remembers it.
+                if not size or name in seen:
+                    lists.append(None)
+                    continue
+                if len(seen) < 1_000_000:
+                    seen.add(name)
+                lists.append(as_long(_signatures(shingles, bands)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("doc_id")),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
-                    pa.array(counts, pa.binary()),
+                    pa.array(lists, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "counts"],
+                names=["doc_id", "n_shingles", "set_id", "hashes"],
             )
 
     return run
 
 
-def _hashes(n, percent):
-    """``(set_id, hash)``: what each set publishes and asks with.
-
-    Equal sets act as one; a task says each set's hashes once while it remembers the set.
-    """
-
-    def run(batches):
-        bands, seen = Bands(percent), set()
-        for batch, texts in text_slices(batches, "text"):
-            names, lists = [], []
-            for shingles in _sets(texts, n):
-                name = _named(shingles)
-                if name is None or name in seen:
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(name)
-                names.append(name)
-                lists.append(as_long(_signatures(shingles, bands)))
-            if names:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(names, [len(x) for x in lists]), pa.int64()),
-                        pa.array(np.concatenate(lists), pa.int64()),
-                    ],
-                    names=["set_id", "hash"],
-                )
-
-    return run
-
-
-def _cells_of(batches):
-    """Whole cells from batches sorted by cell, as pandas frames; cells may span batches."""
-    rest = None
-    for batch in batches:
-        frame = batch.to_pandas()
-        if rest is not None:
-            frame = pd.concat([rest, frame], ignore_index=True)
-        cells = frame[["hub", "i", "j"]].to_numpy()
-        cuts = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
-        bounds = [0, *cuts]
-        yield [frame.iloc[a:b] for a, b in zip(bounds, cuts) if b - a > 1]
-        rest = frame.iloc[bounds[-1] :]
-    if rest is not None and len(rest) > 1:
-        yield [rest]
-
-
-def _sides(frame):
-    """Rows of the two blocks of a cell; side 2 marks a block compared with itself."""
-    sides = frame["side"].to_numpy()
-    return np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
-
-
-def _near_enough(percent):
-    """Pairs of a cell that their counts allow a link, as many as keep them connected.
-
-    The counts of two sets differ by no more than the sets do; merging neighbouring ranges
-    and cutting counts at 255 only lowers the difference, so no link is lost.
-    """
-
-    def pairs_of(frame, bands):
-        counts = [np.frombuffer(x, np.uint8).astype(np.int32) for x in frame["counts"]]
-        width = min(map(len, counts))
-        told = np.stack([np.minimum(c.reshape(width, -1).sum(1), 255) for c in counts])
-        left, right = _sides(frame)
-        size, ids = frame["n_shingles"].to_numpy(), frame["set_id"].to_numpy()
-        found = []
-        for at in left:
-            apart = np.abs(told[right] - told[at]).sum(1)
-            near = (apart <= bands.differing(size[right], size[at])) & (right != at)
-            found += [(at, other) for other in right[near]]
-        return [(ids[i], ids[j]) for i, j in _forest(len(ids), found)]
-
-    def run(batches):
-        bands = Bands(percent)
-        for cells in _cells_of(batches):
-            yield _links([p for frame in cells for p in pairs_of(frame, bands)])
-
-    return run
-
-
-def _links(found):
-    a, b = zip(*found) if found else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
 def _whole_sets(n):
     """The sets themselves, as bytes, of documents to be verified."""
 
@@ -315,10 +219,12 @@ def _verify(percent):
     def pairs_of(frame):
         ids = frame["set_id"].to_numpy()
         sets = [np.frombuffer(x, _U) for x in frame["shingles"]]
+        sides = frame["side"].to_numpy()
         if len(ids) == 2:
             common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
             return [(ids[0], ids[1])] if linked(common, len(sets[0]), len(sets[1])) else []
-        left, right = _sides(frame)
+        # Side 2 marks the only block of a pair of a block with itself.
+        left, right = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
         if not len(left) or not len(right):
             return []
         sizes = np.array([len(s) for s in sets], float)
@@ -330,8 +236,26 @@ def _verify(percent):
         return [(ids[i], ids[j]) for i, j in _forest(len(ids), zip(a[keep], b[keep]))]
 
     def run(batches):
-        for cells in _cells_of(batches):
-            yield _links([p for frame in cells for p in pairs_of(frame)])
+        """Rows come sorted by cell; a cell may go on in the next batch."""
+        rest = None
+        for batch in batches:
+            frame = batch.to_pandas()
+            if rest is not None:
+                frame = pd.concat([rest, frame], ignore_index=True)
+            cells = frame[["hub", "i", "j"]].to_numpy()
+            cuts = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
+            bounds = [0, *cuts]
+            found = [p for a, b in zip(bounds, cuts) for p in pairs_of(frame.iloc[a:b]) if b - a > 1]
+            rest = frame.iloc[bounds[-1] :]
+            yield _links(found)
+        if rest is not None and len(rest) > 1:
+            yield _links(pairs_of(rest))
+
+    def _links(found):
+        a, b = zip(*found) if found else ((), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+        )
 
     return run
 
@@ -348,14 +272,17 @@ def _candidates(hashes):
 
 
 def _cells(members):
-    """Every member of a group once for each pair of blocks it takes part in.
+    """Every member once for each pair of blocks it takes part in, with the pair's numbers.
 
     Two blocks meet in one cell, so a group of any size is compared in tasks of at most
     two blocks; a member goes to as many cells as its group has blocks.
     """
-    # Sizes are read from a table, so that Spark can split the members of a hot hub in the join.
-    sizes = staged(members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks")), "group-sizes")
-    placed = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    # Read from a table, so that Spark can split the members of a hot hub in the join.
+    sizes = staged(sizes, "group-sizes")
+    placed = members.join(sizes, "hub").withColumn(
+        "block", F.pmod(F.xxhash64("set_id"), F.col("blocks"))
+    )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     side = F.when(F.col("other") == F.col("block"), 2).when(F.col("block") < F.col("other"), 0)
     return placed.withColumn("other", other).select(
@@ -384,17 +311,15 @@ def near_sets(documents, n=3, percent=90):
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = staged(
-        docs.mapInArrow(_sketches(n), "doc_id long, n_shingles long, set_id long, counts binary"), "sketches"
+        docs.mapInArrow(
+            _sketches(n, percent), "doc_id long, n_shingles long, set_id long, hashes array<long>"
+        ),
+        "sketches",
     )
-    members = staged(_candidates(docs.mapInArrow(_hashes(n, percent), "set_id long, hash long")), "members")
-    distinct_sets = sketches.filter("set_id IS NOT NULL").select("set_id", "n_shingles", "counts").dropDuplicates(["set_id"])
-    by_cell = lambda rows: rows.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-    told = _cells(members).join(distinct_sets, "set_id")
-    told = told.select("hub", "i", "j", "side", "set_id", "n_shingles", "counts")
-    families = connected(by_cell(told).mapInArrow(_near_enough(percent), "a long, b long"))
-    cells = _cells(staged(families.select(F.col("component").alias("hub"), F.col("node").alias("set_id")), "families"))
+    hashes = sketches.select("set_id", F.explode("hashes").alias("hash"))
+    members = staged(_candidates(hashes), "members")
     # One document stands for each set that has to be verified.
-    wanted = families.select(F.col("node").alias("set_id"))
+    wanted = members.select("set_id").distinct()
     stand_ins = (
         sketches.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("set_id")
@@ -402,9 +327,10 @@ def near_sets(documents, n=3, percent=90):
         .join(wanted, "set_id")
     )
     texts = docs.join(stand_ins, "doc_id").select("set_id", "text")
-    sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary")
-    cells = cells.join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
-    links = by_cell(cells).mapInArrow(_verify(percent), "a long, b long")
+    sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary").dropDuplicates(["set_id"])
+    cells = _cells(members).join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
+    cells = cells.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    links = cells.mapInArrow(_verify(percent), "a long, b long")
     classes = connected(links).select(F.col("node").alias("set_id"), F.col("component").alias("class"))
     named = (
         sketches.filter("set_id IS NOT NULL")
