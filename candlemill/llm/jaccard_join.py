@@ -5,12 +5,18 @@ sizes. Hashing the shingles into more than H segments therefore leaves a segment
 they agree, and if some segments may differ in one shingle, fewer agreements will do: a
 pair within H must agree in a segment i up to ``v_i - 1`` shingles, as soon as the ``v_i``
 add up to H + 1. Every document publishes, for the size band it is in, the hash of each
-segment; for the next smaller band it asks only with the cheapest choice of ``v``
-(``_allocate``): 0 leaves a segment out, 1 asks for equality, 2 asks for the segment and
-for its one-deletion neighbours, which the first segments of a band publish too.
-
-Documents that share such a hash are candidates; they are verified exactly, on their
-whole sets of 64-bit shingle hashes, in blocks of bounded size.
+segment; it asks, in its own band and in the next smaller one, documents no larger than
+itself, with the cheapest choice of ``v`` (``_allocate``): 0 leaves a segment out, 1 asks
+for equality, 2 asks for the segment and for its one-deletion neighbours, which the first
+segments of a band publish too.
+
+Empty segments agree everywhere and say nothing, so a band has some ``spare`` segments more
+than H + 1, and a document with at most ``spare`` empty segments doesn't publish those:
+documents that agree in ``spare`` + 1 segments then agree in one that is not empty in either.
+A document with more empty segments publishes them as well, and two of this kind may meet there.
+
+Documents that ask for and publish such a hash are candidates; they are verified exactly, on
+their whole sets of 64-bit shingle hashes, in blocks of bounded size.
 """
 
 import numpy as np
@@ -23,20 +29,23 @@ from candlemill.llm.components import connected
 from candlemill.llm.wordhash import as_long, batch_words, grams, mix
 
 #: Ratio of the ends of a size band.
-BAND = 1.5
+BAND = 1.25
 #: Documents of one block of a group; a task compares two blocks.
 BLOCK = 256
 #: Expected crowd behind an empty segment, against which the cost of a hash is weighed.
 CROWD = 1000.0
+#: Marks of a hash, in its lowest two bits.
+ASKED, PUBLISHED = 1, 2
 _U = np.uint64
 
 
 class Bands:
-    """Size bands and, for each, the number of segments and how many publish deletions."""
+    """Size bands and, for each, the number of segments, how many of them are spare, and how
+    many publish deletions."""
 
     def __init__(self, percent):
         self.percent = percent
-        self.lows, self.segments, self.deletions = [1], [], []
+        self.lows, self.segments, self.spare, self.deletions = [1], [], [], []
 
     def largest(self, size):
         """The largest set that a set of ``size`` shingles may be linked with."""
@@ -52,8 +61,13 @@ class Bands:
             # A linked pair lies in one band or in two neighbouring ones.
             high = max(int(low * BAND), self.largest(low) + 1)
             h = self.differing(high - 1, self.largest(high - 1))
+            # As many more as are likely to be empty in the smallest sets; any number is right.
+            m = h + 1
+            while h and m < 2 * h and m * (1 - (1 - 1 / m) ** low) - m**0.5 / 2 < h + 1:
+                m += 1 + m // 50
             self.lows.append(high)
-            self.segments.append(h + 1)
+            self.segments.append(m)
+            self.spare.append(m - h - 1)
             self.deletions.append(0 if h == 0 else 1 + h // 64)
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
@@ -61,19 +75,20 @@ class Bands:
         return self.lows[band + 1] - 1
 
 
-def _allocate(counts, need, spare):
+def _allocate(counts, need, raisable):
     """Segments to ask with, and those of them to ask with one-deletion neighbours.
 
     ``counts`` are the shingles in each segment. An agreement by chance grows rarer with
     every shingle, so a hash costs ``1 + CROWD * exp(-count)``. The ``need`` cheapest
     segments are asked; while a segment left in costs more than raising one of the first
-    ``spare`` segments to its deletion neighbours, it is left out for that.
+    ``raisable`` segments to its deletion neighbours, it is left out for that. A segment of one
+    shingle isn't raised, as its neighbour would be empty.
     """
     cost = 1 + CROWD * np.exp(-counts.astype(float))
     order = np.argsort(cost, kind="stable")[:need]
     chosen = list(order)
     raised = []
-    able = sorted((s for s in chosen if s < spare), key=lambda s: cost[s])
+    able = sorted((s for s in chosen if s < raisable and counts[s] > 1), key=lambda s: cost[s])
     for s in able:
         worst = chosen[-1]
         price = counts[s] + CROWD * (counts[s] + 1) * np.exp(1.0 - counts[s])
@@ -85,31 +100,45 @@ def _allocate(counts, need, spare):
 
 
 def _signatures(shingles, bands):
-    """Hashes a set publishes or asks with."""
+    """Hashes a set publishes and asks with, each once, with its marks in the lowest bits."""
     n = len(shingles)
     band = bands.band(n)
-    found = []
+    hashes, marks = [], []
+
+    def say(found, mark):
+        hashes.append(found)
+        marks.append(np.full(len(found), mark, _U))
+
     for b in (band, band - 1):
         if b < 0 or bands.largest(bands.high(b)) < n:
             continue
-        m, spare = bands.segments[b], bands.deletions[b]
+        m, raisable = bands.segments[b], bands.deletions[b]
         place = mix(shingles ^ _U(b + 1))
         segment = ((place >> _U(33)) * _U(m) >> _U(31)).astype(np.int64)
         sums = np.zeros(m, _U)
         np.add.at(sums, segment, place)
         salt = mix((np.arange(m, dtype=_U) << _U(16)) + _U(b + 1))
         counts = np.bincount(segment, minlength=m)
-        if b == band:
-            asked, raised = np.arange(m), np.arange(spare)
-        else:
-            need = bands.differing(n, min(bands.high(b), n)) + 1
-            asked, raised = _allocate(counts, need, spare)
-        found.append(mix(sums[asked] ^ salt[asked]))
-        if len(raised):
-            drop = np.isin(segment, raised)
+        whole = mix(sums ^ salt)
+
+        def without_one(segments):
+            drop = np.isin(segment, segments)
             at = segment[drop]
-            found.append(mix((sums[at] - place[drop]) ^ salt[at]))
-    return np.unique(np.concatenate(found))
+            return mix((sums[at] - place[drop]) ^ salt[at])
+
+        # The partner is no larger, so the sizes bound how much the two may differ.
+        need = bands.differing(n, min(bands.high(b), n)) + 1
+        asked, raised = _allocate(counts, need, raisable)
+        say(whole[asked], ASKED)
+        say(without_one(raised), ASKED)
+        if b == band:
+            full = counts > 0
+            say(whole if m - full.sum() > bands.spare[b] else whole[full], PUBLISHED)
+            # Neighbours are asked for with two shingles or more.
+            say(without_one(np.flatnonzero(counts[:raisable] > 2)), PUBLISHED)
+    found, place = np.unique(np.concatenate(hashes) & ~_U(3), return_inverse=True)
+    np.bitwise_or.at(found, place, np.concatenate(marks))
+    return found
 
 
 def _sets(texts, n):
@@ -261,14 +290,15 @@ def _verify(percent):
 
 
 def _candidates(hashes):
-    """``(hub, set_id)``: the sets that share a hash with others, grouped by the least of them."""
+    """``(hub, set_id)``: the sets that share a hash one of them asks for and one publishes,
+    grouped by the least of them."""
     hubs = (
         hashes.groupBy("hash")
-        .agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"))
-        .filter("hub != last")
+        .agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.bit_or("mark").alias("marks"))
+        .filter((F.col("hub") != F.col("last")) & (F.col("marks") == ASKED | PUBLISHED))
         .select("hash", "hub")
     )
-    return hashes.join(hubs, "hash").select("hub", "set_id").distinct()
+    return hashes.select("hash", "set_id").join(hubs, "hash").select("hub", "set_id").distinct()
 
 
 def _cells(members):
@@ -316,7 +346,9 @@ def near_sets(documents, n=3, percent=90):
         ),
         "sketches",
     )
-    hashes = sketches.select("set_id", F.explode("hashes").alias("hash"))
+    said = sketches.select("set_id", F.explode("hashes").alias("said"))
+    mark = F.col("said").bitwiseAND(3).cast("tinyint")
+    hashes = said.select("set_id", F.shiftright("said", 2).alias("hash"), mark.alias("mark"))
     members = staged(_candidates(hashes), "members")
     # One document stands for each set that has to be verified.
     wanted = members.select("set_id").distinct()

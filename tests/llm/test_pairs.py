@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +81,27 @@ def test_near_sets(spark, texts, monkeypatch, n, percent, block):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id))
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 90, 95])
+def test_linked_sets_meet_in_a_hash(percent):
+    """Pairs at the border of the similarity, many with more empty segments than are spare."""
+    draw = np.random.default_rng(percent)
+    bands, met = jaccard_join.Bands(percent), 0
+    for _ in range(600):
+        size = int(np.exp(draw.uniform(0, 6)))
+        one = draw.integers(0, 2**63, size).astype(np.uint64)
+        lost = int(draw.integers(0, size * (100 - percent) // 100 + 1))
+        room = 100 * (size - lost) // percent - size
+        other = np.concatenate([one[lost:], draw.integers(0, 2**63, max(room, 0)).astype(np.uint64)])
+        common = len(np.intersect1d(one, other))
+        if room < 0 or not lost + room or 100 * common < percent * (len(one) + len(other) - common):
+            continue
+        said = [{int(h) >> 2: int(h) & 3 for h in jaccard_join._signatures(np.unique(s), bands)} for s in (one, other)]
+        both = said[0].keys() & said[1].keys()
+        assert any((said[0][h] | said[1][h]) == 3 for h in both), (percent, len(one), len(other), common)
+        met += 1
+    assert met > 100
+
+
 def test_allocation_reaches_what_is_needed():
     import numpy as np
 
