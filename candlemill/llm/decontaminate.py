@@ -2,9 +2,11 @@
 
 Texts become templates: numbers, units after numbers and capitalised words inside a sentence
 are replaced by a placeholder of their kind, the other words are lower-cased, punctuation
-goes. Windows of template tokens are joined by hash, and the values in the slots of a match
-must follow one substitution: wherever the benchmark item repeats a value, the document
-repeats the value that stands for it. So a question with other numbers or names is caught.
+goes. A run of capitalised words is one name, so that names of other lengths fit. Windows of
+template tokens are joined by hash, and the values in the slots of a match must follow one
+substitution: wherever the benchmark item repeats a value, the document repeats the value that
+stands for it. So a question with other numbers or names is caught. Words put in or left out
+move the windows behind them, so a match may drift.
 
 Only DataFrame functions are used.
 """
@@ -20,12 +22,12 @@ from candlemill.llm.common import staged
 WINDOW = 8
 #: Share of an item's windows that a document must hold.
 SHARE = 0.5
-#: Most windows of benchmark items that are sent to every executor (24 bytes each, so some
-#: 50 MB); more are joined by a shuffle.
+#: Most windows of benchmark items that are sent to every executor (32 bytes each, so some
+#: 60 MB); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 # Placeholders are private-use characters, which are taken out of texts first.
-NAME, NUMBER, UNIT, POINT = "\ue001", "\ue002", "\ue003", "\ue004"
+NAME, NUMBER, UNIT, POINT, JOINT = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
 _SYMBOLS = "%\u20ac$\u00a3\u00b0"
 #: Units are recognised only after a number.
 UNITS = (
@@ -35,10 +37,10 @@ UNITS = (
 ).split()
 
 _WORD = r"\p{L}\p{M}"
-_NAME_RE = rf"\p{{Lu}}(?<=[{_WORD}\d,;:] .)[{_WORD}]*"
+_NAME_RE = rf"\p{{Lu}}(?<=[{_WORD}\d,;:] .)[{_WORD}{JOINT}]*"
 _UNIT_RE = rf"(\d) ?((?i:{'|'.join(UNITS)})(?![{_WORD}])|[{_SYMBOLS}])"
 _NUMBER_RE = rf"\d[\d{POINT}]*"
-_BETWEEN = rf"[^{_WORD}\d{NAME}-{POINT}{_SYMBOLS}]+"
+_BETWEEN = rf"[^{_WORD}\d{NAME}-{JOINT}{_SYMBOLS}]+"
 
 
 def _tokens(text, values):
@@ -47,8 +49,9 @@ def _tokens(text, values):
     Both forms have the same number of tokens, in the same places.
     """
     told = lambda mark, group: f"{mark}${group}" if values else mark
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NAME}-{POINT}]", " ")
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NAME}-{JOINT}]", " ")
     t = F.regexp_replace(t, r"(\d)[.,:/](?=\d)", f"$1{POINT}")
+    t = F.regexp_replace(t, rf"({_NAME_RE}) (?=\p{{Lu}})", f"$1{JOINT}")
     t = F.regexp_replace(t, _NAME_RE, f" {told(NAME, 0)} ")
     t = F.regexp_replace(t, _UNIT_RE, f"$1 {told(UNIT, 2)} ")
     t = F.regexp_replace(t, _NUMBER_RE, f" {told(NUMBER, 0)} ")
@@ -78,7 +81,7 @@ def _codes(text):
 
 
 def _item_windows(benchmark, window):
-    """``(item_id, length, place, hash)``; items of fewer tokens are one window.
+    """``(item_id, length, drift, hash, item_place)``; items of fewer tokens are one window.
 
     A window counts if at least half of its tokens are words, as placeholders alone say
     nothing; an item without such a window keeps all.
@@ -88,8 +91,9 @@ def _item_windows(benchmark, window):
     )
     items = items.dropDuplicates(["item_id"]).filter(F.size("tokens") > 0)
     items = items.withColumn("length", F.least(F.size("tokens"), F.lit(window)))
+    items = items.withColumn("drift", F.greatest(F.floor(F.size("tokens") / 2), F.lit(1)))
     spots = F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("length"))).alias("place")
-    rows = items.select("item_id", "length", "tokens", spots)
+    rows = items.select("item_id", "length", "drift", "tokens", spots)
     part = F.slice("tokens", F.col("place") + 1, F.col("length"))
     words = F.size(F.filter(part, lambda t: ~t.isin(NAME, NUMBER, UNIT)))
     # The same chain of hashes as in _windows, with the length first.
@@ -98,10 +102,10 @@ def _item_windows(benchmark, window):
         range(1, window + 1),
         F.lit(None).cast("long"),
     )
-    rows = rows.select("item_id", "length", "place", (words * 2 >= F.col("length")).alias("telling"), chained.alias("hash"))
+    rows = rows.select("item_id", "length", "drift", "place", (words * 2 >= F.col("length")).alias("telling"), chained.alias("hash"))
     of_item = Window.partitionBy("item_id")
     rows = rows.withColumn("some", F.max("telling").over(of_item)).filter("telling OR NOT some")
-    return rows.groupBy("item_id", "length", "hash").agg(F.min("place").alias("item_place"))
+    return rows.groupBy("item_id", "length", "drift", "hash").agg(F.min("place").alias("item_place"))
 
 
 def _slots(rows, key):
@@ -119,8 +123,10 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     Takes documents ``(doc_id, text)`` and items ``(item_id, text)``; other columns are
     ignored. Returns ``(doc_id, item_id, matched_windows, item_windows, share, slots,
     changed_slots)`` for the pairs of which at least ``share`` of the item's windows occur in
-    the document, at one distance from each other, with consistent slots. ``slots`` and
-    ``changed_slots`` count the slots in the matched part and those with other values.
+    the document, with consistent slots and in one place: their distances from where the item
+    has them differ by no more than half of the item's tokens, so that words may be put in or
+    left out. ``slots`` and ``changed_slots`` count the slots in the matched part and those with
+    other values.
 
     * NULL or empty texts, and rows without an id, match nothing.
     * Of repeated items with one ``item_id`` one counts; rows sharing a ``doc_id`` are one
@@ -136,25 +142,31 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     small = sum(lengths.values()) <= BROADCAST_WINDOWS
     joined = []
     for length in lengths or {window: 0}:
-        some = items.filter(F.col("length") == length).select("hash", "item_id", "item_place")
+        some = items.filter(F.col("length") == length).select("hash", "item_id", "item_place", "length", "drift")
         joined.append(_windows(docs, length).join(F.broadcast(some) if small else some, "hash"))
     hits = reduce(lambda a, b: a.union(b), joined).select(
-        "doc_id", "item_id", "item_place", (F.col("place") - F.col("item_place")).alias("shift")
+        "doc_id", "item_id", "item_place", "length", "drift", (F.col("place") - F.col("item_place")).alias("shift")
     )
     hits = staged(hits.distinct(), "hits")
-    totals = items.groupBy("item_id", "length").agg(F.count("*").alias("item_windows"))
-    # The same item may begin at several places of a document; each is judged by itself.
+    totals = items.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    # The same item may begin at several places of a document; each is judged by itself, first
+    # without drift, then in overlapping ranges of shifts, two of which hold each shift. A range
+    # is as wide as the item, so that whole copies in a row don't share one.
+    step = F.floor(F.col("shift") / F.col("drift"))
+    sites = [F.struct(F.lit(w).alias("wide"), s.cast("long").alias("site")) for w, s in ((0, F.col("shift")), (1, step), (1, step - 1))]
+    placed = hits.withColumn("at", F.explode(F.array(*sites))).select("*", "at.*").drop("at", "drift")
+    at = ["doc_id", "item_id", "wide", "site"]
     places = (
-        hits.groupBy("doc_id", "item_id", "shift")
-        .agg(F.count("*").alias("matched_windows"))
+        placed.groupBy(*at)
+        .agg(F.countDistinct("item_place").alias("held"), (F.min("shift") != F.max("shift")).alias("drifts"))
         .join(totals, "item_id")
-        .filter(F.col("matched_windows") >= F.col("item_windows") * share)
+        .filter((F.col("held") >= F.col("item_windows") * share) & (F.col("drifts") | (F.col("wide") == 0)))
     )
-    pairs = staged(places, "leaks")
+    pairs = staged(places.select(*at, "item_windows"), "leaks")
     item_slots = _slots(benchmark.filter("item_id IS NOT NULL").dropDuplicates(["item_id"]).select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id")
     wanted = pairs.join(item_slots.select("item_id").distinct(), "item_id", "left_semi").select("doc_id").distinct()
     doc_slots = _slots(docs.join(wanted, "doc_id"), "doc_id").distinct()
-    covered = hits.join(pairs.select("doc_id", "item_id", "shift", "length"), ["doc_id", "item_id", "shift"])
+    covered = placed.join(pairs.select(*at), at)
     mine = item_slots.withColumnRenamed("value", "asked")
     # Slots are few per item and each lies in at most ``window`` windows.
     met = (
@@ -163,22 +175,24 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
         .withColumn("doc_slot", F.col("slot") + F.col("shift"))
         .join(doc_slots.withColumnRenamed("slot", "doc_slot"), ["doc_id", "doc_slot", "kind"])
     )
-    same = ["doc_id", "item_id", "shift", "kind", "asked"]
-    votes = met.groupBy(*same, "value").agg(F.countDistinct("slot").alias("times"))
-    chosen = votes.groupBy(*same).agg(F.max_by("value", F.struct("times", "value")).alias("stands"))
+    same = [*at, "kind", "asked"]
+    votes = met.groupBy(*same, "value").agg(
+        F.countDistinct("slot").alias("times"), F.count("*").alias("held"), (-F.min("shift")).alias("early")
+    )
+    chosen = votes.groupBy(*same).agg(F.max_by("value", F.struct("times", "held", "early", "value")).alias("stands"))
     judged = met.join(chosen, same).withColumn("off", F.col("value") != F.col("stands"))
-    # A window with a slot that breaks the substitution doesn't count.
-    broken = judged.filter("off").select("doc_id", "item_id", "shift", "item_place").distinct()
-    lost = broken.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("lost"))
-    slots = judged.groupBy("doc_id", "item_id", "shift").agg(
+    # An occurrence of a window with a slot that breaks the substitution doesn't count.
+    broken = judged.filter("off").select(*at, "item_place", "shift").distinct()
+    sound = covered.join(broken, [*at, "item_place", "shift"], "left_anti")
+    sound = sound.groupBy(*at).agg(F.countDistinct("item_place").alias("matched_windows"))
+    slots = judged.groupBy(*at).agg(
         F.countDistinct("slot").alias("slots"),
-        F.countDistinct(F.when(F.col("value") != F.col("asked"), F.col("slot"))).alias("changed_slots"),
+        F.countDistinct(F.when(F.col("value") == F.col("asked"), F.col("slot"))).alias("as_asked"),
     )
-    at = ["doc_id", "item_id", "shift"]
-    final = pairs.join(lost, at, "left").join(slots, at, "left").fillna(0, ["lost", "slots", "changed_slots"])
-    final = final.withColumn("matched_windows", F.col("matched_windows") - F.col("lost"))
+    final = pairs.join(sound, at).join(slots, at, "left").fillna(0, ["slots", "as_asked"])
+    final = final.withColumn("changed_slots", F.col("slots") - F.col("as_asked"))
     final = final.filter(F.col("matched_windows") >= F.col("item_windows") * share)
-    best = F.struct("matched_windows", (-F.col("changed_slots")).alias("kept"), "slots", (-F.col("shift")).alias("early"))
+    best = F.struct("matched_windows", (-F.col("changed_slots")).alias("kept"), "slots", (-F.col("wide")).alias("narrow"), (-F.col("site")).alias("early"))
     return (
         final.groupBy("doc_id", "item_id", "item_windows")
         .agg(F.max(best).alias("best"))

@@ -194,6 +194,24 @@ def test_contaminated(spark, monkeypatch):
     assert got[15, 4].matched_windows < got[16, 4].matched_windows == got[16, 4].item_windows
 
 
+def test_contaminated_with_drift(spark):
+    words_of = lambda text, at, by: " ".join([*text.split()[:at], *by, *text.split()[at:]])
+    long = ITEMS[0][1]
+    slim = "When Anna left home she gave Anna's old red bicycle to the boy next door because Anna no longer had any use for it."
+    docs = [
+        (1, words_of(long, 12, ["really"])),
+        (2, " ".join(w for i, w in enumerate(long.split()) if i != 12)),
+        (3, slim.replace("Anna", "Mary Ann")),
+        # Two copies in a row with a word put in and other names, each with its own substitution.
+        (4, " ".join(words_of(long, 12, ["really"]).replace("Lyon", b).replace("Paris", a) for a, b in (("Rome", "Milan"), ("Berlin", "Munich")))),
+        # The halves lie further apart than the item is long.
+        (5, words_of(long, 12, ["filler"] * 60)),
+    ]
+    items = spark.createDataFrame([(1, long), (2, slim)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 2), (4, 1)}
+
+
 def test_empty_tables(spark):
     none = frame(spark, ["a"]).limit(0)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
