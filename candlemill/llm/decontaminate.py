@@ -8,6 +8,10 @@ substitution: wherever the benchmark item repeats a value, the document repeats
 stands for it. So a question with other numbers or names is caught. Words put in or left out
 move the windows behind them, so a match may drift.
 
+Capitals tell names only inside a sentence of mixed case. So each text has three templates
+(``FORMS``), compared each with its like: one takes the capitalised words inside sentences as
+names, one takes none, so that case says nothing, and one takes those that begin a sentence too.
+
 Only DataFrame functions are used.
 """
 
@@ -28,6 +32,9 @@ BROADCAST_WINDOWS = 1_000_000
 
 # Placeholders are private-use characters, which are taken out of texts first.
 NAME, NUMBER, UNIT, POINT, JOINT = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
+#: Templates of a text, by what is a name. A pair that several of them tell equally well is
+#: reported by the first.
+FORMS = INNER, PLAIN, ALL = 0, 1, 2
 _SYMBOLS = "%\u20ac$\u00a3\u00b0"
 #: Units are recognised only after a number.
 UNITS = (
@@ -37,83 +44,103 @@ UNITS = (
 ).split()
 
 _WORD = r"\p{L}\p{M}"
-_NAME_RE = rf"\p{{Lu}}(?<=[{_WORD}\d,;:] .)[{_WORD}{JOINT}]*"
+_OPENING = "\"'(\\[{\u201c\u201e\u2018\u201a\u00ab\u2039"
+_NAME_RE = {
+    INNER: rf"\p{{Lu}}(?<=[{_WORD}\d,;:] [{_OPENING}]{{0,2}}.)[{_WORD}{JOINT}]*",
+    ALL: rf"(?<![{_WORD}\d])\p{{Lu}}[{_WORD}{JOINT}]*",
+}
 _UNIT_RE = rf"(\d) ?((?i:{'|'.join(UNITS)})(?![{_WORD}])|[{_SYMBOLS}])"
 _NUMBER_RE = rf"\d[\d{POINT}]*"
 _BETWEEN = rf"[^{_WORD}\d{NAME}-{JOINT}{_SYMBOLS}]+"
 
 
-def _tokens(text, values):
-    """Template tokens; with ``values`` a slot's token is its placeholder and its value.
+def _tokens(text, values, form):
+    """Template tokens of one form; with ``values`` a slot's token is its placeholder and its value.
 
     Both forms have the same number of tokens, in the same places.
     """
     told = lambda mark, group: f"{mark}${group}" if values else mark
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NAME}-{JOINT}]", " ")
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), rf"[{NAME}-{JOINT}\s\p{{Z}}]+", " ")
     t = F.regexp_replace(t, r"(\d)[.,:/](?=\d)", f"$1{POINT}")
-    t = F.regexp_replace(t, rf"({_NAME_RE}) (?=\p{{Lu}})", f"$1{JOINT}")
-    t = F.regexp_replace(t, _NAME_RE, f" {told(NAME, 0)} ")
+    if form != PLAIN:
+        t = F.regexp_replace(t, rf"({_NAME_RE[form]}) (?=\p{{Lu}})", f"$1{JOINT}")
+        t = F.regexp_replace(t, _NAME_RE[form], f" {told(NAME, 0)} ")
     t = F.regexp_replace(t, _UNIT_RE, f"$1 {told(UNIT, 2)} ")
     t = F.regexp_replace(t, _NUMBER_RE, f" {told(NUMBER, 0)} ")
     # Only a text's beginning and end can give an empty piece.
-    return F.array_remove(F.split(F.lower(t), _BETWEEN), "")
+    # Capitals have no sharp s.
+    return F.array_remove(F.split(F.replace(F.lower(t), F.lit("ß"), F.lit("ss")), _BETWEEN), "")
 
 
-def _windows(docs, length):
-    """A row ``(doc_id, place, hash)`` for each window of ``length`` template tokens.
+def _windows(docs, wanted):
+    """A row ``(doc_id, place, hash)`` for each window of the ``(form, length)`` wanted.
 
     The hashes are made in one array per text, so that exploding it carries nothing else; the
     one-element transform names the tokens' hashes, so that they are made once.
     """
 
-    def hashes(codes):
+    def hashes(codes, form, length):
         spots = F.sequence(F.lit(0), F.size(codes) - length)
-        many = F.transform(spots, lambda i: F.xxhash64(F.lit(length), *[F.get(codes, i + k) for k in range(length)]))
-        return F.when(F.size(codes) >= length, many).otherwise(F.array().cast("array<bigint>"))
+        hashed = lambda i: F.xxhash64(F.lit(form), F.lit(length), *[F.get(codes, i + k) for k in range(length)])
+        many = F.transform(spots, lambda i: F.struct(i.alias("place"), hashed(i).alias("hash")))
+        return F.when(F.size(codes) >= length, many).otherwise(F.array().cast("array<struct<place:int,hash:bigint>>"))
+
+    def of_form(form):
+        lengths = [length for f, length in wanted if f == form]
+        every = lambda codes: F.concat(*[hashes(codes, form, length) for length in lengths])
+        return F.get(F.transform(F.array(_codes(F.col("text"), form)), every), 0)
 
-    found = F.get(F.transform(F.array(_codes(F.col("text"))), hashes), 0)
-    return docs.select("doc_id", F.posexplode(found).alias("place", "hash"))
+    found = F.concat(*[of_form(form) for form in sorted({f for f, _ in wanted})])
+    return docs.select("doc_id", F.explode(found).alias("found")).select("doc_id", "found.*")
 
 
-def _codes(text):
+def _codes(text, form):
     """Token hashes: windows then hash numbers instead of strings."""
-    return F.transform(_tokens(text, False), lambda t: F.xxhash64(t))
+    return F.transform(_tokens(text, False, form), lambda t: F.xxhash64(t))
 
 
 def _item_windows(benchmark, window):
-    """``(item_id, length, drift, hash, item_place)``; items of fewer tokens are one window.
+    """``(item_id, form, length, drift, hash, item_place)``; items of fewer tokens are one window.
 
     A window counts if at least half of its tokens are words, as placeholders alone say
-    nothing; an item without such a window keeps all.
+    nothing; an item without such a window keeps all. Where sentences may begin with a name,
+    half of ``window`` must be words, lest a short item fit anything.
     """
     items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("item_id").cast("long").alias("item_id"), _tokens(F.col("text"), False).alias("tokens")
+        F.col("item_id").cast("long").alias("item_id"), "text"
     )
-    items = items.dropDuplicates(["item_id"]).filter(F.size("tokens") > 0)
+    items = _of_forms(items.dropDuplicates(["item_id"]), "item_id", False).filter(F.size("tokens") > 0)
     items = items.withColumn("length", F.least(F.size("tokens"), F.lit(window)))
     items = items.withColumn("drift", F.greatest(F.floor(F.size("tokens") / 2), F.lit(1)))
     spots = F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("length"))).alias("place")
-    rows = items.select("item_id", "length", "drift", "tokens", spots)
+    rows = items.select("item_id", "form", "length", "drift", "tokens", spots)
     part = F.slice("tokens", F.col("place") + 1, F.col("length"))
     words = F.size(F.filter(part, lambda t: ~t.isin(NAME, NUMBER, UNIT)))
-    # The same chain of hashes as in _windows, with the length first.
+    # The same chain of hashes as in _windows, with the form and the length first.
     chained = reduce(
-        lambda found, n: F.when(F.col("length") == n, F.xxhash64(F.lit(n), *[F.xxhash64(F.get(part, F.lit(k))) for k in range(n)])).otherwise(found),
+        lambda found, n: F.when(F.col("length") == n, F.xxhash64("form", F.lit(n), *[F.xxhash64(F.get(part, F.lit(k))) for k in range(n)])).otherwise(found),
         range(1, window + 1),
         F.lit(None).cast("long"),
     )
-    rows = rows.select("item_id", "length", "drift", "place", (words * 2 >= F.col("length")).alias("telling"), chained.alias("hash"))
-    of_item = Window.partitionBy("item_id")
-    rows = rows.withColumn("some", F.max("telling").over(of_item)).filter("telling OR NOT some")
-    return rows.groupBy("item_id", "length", "drift", "hash").agg(F.min("place").alias("item_place"))
+    least = F.when(F.col("form") == ALL, F.lit(window)).otherwise(F.col("length"))
+    rows = rows.select("item_id", "form", "length", "drift", "place", (words * 2 >= least).alias("telling"), chained.alias("hash"))
+    of_item = Window.partitionBy("item_id", "form")
+    rows = rows.withColumn("some", F.max("telling").over(of_item)).filter(f"telling OR NOT some AND form != {ALL}")
+    return rows.groupBy("item_id", "form", "length", "drift", "hash").agg(F.min("place").alias("item_place"))
+
+
+def _of_forms(rows, key, values):
+    """``(key, form, tokens)``: the templates of the rows' texts."""
+    each = [F.struct(F.lit(f).alias("form"), _tokens(F.col("text"), values, f).alias("tokens")) for f in FORMS]
+    return rows.select(key, F.explode(F.array(*each)).alias("each")).select(key, "each.*")
 
 
 def _slots(rows, key):
-    """``(key, slot, kind, value)`` of every slot of the rows' texts."""
-    told = rows.select(key, F.posexplode(_tokens(F.col("text"), True)).alias("slot", "token"))
+    """``(key, form, slot, kind, value)`` of every slot of the rows' texts."""
+    told = _of_forms(rows, key, True).select(key, "form", F.posexplode("tokens").alias("slot", "token"))
     kind = F.substring("token", 1, 1)
     return told.filter(kind.isin(NAME, NUMBER, UNIT)).select(
-        key, "slot", kind.alias("kind"), F.expr("substring(token, 2)").alias("value")
+        key, "form", "slot", kind.alias("kind"), F.expr("substring(token, 2)").alias("value")
     )
 
 
@@ -126,40 +153,39 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     the document, with consistent slots and in one place: their distances from where the item
     has them differ by no more than half of the item's tokens, so that words may be put in or
     left out. ``slots`` and ``changed_slots`` count the slots in the matched part and those with
-    other values.
+    other values. All counts are of the form of template that tells the pair best.
 
     * NULL or empty texts, and rows without an id, match nothing.
     * Of repeated items with one ``item_id`` one counts; rows sharing a ``doc_id`` are one
       document. Equal windows within an item count once.
     * An item of fewer than ``window`` tokens matches as a whole.
+    * White space says nothing. Other names are found where both texts write them with capitals
+      among words without; a copy in other case only with the item's names.
     * Empty tables give an empty result.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     items = staged(_item_windows(benchmark, window), "item-windows")
-    # At most ``window`` lengths and one count come to the driver.
-    lengths = {r["length"]: r["n"] for r in items.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    small = sum(lengths.values()) <= BROADCAST_WINDOWS
-    joined = []
-    for length in lengths or {window: 0}:
-        some = items.filter(F.col("length") == length).select("hash", "item_id", "item_place", "length", "drift")
-        joined.append(_windows(docs, length).join(F.broadcast(some) if small else some, "hash"))
-    hits = reduce(lambda a, b: a.union(b), joined).select(
-        "doc_id", "item_id", "item_place", "length", "drift", (F.col("place") - F.col("item_place")).alias("shift")
+    # At most ``window`` lengths of each form and one count come to the driver.
+    wanted = {(r["form"], r["length"]): r["n"] for r in items.groupBy("form", "length").agg(F.count("*").alias("n")).collect()}
+    small = sum(wanted.values()) <= BROADCAST_WINDOWS
+    asked = F.broadcast(items) if small else items
+    hits = _windows(docs, sorted(wanted) or [(INNER, window)]).join(asked, "hash").select(
+        "doc_id", "item_id", "form", "item_place", "length", "drift", (F.col("place") - F.col("item_place")).alias("shift")
     )
     hits = staged(hits.distinct(), "hits")
-    totals = items.groupBy("item_id").agg(F.count("*").alias("item_windows"))
+    totals = items.groupBy("item_id", "form").agg(F.count("*").alias("item_windows"))
     # The same item may begin at several places of a document; each is judged by itself, first
     # without drift, then in overlapping ranges of shifts, two of which hold each shift. A range
     # is as wide as the item, so that whole copies in a row don't share one.
     step = F.floor(F.col("shift") / F.col("drift"))
     sites = [F.struct(F.lit(w).alias("wide"), s.cast("long").alias("site")) for w, s in ((0, F.col("shift")), (1, step), (1, step - 1))]
     placed = hits.withColumn("at", F.explode(F.array(*sites))).select("*", "at.*").drop("at", "drift")
-    at = ["doc_id", "item_id", "wide", "site"]
+    at = ["doc_id", "item_id", "form", "wide", "site"]
     places = (
         placed.groupBy(*at)
         .agg(F.countDistinct("item_place").alias("held"), (F.min("shift") != F.max("shift")).alias("drifts"))
-        .join(totals, "item_id")
+        .join(totals, ["item_id", "form"])
         .filter((F.col("held") >= F.col("item_windows") * share) & (F.col("drifts") | (F.col("wide") == 0)))
     )
     pairs = staged(places.select(*at, "item_windows"), "leaks")
@@ -170,10 +196,10 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     mine = item_slots.withColumnRenamed("value", "asked")
     # Slots are few per item and each lies in at most ``window`` windows.
     met = (
-        covered.join(mine, "item_id")
+        covered.join(mine, ["item_id", "form"])
         .filter("slot BETWEEN item_place AND item_place + length - 1")
         .withColumn("doc_slot", F.col("slot") + F.col("shift"))
-        .join(doc_slots.withColumnRenamed("slot", "doc_slot"), ["doc_id", "doc_slot", "kind"])
+        .join(doc_slots.withColumnRenamed("slot", "doc_slot"), ["doc_id", "form", "doc_slot", "kind"])
     )
     same = [*at, "kind", "asked"]
     votes = met.groupBy(*same, "value").agg(
@@ -192,17 +218,20 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     final = pairs.join(sound, at).join(slots, at, "left").fillna(0, ["slots", "as_asked"])
     final = final.withColumn("changed_slots", F.col("slots") - F.col("as_asked"))
     final = final.filter(F.col("matched_windows") >= F.col("item_windows") * share)
-    best = F.struct("matched_windows", (-F.col("changed_slots")).alias("kept"), "slots", (-F.col("wide")).alias("narrow"), (-F.col("site")).alias("early"))
+    final = final.withColumn("share", F.col("matched_windows") / F.col("item_windows"))
+    order = [(-F.col(c)).alias(c) for c in ("changed_slots", "form")]
+    least = [(-F.col(c)).alias(c) for c in ("wide", "site")]
+    best = F.struct("share", *order, "slots", *least, "matched_windows", "item_windows")
     return (
-        final.groupBy("doc_id", "item_id", "item_windows")
+        final.groupBy("doc_id", "item_id")
         .agg(F.max(best).alias("best"))
         .select(
             "doc_id",
             "item_id",
             "best.matched_windows",
-            "item_windows",
-            (F.col("best.matched_windows") / F.col("item_windows")).alias("share"),
+            "best.item_windows",
+            "best.share",
             "best.slots",
-            (-F.col("best.kept")).alias("changed_slots"),
+            (-F.col("best.changed_slots")).alias("changed_slots"),
         )
     )

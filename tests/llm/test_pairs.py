@@ -212,6 +212,26 @@ def test_contaminated_with_drift(spark):
     assert got == {(1, 1), (2, 1), (3, 2), (4, 1)}
 
 
+def test_contaminated_in_other_writing(spark):
+    rich = "Then Anna met Boris and Carla in Dover before David drove Elena and Frank to Genoa where Heidi sold Ivan a boat."
+    john = "John has 5 apples. John buys 7 more. How many apples does John have?"
+    w = rich.split()
+    docs = [
+        (1, "\n".join(" ".join(w[i : i + 6]) for i in range(0, len(w), 6))),
+        (2, "\u00a0 ".join(w)),
+        (3, rich.lower()),
+        (4, rich.upper()),
+        (5, john.replace("John", "Mary")),
+        (6, "They ask: \u201c" + john.replace("John", "Mary Ann") + "\u201d Nobody knows."),
+        (7, john.upper()),
+        # Short items of little but names fit only their own words.
+        (8, "Peter runs. It is Paris."),
+    ]
+    items = spark.createDataFrame([(1, rich), (2, john), (3, "Anna runs."), (4, "Rome.")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2), (6, 2), (7, 2)}
+
+
 def test_empty_tables(spark):
     none = frame(spark, ["a"]).limit(0)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
