@@ -176,11 +176,12 @@ def _sketches(n, percent):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(batch.schema.get_field_index("doc_id")),
+                    batch.column(batch.schema.get_field_index("text_id")),
                     pa.array(sizes, pa.int64()),
                     pa.array(names, pa.int64()),
                     pa.array(lists, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_id", "hashes"],
+                names=["doc_id", "text_id", "n_shingles", "set_id", "hashes"],
             )
 
     return run
@@ -336,13 +337,20 @@ def near_sets(documents, n=3, percent=90):
     * Fewer than ``n`` words: the whole sequence is the one shingle.
     * Equal sets are always linked. Repeated rows of one ``doc_id`` give as many rows.
     * NULL ``doc_id``: the row is kept with its class; it never names one.
+    * Different texts under one ``doc_id`` are linked each by its own set.
     * An empty table gives an empty result.
     """
-    spark = documents.sparkSession
+    return near_texts(documents, n, percent).drop("text_id")
+
+
+def near_texts(documents, n, percent):
+    """``near_sets`` with ``text_id``, the text's ``xxhash64``, which tells rows of one
+    ``doc_id`` apart."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("text_id", F.xxhash64("text"))
     sketches = staged(
         docs.mapInArrow(
-            _sketches(n, percent), "doc_id long, n_shingles long, set_id long, hashes array<long>"
+            _sketches(n, percent), "doc_id long, text_id long, n_shingles long, set_id long, hashes array<long>"
         ),
         "sketches",
     )
@@ -350,15 +358,17 @@ def near_sets(documents, n=3, percent=90):
     mark = F.col("said").bitwiseAND(3).cast("tinyint")
     hashes = said.select("set_id", F.shiftright("said", 2).alias("hash"), mark.alias("mark"))
     members = staged(_candidates(hashes), "members")
-    # One document stands for each set that has to be verified.
+    # One text stands for each set that has to be verified; its row may have no doc_id.
     wanted = members.select("set_id").distinct()
     stand_ins = (
-        sketches.filter("set_id IS NOT NULL AND doc_id IS NOT NULL")
+        sketches.filter("set_id IS NOT NULL")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("doc_id"))
+        .agg(F.min(F.struct("text_id", "doc_id")).alias("row"))
         .join(wanted, "set_id")
+        .select("set_id", F.col("row.text_id").alias("of_text"), F.col("row.doc_id").alias("of_doc"))
     )
-    texts = docs.join(stand_ins, "doc_id").select("set_id", "text")
+    met = (F.col("text_id") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_doc"))
+    texts = docs.join(stand_ins, met).select("set_id", "text")
     sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary").dropDuplicates(["set_id"])
     cells = _cells(members).join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
     cells = cells.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
@@ -373,5 +383,5 @@ def near_sets(documents, n=3, percent=90):
     )
     least = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     of_set = staged(named.join(least, "class").select("set_id", "component_id"), "classes")
-    rows = sketches.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rows = sketches.select("doc_id", "text_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
+    return rows.select("doc_id", "text_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -4,14 +4,15 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor
 ``run`` writes every stage's rows as Parquet to the shared folder and rereads them.
 
 Rows without a ``doc_id`` pass every stage but cannot be named by one: none drops them for
-being a copy or for holding benchmark text. Rows that share a ``doc_id`` count as one document.
+being a copy or for holding benchmark text. Rows that share a ``doc_id`` count as one document,
+but only those of its texts that are copies are dropped as such.
 """
 
 from pyspark.sql import functions as F
 
 from candlemill.llm.common import staged, table
 from candlemill.llm.decontaminate import contaminated
-from candlemill.llm.jaccard_join import near_sets
+from candlemill.llm.jaccard_join import near_texts
 from candlemill.llm.mixing import mixture
 from candlemill.llm.quality import THRESHOLD, scored, train
 from candlemill.llm.suffix_dedup import without_repeats
@@ -25,8 +26,10 @@ def good_documents(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """Of every class of documents linked by 5-word shingles at 0.8, the least id stays."""
-    copies = near_sets(docs, n=5, percent=80).filter("doc_id != component_id").select("doc_id")
-    return docs.join(copies.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    copies = near_texts(docs, n=5, percent=80).filter("doc_id != component_id")
+    copies = copies.select(F.col("doc_id").alias("copy_id"), F.col("text_id").alias("copy_text")).distinct()
+    same = (F.col("doc_id") == F.col("copy_id")) & (F.xxhash64("text") == F.col("copy_text"))
+    return docs.join(copies, same, "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark, docs, sf_dir):

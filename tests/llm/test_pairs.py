@@ -81,6 +81,32 @@ def test_near_sets(spark, texts, monkeypatch, n, percent, block):
             assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id))
 
 
+def test_near_sets_of_two_texts_under_one_id(spark):
+    import corpus_pipeline
+
+    rng = random.Random(4)
+    x, y, m = words(rng, 100), words(rng, 100), words(rng, 100)
+    new = [f"new{i}" for i in range(8)]
+    rows = [
+        (2, " ".join([*x[:-1], "new"])),
+        (5, " ".join(x)),
+        (5, " ".join(y)),
+        (9, " ".join([*y[:-1], "new"])),
+        # Only the row without an id links the two around it.
+        (20, " ".join([*m[:-8], *new])),
+        (None, " ".join([*m[:-4], *new[4:]])),
+        (21, " ".join(m)),
+    ]
+    sets = [shingles(t, 3) for _, t in rows]
+    near = lambda i, j: 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])
+    assert near(4, 5) and near(5, 6) and not near(4, 6)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id or 0), r.component_id) for r in jaccard_join.near_sets(docs, 3, 85).collect())
+    assert got == [(0, 20), (2, 2), (5, 2), (5, 5), (9, 5), (20, 20), (21, 20)]
+    kept = {tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.filter("doc_id < 10"), None).collect()}
+    assert kept == {rows[0], rows[2]}
+
+
 @pytest.mark.parametrize("percent", [50, 70, 80, 90, 95])
 def test_linked_sets_meet_in_a_hash(percent):
     """Pairs at the border of the similarity, many with more empty segments than are spare."""
