@@ -57,7 +57,8 @@ def _heads(min_words, gap):
         for batch, texts in text_slices(batches, "text"):
             ids = batch.column(batch.schema.get_field_index("doc_id")).to_numpy(zero_copy_only=False)
             hashes, first, *_ = batch_words(texts)
-            docs, places, keys = [], [], []
+            variants = batch.column(batch.schema.get_field_index("variant")).to_numpy(zero_copy_only=False)
+            docs, kinds, places, keys = [], [], [], []
             for i in range(len(ids)):
                 words = hashes[first[i] : first[i + 1]]
                 if len(words) < min_words:
@@ -65,12 +66,18 @@ def _heads(min_words, gap):
                 at = _anchors(words, gap)
                 at = at[at + head <= len(words)]
                 docs.append(np.full(len(at), ids[i]))
+                kinds.append(np.full(len(at), variants[i]))
                 places.append(at)
                 keys.append(as_long(grams(words, head)[at]))
             join = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(join(keys)), pa.array(join(docs)), pa.array(join(places), pa.int64()).cast(pa.int32())],
-                names=["head", "doc_id", "place"],
+                [
+                    pa.array(join(keys)),
+                    pa.array(join(docs)),
+                    pa.array(join(kinds)),
+                    pa.array(join(places), pa.int64()).cast(pa.int32()),
+                ],
+                names=["head", "doc_id", "variant", "place"],
             )
 
     return run
@@ -82,9 +89,10 @@ def _contexts(min_words, gap):
     def run(batches):
         for batch, texts in text_slices(batches, "text"):
             ids = batch.column(batch.schema.get_field_index("doc_id"))
+            variants = batch.column(batch.schema.get_field_index("variant"))
             heads = batch.column(batch.schema.get_field_index("heads"))
             hashes, first, *_ = batch_words(texts)
-            out = {"head": [], "copies": [], "doc_id": [], "place": [], "left": [], "right": [], "words": []}
+            out = {"head": [], "copies": [], "doc_id": [], "variant": [], "place": [], "left": [], "right": [], "words": []}
             for i in range(len(ids)):
                 words = (hashes[first[i] : first[i + 1]] >> _U(32)).astype(np.uint32)
                 for head in heads[i].as_py():
@@ -93,6 +101,7 @@ def _contexts(min_words, gap):
                     out["head"].append(head["head"])
                     out["copies"].append(head["copies"])
                     out["doc_id"].append(ids[i].as_py())
+                    out["variant"].append(variants[i].as_py())
                     out["place"].append(place)
                     out["left"].append(place - lo)
                     out["right"].append(hi - place)
@@ -107,6 +116,7 @@ _CONTEXT = pa.schema(
         ("head", pa.int64()),
         ("copies", pa.int64()),
         ("doc_id", pa.int64()),
+        ("variant", pa.int64()),
         ("place", pa.int32()),
         ("left", pa.int32()),
         ("right", pa.int32()),
@@ -114,9 +124,9 @@ _CONTEXT = pa.schema(
     ]
 )
 _SPANS = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("first_doc_id", pa.int64())]
+    [(name, pa.int64()) for name in ("doc_id", "variant", "start", "end", "first_doc_id")]
 )
-_SPAN_TYPE = "doc_id long, start long, end long, first_doc_id long"
+_SPAN_TYPE = "doc_id long, variant long, start long, end long, first_doc_id long"
 
 
 def _windows(frame, min_words, gap):
@@ -186,22 +196,27 @@ def _compare(min_words, gap):
         row, offset, owner = row[again], offset[again], owner[again]
         start = frame["place"][row].astype(np.int64) - offset
         return pa.RecordBatch.from_arrays(
-            [pa.array(frame["doc_id"][row]), pa.array(start), pa.array(start + min_words), pa.array(owner)],
+            [pa.array(x) for x in (frame["doc_id"][row], frame["variant"][row], start, start + min_words, owner)],
             schema=_SPANS,
         )
 
     def merged(batch):
         """Overlapping spans of one position and one origin in one row."""
         table = pa.Table.from_batches([batch]).to_pandas()
-        table = table.sort_values(["doc_id", "first_doc_id", "start"], kind="stable")
-        far = table.groupby(["doc_id", "first_doc_id"], sort=False)["end"].cummax()
+        table = table.sort_values(["doc_id", "variant", "first_doc_id", "start"], kind="stable")
+        far = table.groupby(["doc_id", "variant", "first_doc_id"], sort=False)["end"].cummax()
         fresh = (
             (table["doc_id"] != table["doc_id"].shift())
+            | (table["variant"] != table["variant"].shift())
             | (table["first_doc_id"] != table["first_doc_id"].shift())
             | (table["start"] > far.shift())
         )
         joined = table.groupby(fresh.cumsum(), sort=False).agg(
-            doc_id=("doc_id", "first"), start=("start", "first"), end=("end", "max"), first_doc_id=("first_doc_id", "first")
+            doc_id=("doc_id", "first"),
+            variant=("variant", "first"),
+            start=("start", "first"),
+            end=("end", "max"),
+            first_doc_id=("first_doc_id", "first"),
         )
         return pa.RecordBatch.from_pandas(joined, schema=_SPANS, preserve_index=False)
 
@@ -234,27 +249,33 @@ def _as_rows(min_words, gap):
                 row, offset = np.nonzero(inside)
                 start = part["place"][row].astype(np.int64) - offset
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_long(hashes[row, offset])), pa.array(part["doc_id"][row]), pa.array(start)],
-                    names=["window", "doc_id", "start"],
+                    [pa.array(x) for x in (as_long(hashes[row, offset]), part["doc_id"][row], part["variant"][row], start)],
+                    names=["window", "doc_id", "variant", "start"],
                 )
 
     return run
 
 
 def _joined(spans):
-    """Overlapping or touching spans of a document as one; the least origin of each."""
-    order = Window.partitionBy("doc_id").orderBy("start", "end")
+    """Overlapping or touching spans of a text as one; the least origin of each."""
+    order = Window.partitionBy("doc_id", "variant").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     fresh = F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0)
     island = F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0))
     return (
         spans.withColumn("fresh", fresh)
         .withColumn("island", island)
-        .groupBy("doc_id", "island")
+        .groupBy("doc_id", "variant", "island")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id"))
     )
 
 
+def _repeated_ids(documents):
+    """``doc_id`` of more rows than one. Read from a table, so that Spark broadcasts few."""
+    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
+    return staged(ids.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "repeated-ids")
+
+
 def repeated_spans(documents, min_words=50, gap=25, group=GROUP):
     """Passages of ``min_words`` words or more that an earlier document holds too.
 
@@ -266,32 +287,43 @@ def repeated_spans(documents, min_words=50, gap=25, group=GROUP):
 
     * NULL, empty and short texts, and rows without ``doc_id``, have no spans.
     * A passage repeated inside one document only is no repeat.
-    * Rows that share a ``doc_id`` count as one document; equal rows give their spans once.
+    * Rows that share a ``doc_id`` count as one document, of which each distinct text has its own
+      spans; equal rows give their spans once.
     * An empty table gives an empty result.
     """
+    spans = _text_spans(documents, _repeated_ids(documents), min_words, gap, group)
+    return spans.drop("variant")
+
+
+def _text_spans(documents, repeated, min_words, gap, group):
+    """``repeated_spans`` with ``variant``, which tells the texts of a repeated ``doc_id`` apart:
+    the text's ``xxhash64``, 0 for other documents."""
     if not MARK <= min_words - gap + 1 or gap < 2:
         raise ValueError("gap must leave at least as many words as a position is selected by")
     docs = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     ).filter("doc_id IS NOT NULL")
-    heads = docs.mapInArrow(_heads(min_words, gap), "head long, doc_id long, place int")
+    several = docs.join(repeated, "doc_id", "left_semi").withColumn("variant", F.xxhash64("text"))
+    once = docs.join(repeated, "doc_id", "left_anti").withColumn("variant", F.lit(0).cast("long"))
+    docs = once.unionByName(several.dropDuplicates(["doc_id", "variant"]))
+    heads = docs.mapInArrow(_heads(min_words, gap), "head long, doc_id long, variant long, place int")
     shared = heads.groupBy("head").agg(F.count("*").alias("copies")).filter("copies > 1")
     places = (
         heads.join(shared, "head")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "variant")
         .agg(F.collect_list(F.struct("head", "copies", "place")).alias("heads"))
     )
     contexts = staged(
-        docs.join(places, "doc_id").mapInArrow(
+        docs.join(places, ["doc_id", "variant"]).mapInArrow(
             _contexts(min_words, gap),
-            "head long, copies long, doc_id long, place int, left int, right int, words binary",
+            "head long, copies long, doc_id long, variant long, place int, left int, right int, words binary",
         ),
         "contexts",
     )
     small = contexts.filter(F.col("copies") <= group).drop("copies").repartition("head")
     spans = small.sortWithinPartitions("head").mapInArrow(_compare(min_words, gap), _SPAN_TYPE)
     rows = contexts.filter(F.col("copies") > group).mapInArrow(
-        _as_rows(min_words, gap), "window long, doc_id long, start long"
+        _as_rows(min_words, gap), "window long, doc_id long, variant long, start long"
     )
     owners = rows.groupBy("window").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
     # Read from a table, so that Spark can split the windows of a hot key in the join.
@@ -299,11 +331,12 @@ def repeated_spans(documents, min_words=50, gap=25, group=GROUP):
     large = (
         rows.join(owners, "window")
         .filter("doc_id != first_doc_id")
-        .select("doc_id", "start", (F.col("start") + min_words).alias("end"), "first_doc_id")
+        .select("doc_id", "variant", "start", (F.col("start") + min_words).alias("end"), "first_doc_id")
         .distinct()
     )
     return _joined(spans.union(large)).select(
         "doc_id",
+        "variant",
         F.col("start").alias("start_word"),
         F.col("end").alias("end_word"),
         (F.col("end") - F.col("start")).alias("n_words"),
@@ -341,12 +374,16 @@ def without_repeats(documents, min_words=50, gap=25):
     """The documents with every repeated span cut out but in the first document that has it.
 
     All columns stay as they are but ``text``. Documents without repeats are unchanged; a
-    document that was all repeats keeps an empty text. ``doc_id`` must be unique, as spans
-    are word positions in its one text.
+    document that was all repeats keeps an empty text. Of texts that share a ``doc_id`` each
+    loses its own spans.
     """
-    spans = repeated_spans(documents, min_words, gap)
-    of_doc = spans.groupBy("doc_id").agg(
+    repeated = _repeated_ids(documents)
+    spans = _text_spans(documents, repeated, min_words, gap, GROUP)
+    of_text = spans.groupBy(F.col("doc_id").alias("span_doc"), "variant").agg(
         F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("spans")
     )
-    joined = documents.join(of_doc, "doc_id", "left").select(*documents.columns, "spans")
+    told = documents.join(repeated.select(F.col("doc_id").alias("told_doc")), F.col("doc_id") == F.col("told_doc"), "left")
+    variant = F.when(F.col("told_doc").isNotNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    same = (F.col("doc_id") == F.col("span_doc")) & (F.col("text_variant") == F.col("variant"))
+    joined = told.withColumn("text_variant", variant).join(of_text, same, "left").select(*documents.columns, "spans")
     return joined.mapInArrow(_cut, documents.schema)

@@ -183,6 +183,24 @@ def test_repeated_spans(spark, texts, group):
                 assert r.text == every[r.doc_id]
 
 
+def test_repeats_of_two_texts_under_one_id(spark):
+    rng = random.Random(6)
+    passage, own = words(rng, 60), words(rng, 300)
+    rows = [
+        (1, " ".join(passage)),
+        (2, " ".join([*own[:200], *passage, *own[200:]])),
+        (2, "short text"),
+        (2, " ".join(own[100:200])),
+        *[(3, " ".join([*passage, "end"]))] * 3,
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spans = sorted(tuple(r) for r in suffix_dedup.repeated_spans(docs).collect())
+    assert spans == [(2, 200, 260, 60, 1), (3, 0, 60, 60, 1)]
+    kept = sorted((r.doc_id, r.text) for r in suffix_dedup.without_repeats(docs).collect())
+    want = [rows[0], (2, " ".join(own)), rows[2], rows[3], *[(3, "end")] * 3]
+    assert kept == sorted(want)
+
+
 ITEMS = [
     (1, "A train leaves Paris at 9 and travels 120 km to reach Lyon before 12 if nothing stops it on the way to Lyon today."),
     (2, "Short item of five words."),
