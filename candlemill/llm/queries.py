@@ -1,8 +1,12 @@
 """The registered corpus queries: each applies one operator to its whole table."""
 
+from pyspark.sql import functions as F
+
 from candlemill.llm.common import table
 from candlemill.llm.decontaminate import contaminated
 from candlemill.llm.fingerprint import fingerprints
+from candlemill.llm.hard_negatives import hard_negatives
+from candlemill.llm.hnsw import nearest_vectors
 from candlemill.llm.html_text import extracted
 from candlemill.llm.jaccard_join import near_sets
 from candlemill.llm.mixing import mixture
@@ -11,6 +15,7 @@ from candlemill.llm.suffix_dedup import repeated_spans
 from candlemill.llm.toxicity import toxicity_scores
 from candlemill.llm.url_filter import filter_urls
 from candlemill.llm.warc import archived
+from candlemill.llm.whitening import whitened
 
 
 def op1_url_filter(spark, sf_dir):
@@ -56,6 +61,19 @@ def op10_fingerprint(spark, sf_dir):
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark, sf_dir):
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_hnsw(spark, sf_dir):
+    return nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -69,5 +87,8 @@ QUERIES = {
         op8_html_text,
         op9_mixing,
         op10_fingerprint,
+        op11_whitening,
+        op12_hnsw,
+        op13_hard_negatives,
     ]
 }
