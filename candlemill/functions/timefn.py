@@ -31,6 +31,11 @@ def epoch_s(ts) -> Column:
     return _seconds_since_epoch(ts).cast("long")
 
 
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 UTC."""
+    return (_seconds_since_epoch(ts).cast("decimal(18,6)") * F.lit(1_000_000)).cast("long")
+
+
 def from_epoch_ms(ms) -> Column:
     """The ``timestamp_ntz`` that lies ``ms`` milliseconds after 1970; NULL when out of range."""
     ms = _col(ms)

@@ -6,6 +6,8 @@ run. Duplicates inside one batch are reduced by aggregation, which combines on t
 so any number of copies of one key is harmless.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from candlemill.operators.newest import newest_n
@@ -25,14 +27,34 @@ def last_arrived(rows, order, keys=KEY):
     return _reduce(rows, keys, order, F.max_by)
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _rank(rows, order):
+    """What equal keys are ordered by.
+
+    Aggregations by hash hold numbers but no structs. So a whole-number ``order`` becomes the
+    head of one number whose tail is a hash of the values, which breaks ties the same way on
+    every run. A decimal ``order`` (see ``sources.arrival``) is taken to be unique.
+    """
+    values = [c for c in VALUES if c in rows.columns]
+    kind = dict(rows.dtypes).get(order, "")
+    if kind in _WHOLE:
+        head = F.coalesce(F.col(order).cast("long"), F.lit(-(2**63) + 1)).cast("decimal(19,0)")
+        tail = F.shiftrightunsigned(F.xxhash64(*values), 4).cast("decimal(19,0)")
+        return (head * F.lit(Decimal(10**19))).cast("decimal(38,0)") + tail
+    if kind.startswith("decimal"):
+        return F.coalesce(F.col(order), F.lit(-1).cast(kind))
+    return F.struct(*([order] if order else []), *values)
+
+
 def one_per_key(rows, order, reduce):
     """One row per key: by ``order``, or by the values where there is none.
 
-    Ties in ``order`` go by the values too.
+    Without an order the greatest (or least) values count, NULLs lowest; ties in ``order``
+    go by a hash of the values.
     """
-    values = [c for c in VALUES if c in rows.columns]
-    numbered = rows.withColumn("_order", F.struct(*([order] if order else []), *values))
-    return reduce(numbered, "_order").drop("_order")
+    return reduce(rows.withColumn("_order", _rank(rows, order).alias("_order")), "_order").drop("_order")
 
 
 def new_rows(target, incoming, order=None):

@@ -27,6 +27,13 @@ DAMAGED_BELOW = 0.5
 RESENT_FROM = 200.0
 RESENT_OFFSET = 4_000_000_000_000_000
 
+# The topic without keys: its partitions and first time; what the first run of a resumed
+# stream reads, and what has expired when the second one starts.
+PARTITIONS = 3
+TOPIC_START = "2024-02-01 00:00:00"
+FIRST_RUN_UNTIL = "2024-02-01 00:00:00.000012"
+EXPIRED_UNTIL = "2024-02-01 00:00:00.000008"
+
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -160,8 +167,23 @@ def feed_messages(ticks):
     return per_tick.unionByName(per_bar)
 
 
+def unkeyed(payloads):
+    """The topic as producers without keys write it: records over ``PARTITIONS`` partitions, a
+    thousand of them with one time; before the resent ones the topic is created anew."""
+    at = F.col("offset")
+    anew = at >= RESENT_OFFSET
+    micros = F.expr("offset div 1000")
+    time = F.lit(TOPIC_START).cast("timestamp_ntz") + F.make_dt_interval(secs=(micros / 1_000_000).cast("decimal(18,6)"))
+    return payloads.select(
+        F.pmod(at, F.lit(PARTITIONS)).cast("int").alias("partition"),
+        F.floor((at - F.when(anew, F.lit(RESENT_OFFSET)).otherwise(F.lit(0))) / PARTITIONS).cast("long").alias("offset"),
+        time.alias("time"),
+        "value",
+    )
+
+
 def landed(messages, name):
-    """Writes ``(offset, value)`` messages to the shared folder; returns the path."""
+    """Writes topic records to the shared folder; returns the path."""
     path = scratch_path(messages.sparkSession, name)
     messages.write.parquet(path)
     return path

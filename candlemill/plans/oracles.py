@@ -182,6 +182,16 @@ KLINES = f"""{bars("candles", extra=", max(event_id) AS last_id")},
 STATE = f"""{KLINES}, state AS (
         SELECT * FROM klines
         QUALIFY row_number() OVER (PARTITION BY symbol, "timestamp" ORDER BY "offset" DESC) = 1)"""
+UNKEYED = f"""{KLINES}, arrived AS (
+        SELECT CAST("offset" % {I.PARTITIONS} AS INTEGER) AS "partition",
+               CAST(("offset" - CASE WHEN "offset" >= {I.RESENT_OFFSET} THEN {I.RESENT_OFFSET} ELSE 0 END)
+                    // {I.PARTITIONS} AS BIGINT) AS "offset",
+               TIMESTAMP '{I.TOPIC_START}' + to_microseconds(CAST("offset" // 1000 AS BIGINT)) AS time,
+               {COLS}, is_closed FROM klines)"""
+UNKEYED_STATE = f"""{UNKEYED}, state AS (
+        SELECT * FROM arrived
+        QUALIFY row_number() OVER (PARTITION BY symbol, "timestamp"
+                                   ORDER BY time DESC, "partition" DESC, "offset" DESC) = 1)"""
 KLINE_TEXT = "strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S')"
 TICKERS = """tickers AS (
         SELECT event_id * 4 + 1 AS "offset", 'ticker' AS type, upper(event_type) AS symbol,
@@ -381,6 +391,12 @@ ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "offset" DESC) = 1""",
     "live_candle_retention": f"WITH {STATE} {newest('state', LIVE_BARS)}",
     "closed_candle_stream": f"WITH {CANDLES} SELECT * FROM candles",
+    "closed_candle_resume": f"WITH {CANDLES} SELECT * FROM candles",
+    "live_state_unkeyed": f"WITH {UNKEYED_STATE} SELECT * FROM state",
+    "live_latest_unkeyed": f"""WITH {UNKEYED} SELECT * FROM arrived
+        QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC, "partition" DESC, "offset" DESC) = 1""",
+    "live_retention_unkeyed": f"WITH {UNKEYED_STATE} {newest('state', LIVE_BARS)}",
+    "topic_once": f"WITH {UNKEYED} SELECT * EXCLUDE (time) FROM arrived",
     "ticker_latest": f"""WITH {TICKERS} SELECT * FROM tickers
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "offset" DESC) = 1""",
     "gbt_split_counts": f"""WITH {CANDLES}, {TRAINING_SET},

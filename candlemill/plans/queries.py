@@ -11,9 +11,9 @@ from candlemill.operators.slices import fill_both_ways
 from candlemill.plans import inputs as I
 from candlemill.schemas import CANDLE_COLS, KEY
 from candlemill.session import scratch_path
+from candlemill.sinks.candle_table import CandleTable
 from candlemill.sinks.csvfiles import write_csv
-from candlemill.sinks.store import CandleStore
-from candlemill.sources import csvfiles, feed, rest
+from candlemill.sources import arrival, csvfiles, feed, rest
 from candlemill.sources.canonical import canonical
 from candlemill.sources.landed import read_landed
 from candlemill.streaming import live
@@ -197,7 +197,7 @@ def merge_upsert_last_wins(spark, sf_dir):
 
 def _table(spark, sf_dir):
     """A stored table on disk that holds the stored candles."""
-    store = CandleStore(spark, scratch_path(spark, "table"))
+    store = CandleTable(spark, scratch_path(spark, "table"))
     store.insert_ignore(I.stored_candles(spark, sf_dir))
     return store
 
@@ -218,7 +218,7 @@ def table_insert_commit(spark, sf_dir):
 
 def table_newest(spark, sf_dir):
     """The newest candles of the stored table, read from its newest months alone."""
-    store = CandleStore(spark, scratch_path(spark, "table"))
+    store = CandleTable(spark, scratch_path(spark, "table"))
     store.insert_ignore(I.candles(spark, sf_dir))
     return newest.newest_n(store.newest(CHART_BARS), CHART_BARS)
 
@@ -359,8 +359,9 @@ def _appended(spark, rows, name):
     return live.append_stream(rows, scratch_path(spark, name), scratch_path(spark, f"{name}-cp"))
 
 
-def _kept(log, stream):
-    return log.run(stream, scratch_path(log.spark, "live-cp"))
+def _kept(make, stream):
+    spark = stream.sparkSession
+    return make(spark, scratch_path(spark, "live-cp"), stream).run(stream)
 
 
 def feed_demux_ticker(spark, sf_dir):
@@ -400,8 +401,7 @@ def topic_rejects(spark, sf_dir):
 
 
 def live_candle_state(spark, sf_dir):
-    klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
-    return _kept(live.live_candles(spark, scratch_path(spark, "live")), klines)
+    return _kept(live.live_candles, live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS))
 
 
 def live_state_chart(spark, sf_dir):
@@ -411,24 +411,65 @@ def live_state_chart(spark, sf_dir):
 
 
 def live_latest_candle(spark, sf_dir):
-    klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
-    return _kept(live.latest_candle(spark, scratch_path(spark, "latest")), klines)
+    return _kept(live.latest_candle, live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS))
 
 
 def live_candle_retention(spark, sf_dir):
-    klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
-    return _kept(live.retained_candles(spark, scratch_path(spark, "retained")), klines)
+    return _kept(live.retained_candles, live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS))
 
 
 def closed_candle_stream(spark, sf_dir):
+    """The stored table after the stream's closed candles were committed to it."""
     klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
-    kept = _kept(live.closed_candles(spark, scratch_path(spark, "closed")), klines)
-    return kept.select(*CANDLE_COLS)
+    stored = live.ClosedCandles(spark, scratch_path(spark, "closed"))
+    return stored.run(klines, scratch_path(spark, "closed-cp"))
 
 
 def ticker_latest(spark, sf_dir):
-    tickers = live.ticker_stream(_feed(spark, sf_dir))
-    return _kept(live.latest_ticker(spark, scratch_path(spark, "ticker")), tickers)
+    return _kept(live.latest_ticker, live.ticker_stream(_feed(spark, sf_dir)))
+
+
+def _unkeyed(spark, sf_dir):
+    """The topic over several partitions without keys, created anew before its last records."""
+    payloads = feed.publish(I.feed_messages(I.events(spark, sf_dir)))
+    topic = I.landed(I.unkeyed(payloads), "topic-unkeyed")
+    return read_landed(spark, topic)
+
+
+def live_state_unkeyed(spark, sf_dir):
+    """Per bar the message that arrived last, where offsets alone don't say which one did."""
+    return _kept(live.live_candles, live.kline_stream(_unkeyed(spark, sf_dir), I.EVENT_SYMBOLS))
+
+
+def live_latest_unkeyed(spark, sf_dir):
+    return _kept(live.latest_candle, live.kline_stream(_unkeyed(spark, sf_dir), I.EVENT_SYMBOLS))
+
+
+def live_retention_unkeyed(spark, sf_dir):
+    return _kept(live.retained_candles, live.kline_stream(_unkeyed(spark, sf_dir), I.EVENT_SYMBOLS))
+
+
+def topic_once(spark, sf_dir):
+    """Candle messages of a topic that lands every fifth record twice, each of them once."""
+    payloads = I.unkeyed(feed.publish(I.feed_messages(I.events(spark, sf_dir))))
+    twice = payloads.withColumn("again", F.explode(F.when(F.col("offset") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    topic = read_landed(spark, I.landed(twice.drop("again"), "topic-twice"))
+    klines = live.kline_stream(arrival.one_delivery(topic), I.EVENT_SYMBOLS)
+    return _appended(spark, klines.drop("time"), "once")
+
+
+def closed_candle_resume(spark, sf_dir):
+    """The stored table fed in two runs: the second one has a checkpoint of its own and a topic
+    whose older records have expired, and goes on after what the table has."""
+    messages = I.unkeyed(feed.publish(I.feed_messages(I.events(spark, sf_dir))))
+    messages = spark.read.schema(messages.schema).parquet(I.landed(messages, "topic-whole"))
+    stored = live.ClosedCandles(spark, scratch_path(spark, "resumed"))
+    early, late = (F.col("time") <= F.lit(t).cast("timestamp_ntz") for t in (I.FIRST_RUN_UNTIL, I.EXPIRED_UNTIL))
+    for kept in (messages.filter(early), messages.filter(~late)):
+        topic = read_landed(spark, I.landed(kept, "topic-part"))
+        fresh = arrival.after(topic, stored.marks())
+        stored.run(live.kline_stream(fresh, I.EVENT_SYMBOLS), scratch_path(spark, "resumed-cp"))
+    return stored.read()
 
 
 # --- models ------------------------------------------------------------------
@@ -538,7 +579,12 @@ QUERIES = {
         live_latest_candle,
         live_candle_retention,
         closed_candle_stream,
+        closed_candle_resume,
         ticker_latest,
+        live_state_unkeyed,
+        live_latest_unkeyed,
+        live_retention_unkeyed,
+        topic_once,
         gbt_split_counts,
         gbt_train,
         gbt_accuracy,

@@ -87,10 +87,13 @@ ENVELOPE_SCHEMA = T.StructType(
     ]
 )
 
-# One landed topic record: the payload and its position in the topic.
+# One landed topic record: the payload and its place in the topic. Partition and record time
+# may be missing.
 TOPIC_SCHEMA = T.StructType(
     [
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("time", T.TimestampNTZType()),
         T.StructField("value", T.StringType()),
     ]
 )

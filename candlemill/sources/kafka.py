@@ -6,10 +6,12 @@ from candlemill.schemas import TOPIC
 
 
 def read_topic(spark, servers, topic=TOPIC, starting="earliest"):
-    """The topic as ``(offset, value)``, read from the start unless a checkpoint says otherwise.
+    """The topic as ``(partition, offset, time, value)``, read from the start unless a checkpoint
+    says otherwise.
 
-    Messages are keyed by symbol, so one symbol lives on one partition and the
-    offset alone orders its messages.
+    ``starting`` may be the text of ``arrival.starting_offsets``: a stream with a fresh
+    checkpoint then goes on after what a table has. Producers need not key their messages:
+    see ``sources.arrival`` for the order.
     """
     return (
         spark.readStream.format("kafka")
@@ -17,5 +19,10 @@ def read_topic(spark, servers, topic=TOPIC, starting="earliest"):
         .option("subscribe", topic)
         .option("startingOffsets", starting)
         .load()
-        .select("offset", F.col("value").cast("string").alias("value"))
+        .select(
+            "partition",
+            "offset",
+            F.col("timestamp").alias("time"),
+            F.col("value").cast("string").alias("value"),
+        )
     )

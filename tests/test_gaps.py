@@ -6,6 +6,7 @@ import pytest
 from candlemill.functions.timefn import epoch_ms
 from candlemill.operators import gaps
 from candlemill.plans.refresh import fill_gaps
+from candlemill.sinks.candle_table import CandleTable
 from candlemill.sources.rest import closed_only, decode_pages
 
 T0 = datetime(2024, 1, 1)
@@ -88,9 +89,12 @@ def test_unfinished_bars_are_left_out(spark):
     assert sorted(r.open_ms for r in kept) == [T0_MS + MIN, T0_MS + 2 * MIN]
 
 
-def test_fill_gaps_keeps_stored_rows(spark, candles):
-    stored = candles([row("A", 0), row("A", 1, 7.0)])
+def test_fill_gaps_keeps_stored_rows(spark, candles, scratch):
+    table = CandleTable(spark, scratch("table"))
+    table.insert_ignore(candles([row("A", 0), row("A", 1, 7.0)]))
     pages = spark.createDataFrame([("A", page(1, 2)), ("A", page(2, 3, 4))], "symbol string, value string")
-    filled = fill_gaps(stored, pages, T0_MS + 4 * MIN + 5, MIN)
-    got = {(r.ms - T0_MS) // MIN: r.close for r in filled.select("*", epoch_ms("timestamp").alias("ms")).collect()}
+    added = fill_gaps(table, pages, T0_MS + 4 * MIN + 5, MIN)
+    minutes = lambda df: {(r.ms - T0_MS) // MIN: r.close for r in df.select("*", epoch_ms("timestamp").alias("ms")).collect()}
+    assert minutes(added) == {2: 2.5, 3: 2.5}
+    got = minutes(table.read())
     assert got == {0: 1.0, 1: 7.0, 2: 2.5, 3: 2.5}

@@ -7,6 +7,7 @@ from frames import random_rows
 from pyspark.sql import functions as F
 
 from candlemill.plans.refresh import seed
+from candlemill.sinks.candle_table import CandleTable
 from candlemill.schemas import CANDLE_COLS, CANDLE_SCHEMA, SYMBOLS
 from candlemill.sinks import jdbc as jdbc_sink
 from candlemill.sinks import tables
@@ -69,7 +70,10 @@ def test_seed_keeps_what_is_stored(spark, candles, scratch):
     path = scratch("csv")
     write_csv(candles(rows), path, "1month")
     mine = ("AAA", rows[3][1], 0.0, 0.0, 0.0, 0.0, 0.0, 0)
-    seeded = {r.timestamp: r.close for r in seed(spark, path, candles([mine])).collect()}
+    table = CandleTable(spark, scratch("table"))
+    table.insert_ignore(candles([mine]))
+    assert seed(spark, path, table).count() == 9
+    seeded = {r.timestamp: r.close for r in table.read().collect()}
     assert len(seeded) == 10 and seeded[rows[3][1]] == 0.0 and seeded[rows[4][1]] == rows[4][5]
 
 

@@ -43,8 +43,14 @@ def test_round_trip_in_any_zone(spark, zone):
 
 
 def test_bad_text_and_numbers_are_null(spark, zone):
-    texts = ["2024-13-01 00:00:00", "2024-01-01", "2024-01-01T00:00:00", "x", None, "2024-13-01 00:00"]
+    texts = ["2024-13-01 00:00:00", "2024-01-01", "2024-01-01T00", "x", None, "2024-13-01 00:00"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert df.select(timefn.parse_text("t").alias("p")).filter(F.col("p").isNotNull()).isEmpty()
     far = spark.createDataFrame([(10**18,), (None,)], "ms long")
     assert far.select(timefn.from_epoch_ms("ms").alias("p")).filter(F.col("p").isNotNull()).isEmpty()
+
+
+def test_text_with_zone_fraction_or_no_seconds(spark, zone):
+    texts = ["2024-01-01T00:30:00", "2024-01-01 00:30", "2024-01-01T00:30Z", "2024-01-01T02:30:00.000+02:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(timefn.parse_text("t").alias("p"))
+    assert {r.p for r in df.collect()} == {datetime(2024, 1, 1, 0, 30)}
