@@ -12,6 +12,12 @@ Capitals tell names only inside a sentence of mixed case. So each text has three
 (``FORMS``), compared each with its like: one takes the capitalised words inside sentences as
 names, one takes none, so that case says nothing, and one takes those that begin a sentence too.
 
+Templates are costly, so documents are chosen by their words first (``_candidates``): a window
+that a document holds brings along every run of words in it, whatever the form of template. Of
+each item window one such run is looked up among the runs of as many words of each document,
+and only documents that hold the runs of enough windows of an item go on. No pair is
+lost by this, as the windows that a pair must share are counted over a superset of them.
+
 Only DataFrame functions are used.
 """
 
@@ -26,9 +32,11 @@ from candlemill.llm.common import staged
 WINDOW = 8
 #: Share of an item's windows that a document must hold.
 SHARE = 0.5
-#: Most windows of benchmark items that are sent to every executor (32 bytes each, so some
-#: 60 MB); more are joined by a shuffle.
+#: Most windows of benchmark items, and ids of chosen documents, that are sent to every
+#: executor (32 bytes each, so some 60 MB); more are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
+#: Words of a window that a document is chosen by.
+RUN = 4
 
 # Placeholders are private-use characters, which are taken out of texts first.
 NAME, NUMBER, UNIT, POINT, JOINT = "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
@@ -54,6 +62,11 @@ _NUMBER_RE = rf"\d[\d{POINT}]*"
 _BETWEEN = rf"[^{_WORD}\d{NAME}-{JOINT}{_SYMBOLS}]+"
 
 
+def _folded(text):
+    # Capitals have no sharp s.
+    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+
+
 def _tokens(text, values, form):
     """Template tokens of one form; with ``values`` a slot's token is its placeholder and its value.
 
@@ -68,8 +81,7 @@ def _tokens(text, values, form):
     t = F.regexp_replace(t, _UNIT_RE, f"$1 {told(UNIT, 2)} ")
     t = F.regexp_replace(t, _NUMBER_RE, f" {told(NUMBER, 0)} ")
     # Only a text's beginning and end can give an empty piece.
-    # Capitals have no sharp s.
-    return F.array_remove(F.split(F.replace(F.lower(t), F.lit("ß"), F.lit("ss")), _BETWEEN), "")
+    return F.array_remove(F.split(_folded(t), _BETWEEN), "")
 
 
 def _windows(docs, wanted):
@@ -99,17 +111,70 @@ def _codes(text, form):
     return F.transform(_tokens(text, False, form), lambda t: F.xxhash64(t))
 
 
+def _run_hash(words, at, n):
+    return F.xxhash64(F.lit(n), *[F.get(words, at + k) for k in range(n)])
+
+
+def _best_runs(tokens):
+    """For 1 to ``RUN`` plain words in a row: the hash of the run of most letters, or NULL."""
+    plain = lambda t: t.rlike(rf"^[{_WORD}]+$")
+
+    def of_size(n):
+        spots = F.when(F.size(tokens) >= n, F.sequence(F.lit(0), F.size(tokens) - n))
+        whole = F.filter(spots, lambda i: F.forall(F.slice(tokens, i + 1, n), plain))
+        letters = lambda i: F.length(F.array_join(F.slice(tokens, i + 1, n), ""))
+        best = F.array_max(F.transform(whole, lambda i: F.struct(letters(i), _run_hash(tokens, i, n).alias("run"))))
+        return best["run"]
+
+    return F.array(*[of_size(n) for n in range(1, RUN + 1)])
+
+
+def _candidates(docs, items, share):
+    """``docs`` without those that can't hold ``share`` of an item's windows, written to the
+    shared folder.
+
+    Runs of one size are looked up: the most words for which every item has more windows with
+    such a run than it may miss. Its windows without one count as held. If there is no such
+    size, as some item has hardly a plain word, all documents are kept.
+    """
+    of_item = ["item_id", "form"]
+    least = F.greatest(F.ceil(F.count("*") * share), F.lit(1))
+    needs = [(least - F.count_if(F.get("runs", F.lit(n - 1)).isNull())).alias(f"need{n}") for n in range(1, RUN + 1)]
+    need = staged(items.groupBy(*of_item).agg(*needs), "needs")
+    worst = need.agg(*[F.min(f"need{n}") for n in range(1, RUN + 1)]).first()
+    if worst[0] is None:
+        return docs.filter("false")  # no items
+    size = max((n for n in range(1, RUN + 1) if worst[n - 1] > 0), default=None)
+    if size is None:
+        return docs
+    keys = items.select(*of_item, F.col("hash").alias("window"), F.get("runs", F.lit(size - 1)).alias("run"))
+    words = F.array_remove(F.split(_folded(F.col("text")), rf"[^{_WORD}]+"), "")
+
+    def runs(words):
+        return F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: _run_hash(words, i, size))
+
+    found = F.get(F.transform(F.filter(F.array(words), lambda w: F.size(w) >= size), runs), 0)
+    said = docs.select("doc_id", F.explode(found).alias("run"))
+    distinct = keys.select("run").filter("run IS NOT NULL").distinct()
+    asked = F.broadcast(distinct) if distinct.count() <= BROADCAST_WINDOWS else distinct
+    held = staged(said.join(asked, "run", "left_semi").distinct(), "runs")
+    counts = held.join(keys, "run").groupBy("doc_id", *of_item).agg(F.countDistinct("window").alias("held"))
+    enough = counts.join(need, of_item).filter(F.col("held") >= F.col(f"need{size}")).select("doc_id").distinct()
+    chosen = staged(enough, "chosen")
+    if chosen.count() <= BROADCAST_WINDOWS:
+        chosen = F.broadcast(chosen)
+    return staged(docs.join(chosen, "doc_id", "left_semi"), "candidates")
+
+
 def _item_windows(benchmark, window):
-    """``(item_id, form, length, drift, hash, item_place)``; items of fewer tokens are one window.
+    """``(item_id, form, length, drift, hash, item_place, runs)``; items of fewer tokens are one
+    window, and ``runs`` are the ``_best_runs`` of the window.
 
     A window counts if at least half of its tokens are words, as placeholders alone say
     nothing; an item without such a window keeps all. Where sentences may begin with a name,
     half of ``window`` must be words, lest a short item fit anything.
     """
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("item_id").cast("long").alias("item_id"), "text"
-    )
-    items = _of_forms(items.dropDuplicates(["item_id"]), "item_id", False).filter(F.size("tokens") > 0)
+    items = _of_forms(benchmark, "item_id", False).filter(F.size("tokens") > 0)
     items = items.withColumn("length", F.least(F.size("tokens"), F.lit(window)))
     items = items.withColumn("drift", F.greatest(F.floor(F.size("tokens") / 2), F.lit(1)))
     spots = F.explode(F.sequence(F.lit(0), F.size("tokens") - F.col("length"))).alias("place")
@@ -123,10 +188,14 @@ def _item_windows(benchmark, window):
         F.lit(None).cast("long"),
     )
     least = F.when(F.col("form") == ALL, F.lit(window)).otherwise(F.col("length"))
-    rows = rows.select("item_id", "form", "length", "drift", "place", (words * 2 >= least).alias("telling"), chained.alias("hash"))
+    rows = rows.select(
+        "item_id", "form", "length", "drift", "place", (words * 2 >= least).alias("telling"), chained.alias("hash"), _best_runs(part).alias("runs")
+    )
     of_item = Window.partitionBy("item_id", "form")
     rows = rows.withColumn("some", F.max("telling").over(of_item)).filter(f"telling OR NOT some AND form != {ALL}")
-    return rows.groupBy("item_id", "form", "length", "drift", "hash").agg(F.min("place").alias("item_place"))
+    return rows.groupBy("item_id", "form", "length", "drift", "hash").agg(
+        F.min("place").alias("item_place"), F.min("runs").alias("runs")
+    )
 
 
 def _of_forms(rows, key, values):
@@ -156,8 +225,8 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     other values. All counts are of the form of template that tells the pair best.
 
     * NULL or empty texts, and rows without an id, match nothing.
-    * Of repeated items with one ``item_id`` one counts; rows sharing a ``doc_id`` are one
-      document. Equal windows within an item count once.
+    * Texts that share an ``item_id`` are items of their own, of which the best found is
+      reported; rows sharing a ``doc_id`` are one document. Equal windows within an item count once.
     * An item of fewer than ``window`` tokens matches as a whole.
     * White space says nothing. Other names are found where both texts write them with capitals
       among words without; a copy in other case only with the item's names.
@@ -165,12 +234,18 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    named = benchmark.select(F.col("item_id").cast("long").alias("own"), F.col("text").cast("string").alias("text"))
+    named = named.filter("own IS NOT NULL AND text IS NOT NULL").distinct()
+    # An item is a text under an id.
+    named = staged(named.withColumn("item_id", F.xxhash64("own", "text")), "items")
+    benchmark = named.select("item_id", "text")
     items = staged(_item_windows(benchmark, window), "item-windows")
+    docs = _candidates(docs, items, share)
     # At most ``window`` lengths of each form and one count come to the driver.
     wanted = {(r["form"], r["length"]): r["n"] for r in items.groupBy("form", "length").agg(F.count("*").alias("n")).collect()}
     small = sum(wanted.values()) <= BROADCAST_WINDOWS
     asked = F.broadcast(items) if small else items
-    hits = _windows(docs, sorted(wanted) or [(INNER, window)]).join(asked, "hash").select(
+    hits = _windows(docs, sorted(wanted) or [(INNER, window)]).join(asked.drop("runs"), "hash").select(
         "doc_id", "item_id", "form", "item_place", "length", "drift", (F.col("place") - F.col("item_place")).alias("shift")
     )
     hits = staged(hits.distinct(), "hits")
@@ -189,9 +264,9 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
         .filter((F.col("held") >= F.col("item_windows") * share) & (F.col("drifts") | (F.col("wide") == 0)))
     )
     pairs = staged(places.select(*at, "item_windows"), "leaks")
-    item_slots = _slots(benchmark.filter("item_id IS NOT NULL").dropDuplicates(["item_id"]).select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id")
+    item_slots = staged(_slots(benchmark, "item_id"), "item-slots")
     wanted = pairs.join(item_slots.select("item_id").distinct(), "item_id", "left_semi").select("doc_id").distinct()
-    doc_slots = _slots(docs.join(wanted, "doc_id"), "doc_id").distinct()
+    doc_slots = staged(_slots(docs.join(wanted, "doc_id", "left_semi"), "doc_id").distinct(), "doc-slots")
     covered = placed.join(pairs.select(*at), at)
     mine = item_slots.withColumnRenamed("value", "asked")
     # Slots are few per item and each lies in at most ``window`` windows.
@@ -222,8 +297,12 @@ def contaminated(documents, benchmark, window=WINDOW, share=SHARE):
     order = [(-F.col(c)).alias(c) for c in ("changed_slots", "form")]
     least = [(-F.col(c)).alias(c) for c in ("wide", "site")]
     best = F.struct("share", *order, "slots", *least, "matched_windows", "item_windows")
+    own = named.select("item_id", "own")
     return (
-        final.groupBy("doc_id", "item_id")
+        final.join(own, "item_id")
+        .drop("item_id")
+        .withColumnRenamed("own", "item_id")
+        .groupBy("doc_id", "item_id")
         .agg(F.max(best).alias("best"))
         .select(
             "doc_id",

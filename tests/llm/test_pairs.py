@@ -283,3 +283,50 @@ def test_empty_tables(spark):
     assert suffix_dedup.repeated_spans(none).isEmpty()
     assert decontaminate.contaminated(none, items).isEmpty()
     assert decontaminate.contaminated(frame(spark, ["a"]), items.limit(0)).isEmpty()
+
+
+# --- choosing documents before templates are made ----------------------------
+
+
+def edited_copies(seed):
+    """Items, and documents that hold them whole, edited, renamed, in part or not at all."""
+    rng = np.random.default_rng(seed)
+    vocabulary = [f"{a}{b}{c}" for a in "bdgklmnprst" for b in "aeiou" for c in "lmnrst"]
+    word = lambda: str(rng.choice(vocabulary))
+    items, docs = [], []
+    for i in range(24):
+        size = int(rng.integers(3, 40))
+        words = [word() for _ in range(size)]
+        for at in range(2, size, 5):
+            words[at] = str(rng.choice(["Anna", "Bob Lee", "7", "12 km", "3.5", "%", "x1y"]))
+        words[0] = words[0].capitalize()
+        items.append((i, " ".join(words)))
+        other = [{"Anna": "Mary", "7": "9", "Bob Lee": "Jo"}.get(w, w) for w in words]
+        cut = int(rng.integers(0, size))
+        edits = [words, other, words[:cut] + [word()] + words[cut:], words[: size // 2], [w.upper() for w in words], words[::-1]]
+        for edit in edits:
+            around = [[word() for _ in range(int(rng.integers(0, 30)))] for _ in range(2)]
+            docs.append((len(docs), " ".join([*around[0], *edit, *around[1]])))
+    return docs, items
+
+
+@pytest.mark.parametrize("share", [0.5, 0.05])
+def test_no_pair_is_lost_by_choosing_documents(spark, monkeypatch, share):
+    docs, items = edited_copies(3)
+    # Items of placeholders and short ones, and copies under ids that repeat.
+    items += [(100, "7 8 9"), (100, "the answer"), (101, None), (101, "it is 5 km")] if share < 0.5 else []
+    items += [(0, items[1][1]), (1, None)]
+    frames = [spark.createDataFrame(rows, f"{key} long, text string") for rows, key in ((docs, "doc_id"), (items, "item_id"))]
+    found = lambda: sorted(map(tuple, decontaminate.contaminated(*frames, share=share).collect()))
+    got = found()
+    monkeypatch.setattr(decontaminate, "_candidates", lambda docs, items, share: docs)
+    assert got == found() and len({d for d, *_ in got}) >= 24
+
+
+def test_texts_that_share_an_item_id_are_items(spark):
+    long = "Please compute the total price of all green apples in the small shop near the old bridge today."
+    docs = spark.createDataFrame([(1, long), (2, "something else")], "doc_id long, text string")
+    for texts in ([None, long], [long, None], ["a wholly other question about the weather in spring", long], [long, long]):
+        items = spark.createDataFrame([(1, t) for t in texts], "item_id long, text string")
+        got = decontaminate.contaminated(docs, items).collect()
+        assert [(r.doc_id, r.item_id, r.matched_windows == r.item_windows) for r in got] == [(1, 1, True)]
