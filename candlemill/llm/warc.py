@@ -19,7 +19,9 @@ from candlemill.session import scratch_path
 #: Payloads of fewer bytes are always written in full.
 LEAST_BYTES = 100
 #: Records of one archive file; a reading task holds a few files.
-FILE_RECORDS = 20_000
+FILE_RECORDS = 1_000
+#: Characters of payload read back at once.
+BATCH_CHARS = 1 << 24
 DATE = "2024-01-01T00:00:00Z"
 
 _END = "\r\n"
@@ -74,7 +76,8 @@ def records(pages, least=LEAST_BYTES):
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html")
     ).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     same = full["page_id"].eqNullSafe(chosen["page_id"]) & (full["digest"] == chosen["digest"])
-    rows = full.join(chosen, same).select(full["page_id"], "url", "html", full["digest"], "bytes", "first_id", "first_url")
+    # Decisions are short, so they are what is held in memory; pages stream past, unsorted.
+    rows = full.join(chosen.hint("shuffle_hash"), same).select(full["page_id"], "url", "html", full["digest"], "bytes", "first_id", "first_url")
     revisit = F.col("first_id").isNotNull()
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{_END}Content-Type: text/html; charset=utf-8{_END}Content-Length: "),
@@ -146,7 +149,7 @@ def _page_of(uri):
 
 def _parse(content, payloads):
     """Records of one archive file."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content)))
+    stream = io.BufferedReader(gzip.GzipFile(fileobj=pa.BufferReader(content)))
     while line := stream.readline():
         if line in (b"\r\n", b"\n"):
             continue
@@ -179,12 +182,13 @@ def read_archives(spark, path, payloads=True):
     def run(batches):
         for batch in batches:
             for content in batch.column(0):
-                rows = []
-                for record in _parse(content.as_py(), payloads):
+                rows, held = [], 0
+                for record in _parse(content.as_buffer(), payloads):
                     rows.append(record)
-                    if len(rows) == 500:
+                    held += len(record["payload"] or "")
+                    if len(rows) == 500 or held >= BATCH_CHARS:
                         yield pa.RecordBatch.from_pylist(rows, schema=_RECORD)
-                        rows = []
+                        rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=_RECORD)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
