@@ -290,16 +290,24 @@ def _verify(percent):
     return run
 
 
-def _candidates(hashes):
+def _candidates(said):
     """``(hub, set_id)``: the sets that share a hash one of them asks for and one publishes,
-    grouped by the least of them."""
+    grouped by the least of them.
+
+    ``said`` has ``set_id`` and a hash with its marks in one number. It is shuffled once, by
+    hash: nearly all hashes occur once, so what is found per hash stays small and is joined
+    to the same shuffled rows.
+    """
+    hashed = F.shiftright("said", 2)
+    rows = said.repartition(hashed).select("set_id", "said", hashed.alias("hash"))
+    mark = F.col("said").bitwiseAND(3)
     hubs = (
-        hashes.groupBy("hash")
-        .agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.bit_or("mark").alias("marks"))
+        rows.groupBy("hash")
+        .agg(F.min("set_id").alias("hub"), F.max("set_id").alias("last"), F.bit_or(mark).alias("marks"))
         .filter((F.col("hub") != F.col("last")) & (F.col("marks") == ASKED | PUBLISHED))
         .select("hash", "hub")
     )
-    return hashes.select("hash", "set_id").join(hubs, "hash").select("hub", "set_id").distinct()
+    return rows.join(hubs.hint("shuffle_hash"), "hash").select("hub", "set_id").distinct()
 
 
 def _cells(members):
@@ -355,9 +363,7 @@ def near_texts(documents, n, percent):
         "sketches",
     )
     said = sketches.select("set_id", F.explode("hashes").alias("said"))
-    mark = F.col("said").bitwiseAND(3).cast("tinyint")
-    hashes = said.select("set_id", F.shiftright("said", 2).alias("hash"), mark.alias("mark"))
-    members = staged(_candidates(hashes), "members")
+    members = staged(_candidates(said), "members")
     # One text stands for each set that has to be verified; its row may have no doc_id.
     wanted = members.select("set_id").distinct()
     stand_ins = (
