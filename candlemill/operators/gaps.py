@@ -1,5 +1,10 @@
 """Missing bars: what to fetch, and what to do with the fetched pages."""
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from candlemill.functions.timefn import epoch_ms, from_epoch_ms
@@ -11,6 +16,9 @@ from candlemill.sources.rest import closed_only, decode_pages
 
 RUN_BARS = 10_000
 
+# Tasks get this module by value, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _latest(candles, symbols):
     rows = per_symbol(symbols.select("symbol"), latest_timestamp(candles))
@@ -73,8 +81,8 @@ def fetched_rows(candles, pages, now_ms, interval_ms=MINUTE_MS):
     return new_rows(candles, closed)
 
 
-def missing_bars(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
-    """Bar times absent between two stored candles of a symbol."""
+def _wide_pairs(candles, interval_ms, slice_bars):
+    """Neighbouring candles of a symbol that lie more than a bar apart, and the bars between."""
     add = lambda df, w: df.withColumn("_next", F.lead("timestamp").over(w))
     keys = candles.select("symbol", "timestamp")
     pairs = windowed(keys, add, 0, 1, interval_ms, slice_bars).select(
@@ -85,6 +93,59 @@ def missing_bars(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     # Bars strictly between the two.
     holes = F.floor((F.col("_next_ms") - F.col("_ms") - 1) / F.lit(interval_ms)).cast("long")
     wide = pairs.filter(F.col("_next_ms") - F.col("_ms") > interval_ms)
-    rows = _runs(wide, F.lit(1).cast("long"), holes)
+    return wide.withColumn("_holes", holes).filter("_holes > 0")
+
+
+def missing_bars(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
+    """Bar times absent between two stored candles of a symbol."""
+    rows = _runs(_wide_pairs(candles, interval_ms, slice_bars), F.lit(1).cast("long"), F.col("_holes"))
     missing = from_epoch_ms(F.col("_ms") + F.col("at") * F.lit(interval_ms))
     return rows.select("symbol", missing.alias("timestamp"))
+
+
+def _fewest_pages(interval_ms, page_bars):
+    """Task: runs of missing bars, sorted within each stretch, to the requests that cover them."""
+    span = interval_ms * page_bars
+
+    def run(frames):
+        stretch, page = None, None
+        for frame in frames:
+            done = []
+            for symbol, number, first, last in zip(frame["symbol"], frame["stretch"], frame["first_ms"], frame["last_ms"]):
+                if (symbol, number) != stretch:
+                    done += [page] if page else []
+                    stretch, page = (symbol, number), None
+                at = first
+                while at <= last:
+                    if page is None or at >= page[1] + span:
+                        done += [page] if page else []
+                        page = [symbol, at, at, 0]
+                    end = min(last, at + (page[1] + span - interval_ms - at) // interval_ms * interval_ms)
+                    page[2], page[3] = end, page[3] + (end - at) // interval_ms + 1
+                    at = end + interval_ms
+            yield pd.DataFrame(done, columns=["symbol", "start_ms", "last_ms", "n_missing"])
+        if page:
+            yield pd.DataFrame([page], columns=["symbol", "start_ms", "last_ms", "n_missing"])
+
+    return run
+
+
+def hole_pages(candles, interval_ms=MINUTE_MS, page_bars=PAGE_BARS, slice_bars=SLICE_BARS):
+    """The fewest requests of at most ``page_bars`` bars that cover the bars missing between
+    stored candles: ``(symbol, start_ms, last_ms, n_missing)``.
+
+    Each request starts at the first missing bar that none before it covers. Holes further
+    apart than a request reaches never share one, so a symbol's holes fall into stretches that
+    are covered independently; a task reads runs of missing bars, not bars, one after the other.
+    """
+    runs = _wide_pairs(candles, interval_ms, slice_bars).select(
+        "symbol",
+        (F.col("_ms") + F.lit(interval_ms)).alias("first_ms"),
+        (F.col("_ms") + F.col("_holes") * F.lit(interval_ms)).alias("last_ms"),
+    )
+    of_symbol = W.partitionBy("symbol").orderBy("first_ms")
+    far = F.col("first_ms") - F.lag("last_ms").over(of_symbol) >= F.lit(interval_ms * page_bars)
+    runs = runs.withColumn("far", F.coalesce(far.cast("long"), F.lit(0).cast("long")))
+    runs = runs.withColumn("stretch", F.sum("far").over(of_symbol)).drop("far")
+    dealt = runs.repartition("symbol", "stretch").sortWithinPartitions("symbol", "stretch", "first_ms")
+    return dealt.mapInPandas(_fewest_pages(interval_ms, page_bars), "symbol string, start_ms long, last_ms long, n_missing long")

@@ -9,6 +9,8 @@ from candlemill.functions.timefn import epoch_s
 
 SPLIT_AT = 0.8
 DAY_S = 86_400
+#: Size of a sketch: 4,000 times give ranks within some 0.1 %.
+SKETCH_K = 4000
 
 
 def with_ts_unix(df):
@@ -46,6 +48,26 @@ def approx_quantile(df, q=SPLIT_AT, accuracy=10_000):
     return df.agg(F.percentile_approx("ts_unix", q, accuracy).alias("split_ts"))
 
 
+def time_sketches(df, k=SKETCH_K):
+    """A mergeable sketch of the times per symbol and month: ``(symbol, month, sketch)``.
+
+    Kept beside the table, it lets a retrain find its split without reading the candles; only
+    months that gain rows need a new one. Ranks are off by about 1.65 / ``k`` ** 0.9 of the rows
+    (under 0.2 % by default), whatever is merged.
+    """
+    month = F.substring(F.col("timestamp").cast("string"), 1, 7).alias("month")
+    return with_ts_unix(df).groupBy("symbol", month).agg(F.kll_sketch_agg_bigint("ts_unix", F.lit(k)).alias("sketch"))
+
+
+def sketched_quantile(sketches, q=SPLIT_AT, k=SKETCH_K):
+    """One row: ``split_ts`` and ``n_rows`` of all rows the sketches stand for."""
+    whole = sketches.agg(F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("sketch"))
+    return whole.select(
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias("split_ts"),
+        F.kll_sketch_get_n_bigint("sketch").alias("n_rows"),
+    )
+
+
 def time_split(df, exact=True, q=SPLIT_AT):
     """The rows with ``is_train``: at or before the split time, or after it.
 

@@ -21,6 +21,7 @@ UNFINISHED_MS = 1_706_659_200_000  # the hour that has begun at NOW
 STORED_BEFORE = "2024-01-21 00:00:00"
 LIVE_FROM = "2024-01-19 00:00:00"
 PAGE_BARS = 50
+HOLE_PAGE_BARS = 12
 
 # Ticks of these values are damaged or sent again at the end of the feed.
 DAMAGED_BELOW = 0.5

@@ -217,6 +217,12 @@ ORACLES = {
             FROM candles)
         SELECT *, epoch_ms("timestamp") AS open_ms, epoch_ms("timestamp") + {HOUR - 1} AS close_ms
         FROM rows_""",
+    "rest_rejects": f"""WITH {CANDLES}, rows_ AS (
+            SELECT symbol, epoch_ms("timestamp") AS ms FROM candles
+            UNION ALL SELECT DISTINCT symbol, {I.UNFINISHED_MS} FROM candles)
+        SELECT 'VIEW' AS symbol, 'no page' AS reason, count(DISTINCT ms // {I.PAGE_BARS * I.HOUR_MS}) AS n_rows
+        FROM rows_ WHERE symbol = 'VIEW'
+        UNION ALL SELECT 'CLICK', 'bad time', count(*) FROM rows_ WHERE symbol = 'CLICK'""",
     "latest_n_candles": f"WITH {CANDLES} {newest('candles', 100)}",
     "latest_n_candles_wide": f"WITH {SUPPLIER} {newest('candles', 12)}",
     "latest_timestamp": f"""WITH {CANDLES}
@@ -253,6 +259,8 @@ ORACLES = {
                          CAST(epoch("timestamp") AS BIGINT) AS ts_unix FROM training)
         SELECT *, ts_unix <= (SELECT quantile_disc(ts_unix, 0.8) FROM timed) AS is_train
         FROM timed""",
+    "time_split_sketched": f"""WITH {CANDLES}, {TRAINING_SET}
+        SELECT count(*) AS n_rows, true AS near FROM training""",
     "merge_insert_ignore": f"""WITH {STORED}, {LIVE}
         SELECT {COLS} FROM stored UNION ALL
         SELECT {COLS} FROM live l
@@ -348,6 +356,21 @@ ORACLES = {
                  FROM spans)
         SELECT symbol, "timestamp" FROM grid
         EXCEPT SELECT symbol, "timestamp" FROM candles""",
+    "hole_pages": f"""WITH RECURSIVE {CANDLES},
+        spans AS (SELECT symbol, min("timestamp") AS lo, max("timestamp") AS hi FROM candles GROUP BY 1),
+        grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS "timestamp" FROM spans),
+        missing AS (SELECT symbol, epoch_ms("timestamp") AS ms FROM (
+            SELECT symbol, "timestamp" FROM grid EXCEPT SELECT symbol, "timestamp" FROM candles)),
+        pages(symbol, start_ms) AS (
+            SELECT symbol, min(ms) FROM missing GROUP BY 1
+            UNION ALL
+            SELECT p.symbol, (SELECT min(ms) FROM missing m
+                              WHERE m.symbol = p.symbol AND m.ms >= p.start_ms + {I.HOLE_PAGE_BARS * HOUR})
+            FROM pages p WHERE p.start_ms IS NOT NULL)
+        SELECT p.symbol, start_ms, max(ms) AS last_ms, count(*) AS n_missing
+        FROM pages p JOIN missing m ON m.symbol = p.symbol
+             AND m.ms >= start_ms AND m.ms < start_ms + {I.HOLE_PAGE_BARS * HOUR}
+        GROUP BY 1, 2""",
     "dq_no_null_prices": f"""WITH {CANDLES}
         SELECT symbol, count(*) FILTER (WHERE symbol = 'VIEW' AND number_of_trades = 1) = 0 AS ok
         FROM candles GROUP BY 1""",

@@ -87,6 +87,17 @@ def rest_page_decode(spark, sf_dir):
     return rest.decode_pages(I.rest_pages(I.candles(spark, sf_dir)))
 
 
+def rest_rejects(spark, sf_dir):
+    """Pages of which those of one symbol are cut short and those of another lack open times."""
+    pages = I.rest_pages(I.candles(spark, sf_dir))
+    value, symbol = F.col("value"), F.col("symbol")
+    damaged = F.when(symbol == "VIEW", F.substring(value, 1, 40)).when(
+        symbol == "CLICK", F.regexp_replace(value, r'\[\d+,"', '[null,"')
+    )
+    rows = rest.rejected_pages(pages.withColumn("value", F.coalesce(damaged, value)))
+    return rows.groupBy("symbol", "reason").agg(F.count("*").alias("n_rows"))
+
+
 # --- newest rows -------------------------------------------------------------
 
 
@@ -166,6 +177,18 @@ def time_split(spark, sf_dir):
     return split.time_split(direction.stored_once(rows, "training"))
 
 
+def time_split_sketched(spark, sf_dir):
+    """How many rows the sketches per symbol and month stand for, and whether the split found
+    from them has the wanted share of the rows before it, give or take 1 %."""
+    rows = features.training_set(I.candles(spark, sf_dir), I.HOUR_MS).select("symbol", "timestamp")
+    rows = direction.stored_once(rows, "training")
+    found = split.sketched_quantile(split.time_sketches(rows))
+    until = F.col("ts_unix") <= found.select("split_ts").scalar()
+    counted = split.with_ts_unix(rows).agg(F.count_if(until).alias("n_train"), F.first(found.select("n_rows").scalar()).alias("n_rows"))
+    share = F.abs(F.col("n_train") / F.col("n_rows") - F.lit(split.SPLIT_AT))
+    return counted.select("n_rows", (share <= 0.01).alias("near"))
+
+
 # --- merges ------------------------------------------------------------------
 
 
@@ -290,6 +313,10 @@ def gap_pages(spark, sf_dir):
     return gaps.page_plan(_tail_plan(spark, sf_dir), I.GAP_NOW_MS, I.HOUR_MS, I.PAGE_BARS)
 
 
+def hole_pages(spark, sf_dir):
+    return gaps.hole_pages(I.candles(spark, sf_dir), I.HOUR_MS, I.HOLE_PAGE_BARS)
+
+
 def _fetched(spark, sf_dir):
     pages = I.rest_pages(I.candles_of(I.since(I.events(spark, sf_dir), I.LIVE_FROM)))
     return gaps.fetched_rows(I.stored_candles(spark, sf_dir), pages, I.NOW_MS, I.HOUR_MS)
@@ -528,6 +555,7 @@ QUERIES = {
         symbol_from_path,
         canonical_candles,
         rest_page_decode,
+        rest_rejects,
         latest_n_candles,
         latest_n_candles_wide,
         latest_timestamp,
@@ -544,6 +572,7 @@ QUERIES = {
         candle_training_set,
         null_fill_bidirectional,
         time_split,
+        time_split_sketched,
         merge_insert_ignore,
         merge_upsert,
         merge_upsert_last_wins,
@@ -561,6 +590,7 @@ QUERIES = {
         gap_plan,
         gap_plan_startup,
         gap_pages,
+        hole_pages,
         gap_backfill,
         backfill_report,
         missing_bars,

@@ -149,12 +149,13 @@ def decode_klines(messages, symbols):
 def topic_rejects(messages, symbols):
     """Topic messages that ought to be candles but cannot be read, with the reason.
 
-    Tickers and candles of other symbols are no rejects.
+    Tickers and candles of other symbols are no rejects; candles without a symbol are.
     """
     parsed, wanted, typed = _candle_messages(messages, symbols)
     rows = _once(parsed, "typed", typed)
     reason = (
         F.when(F.col("msg.type").isNull(), "no message")
+        .when((F.col("msg.type") == "kline") & F.col("msg.symbol").isNull(), "no symbol")
         .when(wanted & F.col("typed.timestamp").isNull(), "bad time")
         .when(wanted & ~_complete("typed", FIELDS["kline"]), "bad field")
     )

@@ -107,3 +107,12 @@ def test_message_price(spark):
     df = spark.createDataFrame([(1.0, 2.0), (None, 2.0), (0.0, 2.0)], "price double, close double")
     shown = df.select(feed.message_price(df.price, df.close).alias("p")).collect()
     assert [r.p for r in shown] == [1.0, 2.0, 2.0]
+
+
+def test_candles_without_a_symbol_are_rejected(spark):
+    body = {"type": "kline", "timestamp": "2024-01-01 00:00:00", "is_closed": True, "number_of_trades": 1}
+    body.update(dict.fromkeys(["open", "high", "low", "close", "volume"], 1.0))
+    sent = [body, {**body, "symbol": None}, {**body, "symbol": "OTHER"}, {**body, "symbol": "aaa"}, {"type": "ticker"}]
+    rows = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(sent)], "offset long, value string")
+    assert {r.offset: r.reason for r in feed.topic_rejects(rows, ["AAA"]).collect()} == {0: "no symbol", 1: "no symbol"}
+    assert [r.offset for r in feed.decode_klines(rows, ["AAA"]).collect()] == [3]

@@ -1,13 +1,14 @@
 import json
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 
 from candlemill.functions.timefn import epoch_ms
 from candlemill.operators import gaps
 from candlemill.plans.refresh import fill_gaps
 from candlemill.sinks.candle_table import CandleTable
-from candlemill.sources.rest import closed_only, decode_pages
+from candlemill.sources.rest import closed_only, decode_pages, rejected_pages
 
 T0 = datetime(2024, 1, 1)
 T0_MS = 1_704_067_200_000
@@ -98,3 +99,38 @@ def test_fill_gaps_keeps_stored_rows(spark, candles, scratch):
     assert minutes(added) == {2: 2.5, 3: 2.5}
     got = minutes(table.read())
     assert got == {0: 1.0, 1: 7.0, 2: 2.5, 3: 2.5}
+
+
+def fewest_pages(missing, span):
+    pages = []
+    for at in sorted(missing):
+        if not pages or at >= pages[-1][0] + span:
+            pages.append([at, at, 0])
+        pages[-1][1], pages[-1][2] = at, pages[-1][2] + 1
+    return pages
+
+
+@pytest.mark.parametrize("page_bars, slice_bars", [(1, 40), (7, 40), (1000, 4000)])
+def test_holes_are_covered_by_the_fewest_pages(spark, candles, page_bars, slice_bars):
+    """Holes of a bar to thousands, near each other and far apart; one symbol without any."""
+    rng = np.random.default_rng(page_bars)
+    have = {"A": set(), "B": set(range(30)), "C": {0, 5000}, "D": {3}}
+    minute = 0
+    for _ in range(600):
+        minute += 1 + int(rng.random() < 0.2) * int(rng.integers(1, 30)) + int(rng.random() < 0.01) * 2500
+        have["A"].add(minute)
+    stored = candles([row(s, m) for s, minutes in have.items() for m in sorted(minutes)]).repartition(5)
+    got = {}
+    for r in gaps.hole_pages(stored, MIN, page_bars, slice_bars).orderBy("symbol", "start_ms").collect():
+        got.setdefault(r.symbol, []).append([(r.start_ms - T0_MS) // MIN, (r.last_ms - T0_MS) // MIN, r.n_missing])
+    want = {s: fewest_pages(set(range(min(m), max(m))) - m, page_bars) for s, m in have.items()}
+    assert got == {s: p for s, p in want.items() if p}
+    assert gaps.hole_pages(candles([]), MIN).isEmpty()
+
+
+def test_rejected_pages(spark):
+    pages = [("A", page(1, 2)), ("A", "{cut"), ("B", None), ("B", '[["x","1"],[null],[1,"2"]]')]
+    got = rejected_pages(spark.createDataFrame(pages, "symbol string, value string")).collect()
+    assert sorted((r.symbol, r.value or "", r.reason) for r in got) == [
+        ("A", "{cut", "no page"), ("B", "", "no page"), ("B", '["x","1"]', "bad time"), ("B", "[null]", "bad time"),
+    ]

@@ -122,3 +122,26 @@ def test_quality(candles):
     for bad in [[], good[1:] + blank, good + good[:1]]:
         with pytest.raises(quality.QualityError):
             quality.gate(candles(bad))
+
+
+@pytest.mark.parametrize("q", [0.1, 0.5, 0.8])
+def test_sketched_quantile_is_near_the_exact_one(spark, q):
+    """Sketches per symbol and month, merged; one symbol has most of the rows."""
+    ids = spark.range(200_000).withColumns(
+        {
+            "symbol": F.when(F.col("id") % 10 < 8, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 50)),
+            "timestamp": F.lit("2024-01-01").cast("timestamp_ntz")
+            + F.make_dt_interval(mins=F.pmod(F.xxhash64("id"), F.lit(500_000)).cast("int")),
+        }
+    )
+    sketches = split.time_sketches(ids)
+    assert sketches.count() > 12 * 5
+    found = split.sketched_quantile(sketches, q).first()
+    assert found.n_rows == 200_000
+    below = split.with_ts_unix(ids).filter(F.col("ts_unix") <= found.split_ts).count()
+    assert abs(below / 200_000 - q) < 1.65 / split.SKETCH_K**0.9 + 1e-3
+    # Merged in two steps they say nearly the same.
+    half = sketches.filter("symbol = 'HOT'").unionByName(sketches.filter("symbol <> 'HOT'"))
+    again = split.sketched_quantile(half, q).first().split_ts
+    again = split.with_ts_unix(ids).filter(F.col("ts_unix") <= again).count()
+    assert abs(again - below) < 400
