@@ -22,7 +22,7 @@ def sample(documents, labels, target, most, balanced=False):
     Rows are taken in the order of a hash of ``doc_id``, so the sample is random, the same in
     each run, and bounded: its ids and labels are broadcast to the scan of the texts, which is
     not shuffled. With ``balanced``, at most half of it are of one label. NULL labels and ids
-    are left out; of contradicting labels of one id the larger counts.
+    are left out; of contradicting labels of one id the larger counts, and of its texts one.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("target"))
     known = known.dropna().filter(~held_out(F.col("doc_id")))
@@ -34,7 +34,10 @@ def sample(documents, labels, target, most, balanced=False):
     else:
         chosen = known.orderBy(*order).limit(most)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "target")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    # However many rows share an id, one of them is learned from.
+    one = F.min_by(F.struct("text", "target"), F.struct(F.xxhash64("text"), "text")).alias("row")
+    return found.groupBy("doc_id").agg(one).select("doc_id", "row.text", "row.target")
 
 
 class Rows:
@@ -57,7 +60,7 @@ class Rows:
 
     def sums(self, entries):
         """Sum of each row's entries (a value or a vector each)."""
-        out = np.zeros((len(self), *entries.shape[1:]), np.float32)
+        out = np.zeros((len(self), *entries.shape[1:]), np.result_type(entries.dtype, np.float32))
         full = np.flatnonzero(np.diff(self.first))
         if len(full):
             out[full] = np.add.reduceat(entries, self.first[full], axis=0)

@@ -193,3 +193,23 @@ def test_html(spark):
             right, total = right + sum(a == b for a, b in zip(guess, labels)), total + len(labels)
     assert right / total > 0.97
     assert html_text.extracted(pages.limit(0)).isEmpty()
+
+
+def test_sample_is_bounded_by_rows(spark):
+    """Ids of a thousand rows each, of several texts, give one row each, the same on each run."""
+    from candlemill.llm import sgd
+
+    docs = spark.range(5000).select((F.col("id") % 5 + 100).alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 7).alias("text"))
+    labels = spark.range(100, 105).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    taken = lambda parts: sorted(map(tuple, sgd.sample(docs.repartition(parts), labels, "quality", 10).collect()))
+    rows = taken(3)
+    assert 0 < len(rows) <= 5 and len({r[0] for r in rows}) == len(rows) and rows == taken(7)
+
+
+def test_quality_scores_do_not_depend_on_partitions(spark):
+    from candlemill.llm import quality
+    from candlemill.llm.common import table
+
+    docs, labels = (table(spark, "/root/testdata/sf0.001", t) for t in ("documents", "labels"))
+    runs = [sorted(map(tuple, quality.quality_scores(docs.repartition(n), labels).collect())) for n in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2]
