@@ -10,7 +10,9 @@ from templates (``labelled_pages``).
 import html
 import random
 import re
+from collections import Counter
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,12 @@ BLOCK_TAGS = frozenset(
     "optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
 #: Content of these is never text of the page. Fixed values of HTML.
-RAW_TAGS = frozenset("script style noscript template svg math canvas iframe object audio video textarea title head".split())
+RAW_TAGS = frozenset(
+    "script style noscript template svg canvas iframe object audio video textarea title head annotation annotation-xml".split()
+)
 _RAW_TEXT = frozenset("script style textarea title iframe noscript".split())
+#: An open head ends at the start of any other tag, and at text. Fixed values of HTML.
+_HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An open tag of the left kind is closed by the start of one of the right. Fixed values of HTML.
 _ENDS_P = frozenset(
@@ -40,12 +46,12 @@ _CLOSED_BY = {
     "td": {"td", "th", "tr", "tbody", "tfoot"},
     "th": {"td", "th", "tr", "tbody", "tfoot"},
     "option": {"option", "optgroup"},
-    "head": {"body"},
 }
 _FORMATS = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 
-#: Labelled pages the model is trained on, and passes over them.
-PAGES = 700
+#: Labelled pages the model is trained on, the shares of bare ones and of tables, and passes over them.
+PAGES = 900
+BARE, TABLES = 0.15, 0.08
 EPOCHS = 6
 RATE = 0.3
 SEED = 5
@@ -61,9 +67,14 @@ _HIDDEN = re.compile(r"""(?:\s|^)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|
 _SPACES = re.compile(r"\s+")
 
 
-@lru_cache(4096)
 def _of_tag(tag, attrs):
     """Features an ancestor gives to the blocks below it."""
+    # Long attributes are rarely met twice; kept, they would fill memory.
+    return _read_tag(tag, attrs) if len(attrs) < 512 else _read_tag.__wrapped__(tag, attrs)
+
+
+@lru_cache(4096)
+def _read_tag(tag, attrs):
     found = [f"tag={tag}"]
     for name, a, b, c in _NAMES.findall(attrs):
         for word in _NAME_WORD.findall(a or b or c):
@@ -73,40 +84,70 @@ def _of_tag(tag, attrs):
     return tuple(dict.fromkeys(found))
 
 
-def blocks(page):
+class _Open(NamedTuple):
+    """An open tag, with what the blocks inside it take from it and the tags around it."""
+
+    tag: str
+    solid: int  # place in the stack of the nearest tag that is no format, itself included; -1 without
+    above: tuple  # features of all tags
+    nearest: tuple  # features of the nearest named part
+
+
+_NOTHING = _Open("", -1, (), ())
+
+
+def blocks(page, known=None):
     """Text blocks of a page: ``(text, characters inside links, ancestors' features)``.
 
     Tags left open are closed as browsers do; tags closed without being open are ignored.
+    With ``known``, a container, features that it doesn't hold are left out; then a page costs time
+    in proportion to its length, however deep its tags go.
     """
     out, stack = [], []
     text, linked = [], 0
     raw_depth = 0
+    opened = Counter()
 
     def flush():
         nonlocal text, linked
         joined = _SPACES.sub(" ", "".join(text)).strip()
         if joined:
-            features = dict.fromkeys(f for entry in stack for f in entry[1])
-            # The nearest named part says most about a block.
-            nearest = next((e for e in reversed(stack) if e[0] not in _FORMATS and len(e[1]) > 1), None)
-            if nearest:
-                features.update(dict.fromkeys(f"nearest {f}" for f in nearest[1]))
-            out.append((joined, linked, tuple(features)))
+            inner = stack[-1] if stack else _NOTHING
+            out.append((joined, linked, inner.above + inner.nearest))
         text, linked = [], 0
 
     def add(piece):
         nonlocal linked
+        if opened["head"] and stack[-1].tag == "head" and piece.strip():
+            pop()
         if piece and not raw_depth:
             piece = html.unescape(piece)
             text.append(piece)
-            if any(entry[0] == "a" for entry in stack):
+            if opened["a"]:
                 linked += len(piece.strip())
 
     def pop():
         nonlocal raw_depth
-        tag = stack.pop()[0]
+        tag = stack.pop().tag
+        opened[tag] -= 1
         raw_depth -= tag in RAW_TAGS
 
+    def push(tag, features):
+        nonlocal raw_depth
+        around = stack[-1] if stack else _NOTHING
+        told = [f for f in features if known is None or f in known]
+        new = tuple(f for f in told if f not in around.above)
+        above, nearest, solid = around.above + new if new else around.above, around.nearest, around.solid
+        if tag not in _FORMATS:
+            solid = len(stack)
+            # The nearest named part says most about a block.
+            if len(features) > 1:
+                nearest = tuple(f"nearest {f}" for f in features)
+                nearest = nearest if known is None else tuple(f for f in nearest if f in known)
+        stack.append(_Open(tag, solid, above, nearest))
+        opened[tag] += 1
+        raw_depth += tag in RAW_TAGS
+
     at, end = 0, len(page)
     while at < end:
         found = _MARKUP.search(page, at)
@@ -122,28 +163,28 @@ def blocks(page):
         if tag == "br":
             text.append(" ")
             continue
-        if tag in BLOCK_TAGS or tag in RAW_TAGS:
+        if opened["head"] and stack[-1].tag == "head" and tag not in _HEAD_TAGS and not found["close"]:
+            pop()
+        if tag in BLOCK_TAGS or tag in ("head", "title"):
             flush()
         if found["close"]:
-            if any(entry[0] == tag for entry in stack):
+            if opened[tag]:
                 # A format left open inside ends with the block around it.
-                while stack[-1][0] != tag:
+                while stack[-1].tag != tag:
                     pop()
                 pop()
             continue
         if tag in VOID_TAGS:
             continue
-        while stack:
-            top = next((e[0] for e in reversed(stack) if e[0] not in _FORMATS), None)
-            if top is None or tag not in _CLOSED_BY.get(top, ()):
+        while stack and stack[-1].solid >= 0:
+            solid = stack[-1].solid
+            if tag not in _CLOSED_BY.get(stack[solid].tag, ()):
                 break
-            while stack[-1][0] != top:
+            while len(stack) > solid:
                 pop()
-            pop()
         if found["attrs"].endswith("/") and tag in ("svg", "math"):
             continue
-        stack.append((tag, _of_tag(tag, found["attrs"])))
-        raw_depth += tag in RAW_TAGS
+        push(tag, _of_tag(tag, found["attrs"]))
         if tag in _RAW_TEXT:
             close = re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I).search(page, at)
             at = close.start() if close else end
@@ -311,12 +352,13 @@ def _named(rng, part):
     return rng.choice([f' class="{name}"', f' id="{name}"', f" class='{name}'"])
 
 
-def _part(rng, part):
-    """A part of a page that is not main text."""
+def _part(rng, part, cell=False):
+    """A part of a page that is not main text; as a table's cell, if so wanted."""
     tag = _SEMANTIC.get(part)
     attrs = "" if tag and rng.random() < 0.5 else _named(rng, part)
     tag = tag if tag and rng.random() < 0.6 else rng.choice(["div", "div", "section", "ul" if part == "nav" else "div"])
-    if tag in ("div", "section", "ul") and not attrs:
+    tag = "td" if cell else tag
+    if tag in ("div", "section", "ul", "td") and not attrs:
         attrs = _named(rng, part)
     link = lambda: f'<a href="/{_short(rng, 1)}">{_short(rng)}</a>'
     if part == "nav":
@@ -374,15 +416,69 @@ def _paragraph(rng):
     return f"<figure><img src=x><figcaption>{_sentences(rng, 4, 15)}</figcaption></figure>"
 
 
+def _opening(rng):
+    """The start of a page; the ends of its head and the start of its body may be left out."""
+    head = f"<head><title>{_short(rng)}</title><style>p{{}}</style>"
+    if rng.random() < 0.8:
+        return f"<!DOCTYPE html><html>{head}</head><body>"
+    return rng.choice([f"<!DOCTYPE html><html>{head}", f"<html>{head}<body>", f"<title>{_short(rng)}</title>", "<html>", ""])
+
+
+def _bare_page(rng):
+    """A page that is little more than its text: no part has a name, and often there is no heading."""
+    marked = [(_opening(rng), 0)]
+    around = rng.choice([[], [], ["article"], ["main"], ["div"], ["div", "div"], ["center"], ["table", "tr", "td"]])
+    marked += [(f"<{tag}>", 0) for tag in around]
+    if rng.random() < 0.3:
+        marked.append((f"<h1>{rng.choice([_short(rng, 9), _sentences(rng, 2, 12)])}</h1>", 1))
+    if not around and rng.random() < 0.15:
+        marked.append((_sentences(rng, 4, 60), 1))
+    else:
+        for _ in range(rng.choice([1, 1, 1, 2, 2, 3, 5, 8])):
+            plain = rng.random() < 0.8
+            marked.append((f"<p>{_sentences(rng, 6, 60)}</p>" if plain else _paragraph(rng), 1))
+    marked += [(f"</{tag}>", 0) for tag in reversed(around)]
+    if rng.random() < 0.25:
+        marked.append((_part(rng, rng.choice(["footer", "nav", "comments"])), 0))
+    return marked
+
+
+def _table_page(rng):
+    """A page laid out as a table: parts and main text are cells."""
+    marked = [(_opening(rng) + "<table>", 0)]
+    if rng.random() < 0.5:
+        marked.append((f"<tr>{_part(rng, 'header', cell=True)}</tr>", 0))
+    marked.append(("<tr>", 0))
+    if rng.random() < 0.7:
+        marked.append((_part(rng, rng.choice(["nav", "nav", "aside", "ad"]), cell=True), 0))
+    marked.append((f"<td{rng.choice(['', ' width=600', f' class={rng.choice(_CONTENT)}'])}>", 0))
+    if rng.random() < 0.7:
+        marked.append((f"<h1>{_short(rng, 9)}</h1>", 1))
+    marked += [(_paragraph(rng), 1) for _ in range(rng.choice([1, 2, 3, 5, 8]))]
+    marked.append(("</td>", 0))
+    if rng.random() < 0.4:
+        marked.append((_part(rng, rng.choice(["aside", "ad"]), cell=True), 0))
+    marked.append(("</tr>", 0))
+    if rng.random() < 0.5:
+        marked.append((f"<tr>{_part(rng, 'footer', cell=True)}</tr>", 0))
+    marked.append(("</table>", 0))
+    return marked
+
+
 def labelled_page(rng):
     """A page and the labels of its blocks, in order."""
+    kind = rng.random()
+    if kind < BARE:
+        return _bare_page(rng)
+    if kind < BARE + TABLES:
+        return _table_page(rng)
     marked = []  # pieces of the page, with 1 for main text
 
     def part(name):
         marked.append((_part(rng, name), 0))
 
     opened = []
-    marked.append(("<!DOCTYPE html><html><head><title>" + _short(rng) + "</title><style>p{}</style></head><body>", 0))
+    marked.append((_opening(rng), 0))
     if rng.random() < 0.4:
         opened.append("div")
         marked.append((f'<div class="{rng.choice(_NEUTRAL)}">', 0))
@@ -432,7 +528,7 @@ def labelled_pages(n=PAGES, seed=SEED):
     pages = []
     for _ in range(n):
         pieces = labelled_page(rng)
-        page = "".join(re.sub(r">(?=[^<])", f">{mark}", piece) if main else piece for piece, main in pieces)
+        page = "".join(re.sub(r"(?:>|\A)(?=[^<])", rf"\g<0>{mark}", piece) if main else piece for piece, main in pieces)
         found, labels = [], []
         for text, linked, above in blocks(page):
             clean = text.replace(mark, "").strip()
@@ -450,7 +546,7 @@ def train():
 
 def main_text(page, field):
     """Blocks labelled as main text, joined by an empty line."""
-    found = blocks(page)
+    found = blocks(page, field.weights)
     if not found:
         return ""
     labels = field.decode(field.unary(Field.features(found)))

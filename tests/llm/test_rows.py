@@ -2,6 +2,7 @@
 
 import hashlib
 import struct
+import time
 import zlib
 
 import pytest
@@ -195,6 +196,70 @@ def test_html(spark):
     assert html_text.extracted(pages.limit(0)).isEmpty()
 
 
+LAYOUTS = {
+    # page: blocks of main text
+    "<html><head><title>T</title><article><p>Some words of the article are here, and they go on.</p><p>More words follow.</article>": [
+        "Some words of the article are here, and they go on.",
+        "More words follow.",
+    ],
+    "<title>T</title><link rel=x>The first words of a page without any tag, and so they stay.": [
+        "The first words of a page without any tag, and so they stay."
+    ],
+    "<article><p>Let <math><mi>x</mi></math> be the number of words here, and go on.</p></article>": [
+        "Let x be the number of words here, and go on."
+    ],
+    "<article><p>One sentence <script>x()</script>goes on <svg><text>no</text></svg>here, in a block.</p></article>": [
+        "One sentence goes on here, in a block."
+    ],
+    "<html><body><p>The first paragraph of this page is plain prose, and nothing is named.</p><p>The second goes on.</p>": [
+        "The first paragraph of this page is plain prose, and nothing is named.",
+        "The second goes on.",
+    ],
+    "<table><tr><td class=nav><a href=/a>Home</a><td><h1>A title</h1><p>The words of this page are in a cell, as they were"
+    " long ago.</p><p>Another paragraph, with a comma.</td></tr></table><p class=footer>&copy; 2020 Someone</p>": [
+        "A title",
+        "The words of this page are in a cell, as they were long ago.",
+        "Another paragraph, with a comma.",
+    ],
+    "<body><div id=menu><a href=/>Home</a> <a href=/b>News</a></div><div><h2>Title here</h2><p>Words of the page, one after"
+    " the other.</p><p>And again some words.</p></div><div id=footer>&copy; 2024 Site</div>": [
+        "Title here",
+        "Words of the page, one after the other.",
+        "And again some words.",
+    ],
+}
+
+
+def test_html_of_other_layouts():
+    field = html_text.train()
+    got = {page: html_text.main_text(page, field) for page in LAYOUTS}
+    assert got == {page: "\n\n".join(want) for page, want in LAYOUTS.items()}
+
+
+@pytest.mark.parametrize("piece", ["<div>", "<b>", "<div class='a{} b'>x", "<p id=c{}><a href=x>x</i></p>", "<li><a>", "</q><em>"])
+def test_deep_pages_take_time_in_proportion(piece):
+    """Ten times the tags take about ten times as long, not a hundred times."""
+    field = html_text.fit(html_text.labelled_pages(30), epochs=1)
+
+    def seconds(n):
+        page = "".join(piece.format(i) for i in range(n)) + "end"
+        start = time.process_time()
+        assert sum(t.count("x") for t, *_ in html_text.blocks(page, field.weights)) == piece.count(">x") * n
+        html_text.main_text(page, field)
+        return time.process_time() - start
+
+    seconds(500)
+    assert seconds(40_000) < 30 * max(seconds(4_000), 0.02)
+
+
+def test_known_features_decide_alike():
+    """Leaving out features without a weight changes no score."""
+    field = html_text.fit(html_text.labelled_pages(40), epochs=1)
+    for page in [PAGE, *LAYOUTS]:
+        scores = [field.unary(field.features(html_text.blocks(page, known))).tolist() for known in (None, field.weights)]
+        assert scores[0] == scores[1]
+
+
 def test_sample_is_bounded_by_rows(spark):
     """Ids of a thousand rows each, of several texts, give one row each, the same on each run."""
     from candlemill.llm import sgd
