@@ -285,6 +285,18 @@ ORACLES = {
         WHERE NOT EXISTS (SELECT 1 FROM stored s
                           WHERE s.symbol = l.symbol AND s."timestamp" = l."timestamp")""",
     "table_newest": f"WITH {CANDLES} {newest('candles', CHART_BARS)}",
+    "table_faults": f"""WITH {STORED}, {LIVE},
+        blanked AS (
+            SELECT * REPLACE (CASE WHEN number_of_trades > 1 THEN close END AS close) FROM stored),
+        kept AS (
+            SELECT {COLS} FROM blanked s
+            WHERE NOT EXISTS (SELECT 1 FROM live l
+                              WHERE s.symbol = l.symbol AND s."timestamp" = l."timestamp")
+            UNION ALL SELECT {COLS} FROM live)
+        SELECT symbol, strftime("timestamp", '%Y-%m') AS month, count(*) AS n_rows,
+               count(*) FILTER (close IS NULL OR volume IS NULL) AS n_null_prices,
+               count(*) - count(DISTINCT "timestamp") AS n_duplicate_keys
+        FROM kept GROUP BY ALL HAVING n_null_prices > 0 OR n_duplicate_keys > 0""",
     "live_history_merge": f"WITH {MERGED} SELECT * FROM merged",
     "live_history_chart": f"WITH {MERGED} {newest('merged', CHART_BARS)}",
     "candle_metrics": f"""WITH {MERGED},

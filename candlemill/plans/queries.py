@@ -246,6 +246,15 @@ def table_newest(spark, sf_dir):
     return newest.newest_n(store.newest(CHART_BARS), CHART_BARS)
 
 
+def table_faults(spark, sf_dir):
+    """Quiet bars are stored without close, then the live candles are committed over them."""
+    store = CandleTable(spark, scratch_path(spark, "table"))
+    busy = F.col("number_of_trades") > 1
+    store.insert_ignore(I.stored_candles(spark, sf_dir).withColumn("close", F.when(busy, F.col("close"))))
+    store.upsert(I.live_candles(spark, sf_dir))
+    return store.faults()
+
+
 def merge_repeated_keys(spark, sf_dir):
     """A batch that gives a key several times and has no order: the greatest values win."""
     candles = I.live_candles(spark, sf_dir).select(*CANDLE_COLS)
@@ -580,6 +589,7 @@ QUERIES = {
         table_upsert_commit,
         table_insert_commit,
         table_newest,
+        table_faults,
         live_history_merge,
         live_history_chart,
         candle_metrics,

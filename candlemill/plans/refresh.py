@@ -1,7 +1,6 @@
 """Table jobs: seed from files, and the scheduled chain of gap fill, quality gate and retrain."""
 
 from candlemill.ml import direction
-from candlemill.operators import quality
 from candlemill.operators.slices import SLICE_BARS
 from candlemill.schemas import MINUTE_MS
 from candlemill.sources.csvfiles import read_candles
@@ -30,8 +29,8 @@ def refresh(
     What was fetched is committed first and stays, so the next run does not fetch it again.
     """
     fill_gaps(store, pages, now_ms, interval_ms)
+    store.gate()
     candles = store.read()
-    quality.gate(candles)
     model = direction.train(candles, interval_ms, slice_bars, **settings)
     direction.save(model, model_path)
     return candles, model

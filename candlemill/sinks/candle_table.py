@@ -2,24 +2,32 @@
 
 ``<path>/part_symbol=<s>/part_month=<yyyy-MM>``  candles of one month of one symbol
 ``<path>/_staged``                               new content of the parts a commit replaces
+``<path>/_faults``                               counts of parts that fail or failed a check
 
 A commit writes the new content of the parts it touches to ``_staged``, then Spark's dynamic
 partition overwrite puts it in place, then ``_staged`` goes. A job that dies before ``_staged``
 is whole has changed nothing; one that dies later left it whole, and the next commit first puts
 it in place once more, which changes nothing that was in place already. One job commits at a
 time. Readers that run while parts are replaced may have to read again.
+
+The pass that writes the parts also counts candles without price and repeated keys, so the
+quality gate reads no candles: every part was checked when it was written. Only where a count is
+not zero are the staged parts read once more, to note which of them fail.
 """
 
+from pyspark.sql import Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.operators import merge
+from candlemill.operators import merge, quality
 from candlemill.schemas import CANDLE_SCHEMA, KEY
 from candlemill.session import scratch_path
 from candlemill.sinks.files import exists, remove
 
 PARTS = ["part_symbol", "part_month"]
+FAULTS = ["n_null_prices", "n_duplicate_keys"]
+_FAULT_SCHEMA = "n_rows long, n_null_prices long, n_duplicate_keys long, part_symbol string, part_month string"
 
 
 def _folders(symbol):
@@ -38,7 +46,8 @@ class CandleTable:
     """
 
     def __init__(self, spark, path, schema=CANDLE_SCHEMA):
-        self.spark, self.path, self.staging = spark, path, f"{path}/_staged"
+        self.spark, self.path = spark, path
+        self.staging, self.noted = f"{path}/_staged", f"{path}/_faults"
         # Read back, every column may be NULL as far as Parquet knows.
         self.schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
         self.by_arrival = "arrival" in self.schema.fieldNames()
@@ -78,25 +87,88 @@ class CandleTable:
         self._recover()
         return self._within(self.newest_parts(n)).select(*self.schema.fieldNames())
 
-    def _put(self):
-        """Puts the staged parts in place of those of the table."""
+    def _read_staged(self):
         schema = T.StructType([*self.schema, *[T.StructField(c, T.StringType()) for c in PARTS]])
-        rows = self.spark.read.schema(schema).parquet(self.staging)
+        return self.spark.read.schema(schema).parquet(self.staging)
+
+    def _replace(self, rows, path):
+        """Puts ``rows`` in place of the parts they belong to; other parts stay."""
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*PARTS).parquet(self.path)
+        writer.partitionBy(*PARTS).parquet(path)
+
+    def _put(self):
+        """Puts the staged parts in place of those of the table."""
+        self._replace(self._read_staged(), self.path)
         remove(self.spark, self.staging)
 
     def _recover(self):
         """Ends a commit that died after its parts were staged."""
         if exists(self.spark, f"{self.staging}/_SUCCESS"):
+            self._note_faults()
             self._put()
 
+    def _checked(self, rows, seen):
+        """The rows as they are written, counted by ``seen`` in the stage that writes them.
+
+        One task per folder and none of its months in two: one file per month and symbol. A
+        folder's rows lie in order of time, so a repeated key follows its equal.
+        """
+        within = W.partitionBy(*PARTS).orderBy("timestamp")
+        again = F.col("timestamp") == F.lag("timestamp").over(within)
+        counted = rows.repartition(*PARTS).withColumn("_again", again)
+        counted = counted.observe(
+            seen,
+            F.count_if(quality.lacks_price()).alias("n_null_prices"),
+            F.count_if("_again").alias("n_duplicate_keys"),
+        )
+        return counted.drop("_again").sortWithinPartitions(*PARTS, "timestamp")
+
     def _commit(self, rows):
-        # One task per folder and none of its months in two: one file per month and symbol.
-        parts = rows.repartition(*PARTS).sortWithinPartitions(*PARTS, "timestamp")
-        parts.write.mode("overwrite").partitionBy(*PARTS).parquet(self.staging)
+        seen = Observation()
+        self._checked(rows, seen).write.mode("overwrite").partitionBy(*PARTS).parquet(self.staging)
+        if any(seen.get[c] for c in FAULTS) or exists(self.spark, self.noted):
+            self._note_faults()
         self._put()
 
+    def _noted(self):
+        if not exists(self.spark, self.noted):
+            return self.spark.createDataFrame([], _FAULT_SCHEMA)
+        return self.spark.read.schema(_FAULT_SCHEMA).parquet(self.noted)
+
+    def _note_faults(self):
+        """Notes the staged parts that fail a check, and those that failed one before."""
+        counts = self._read_staged().groupBy(*PARTS).agg(
+            F.count("*").alias("n_rows"),
+            F.count_if(quality.lacks_price()).alias("n_null_prices"),
+            (F.count("*") - F.count_distinct("timestamp")).alias("n_duplicate_keys"),
+        )
+        before = self._noted().select(*PARTS, F.lit(True).alias("before"))
+        failing = F.greatest(*FAULTS) > 0
+        # Written elsewhere first, as the notes are read for it.
+        path = scratch_path(self.spark, "faults")
+        counts.join(before, PARTS, "left").filter(failing | F.col("before")).drop("before").write.parquet(path)
+        self._replace(self.spark.read.schema(_FAULT_SCHEMA).parquet(path), self.noted)
+
+    def faults(self):
+        """Months of symbols that fail a check, with their rows, those without price and those
+        of a key that is there already."""
+        self._recover()
+        failing = self._noted().filter(F.greatest(*FAULTS) > 0)
+        return failing.select(
+            F.expr("substring(part_symbol, 3)").alias("symbol"), F.col("part_month").alias("month"), "n_rows", *FAULTS
+        )
+
+    def gate(self):
+        """Raises unless the table holds candles and all its parts passed their checks.
+
+        Reads the notes of commits alone. Parts put there by other means are checked by
+        ``quality.gate`` on ``read()``.
+        """
+        totals = self.faults().agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in FAULTS]).first()
+        if self._table().isEmpty():
+            raise quality.QualityError("no candles")
+        quality.refuse(**totals.asDict())
+
     def _batch(self, rows):
         """The batch, written once, as a commit reads it more than once."""
         keyed = rows.filter(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())

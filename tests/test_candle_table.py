@@ -3,12 +3,14 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlemill.operators import merge, newest
+from candlemill.operators import merge, newest, quality
 from candlemill.schemas import CANDLE_SCHEMA
-from candlemill.sinks.candle_table import CandleTable
+from candlemill.sinks.candle_table import CandleTable, _with_parts
+from candlemill.sinks.files import exists
 
 T0 = datetime(2024, 1, 1)
 
@@ -138,3 +140,66 @@ def test_commits_read_only_the_folders_they_touch(spark, candles, store):
     assert "dynamicpruning" in plan.lower()
     text = store.read(["A"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in text and "part_symbol" in text.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def notes(store):
+    return {(r.symbol, r.month): (r.n_rows, r.n_null_prices, r.n_duplicate_keys) for r in store.faults().collect()}
+
+
+def test_faults_are_counted_as_parts_are_written(spark, candles, store):
+    with pytest.raises(quality.QualityError, match="no candles"):
+        store.gate()
+    store.insert_ignore(candles([row("A", 0, 1.0), row("B", 0, 1.0)]))
+    store.gate()
+    assert not exists(spark, store.noted)  # nothing was found, nothing noted
+    store.insert_ignore(candles([row("A", 1, None), row("A", 40, 2.0), row("", 0, None)]))
+    want = {("A", "2024-01"): (2, 1, 0), ("", "2024-01"): (1, 1, 0)}
+    assert notes(store) == want
+    # A commit elsewhere, and one that adds nothing, forget no fault.
+    store.upsert(candles([row("B", 1, 1.0)]))
+    store.insert_ignore(candles([row("A", 1, 5.0)]))
+    assert notes(CandleTable(spark, store.path)) == want
+    for gated in [store.gate, lambda: quality.gate(store.read())]:
+        with pytest.raises(quality.QualityError, match="2 candles lack"):
+            gated()
+    store.upsert(candles([row("A", 1, 5.0)]))
+    assert notes(store) == {("", "2024-01"): (1, 1, 0)}
+    store.upsert(candles([row("", 0, 5.0)]))
+    assert notes(store) == {}
+    store.gate()
+
+
+def test_repeated_keys_are_counted(spark, candles, store):
+    """Merges leave no repeated keys; a fault of theirs would be noted all the same."""
+    twice = candles([row("A", 0, 1.0), row("A", 0, 2.0), row("A", 1, 2.0), row("A", 40, 2.0), row("B", 0, 1.0)])
+    store._commit(_with_parts(twice))
+    assert notes(store) == {("A", "2024-01"): (3, 0, 1)}
+    with pytest.raises(quality.QualityError, match="duplicate"):
+        store.gate()
+
+
+def test_faults_of_a_commit_that_died(spark, candles, store, monkeypatch):
+    store.insert_ignore(candles([row("A", 0, 1.0)]))
+    with monkeypatch.context() as broken:
+        broken.setattr(CandleTable, "_note_faults", lambda self: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            store.insert_ignore(candles([row("A", 1, None)]))
+    other = CandleTable(spark, store.path)
+    with pytest.raises(quality.QualityError):
+        other.gate()
+    assert notes(other) == {("A", "2024-01"): (2, 1, 0)}
+
+
+def test_checks_share_the_pass_that_writes(spark, candles, store, monkeypatch):
+    store.insert_ignore(candles([row("A", 0, 1.0), row("A", 40, 1.0)]))
+    rows = store._table()
+    text = store._checked(rows, Observation())._jdf.queryExecution().executedPlan().toString()
+    assert [text.count(x) for x in ("CollectMetrics", "Exchange hashpartitioning", "Sort [", "Scan parquet")] == [1, 1, 1, 1]
+    assert text.index("CollectMetrics") < text.index("Exchange")
+    # A clean commit reads its staged parts once, to put them in place, and the gate reads none.
+    reads = []
+    staged = CandleTable._read_staged
+    monkeypatch.setattr(CandleTable, "_read_staged", lambda self: reads.append(1) or staged(self))
+    store.upsert(candles([row("A", 0, 2.0)]))
+    store.gate()
+    assert len(reads) == 1
