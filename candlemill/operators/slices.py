@@ -26,8 +26,8 @@ from candlemill.schemas import MINUTE_MS
 SLICE_BARS = 10_080  # one week of minutes
 ZONE_GROWTH = 4
 
-_SLICE = "_slice"
-_OWN = "_own"
+SLICE = "_slice"
+OWN = "_own"
 
 
 def _bar_in_slice(interval_ms, slice_bars):
@@ -37,13 +37,13 @@ def _bar_in_slice(interval_ms, slice_bars):
 
 def _with_slice(df, interval_ms, slice_bars):
     number = bar_number("timestamp", interval_ms)
-    keyed = F.col("symbol").isNotNull() & F.col(_SLICE).isNotNull()
-    return df.withColumn(_SLICE, F.floor(number / F.lit(slice_bars))).filter(keyed)
+    keyed = F.col("symbol").isNotNull() & F.col(SLICE).isNotNull()
+    return df.withColumn(SLICE, F.floor(number / F.lit(slice_bars))).filter(keyed)
 
 
 def slice_window():
     """The window of one slice; frames stay exact for a slice's own rows."""
-    return W.partitionBy("symbol", _SLICE).orderBy("timestamp")
+    return W.partitionBy("symbol", SLICE).orderBy("timestamp")
 
 
 def _zones(rows, slice_bars):
@@ -60,7 +60,7 @@ def _neighbours(frame, zones, between, wanted):
     ``between`` counts the rows of the slices that lie between the two. A zone is
     picked when it holds the rows still wanted beyond those; NULL is the whole slice.
     """
-    source = F.struct(F.col(_SLICE).alias("slice"), "n", "upto", *[f"z{i}" for i in zones])
+    source = F.struct(F.col(SLICE).alias("slice"), "n", "upto", *[f"z{i}" for i in zones])
     near = F.filter(F.collect_list(source).over(frame), lambda s: between(s) < F.lit(wanted))
 
     def zone(s):
@@ -79,15 +79,15 @@ def _links(sliced, back, ahead, bar, slice_bars):
     """
     tails, heads = list(_zones(back, slice_bars)), list(_zones(ahead, slice_bars))
     counts = (
-        sliced.select("symbol", _SLICE, bar.alias("_bar"))
-        .groupBy("symbol", _SLICE)
+        sliced.select("symbol", SLICE, bar.alias("_bar"))
+        .groupBy("symbol", SLICE)
         .agg(
             F.count("*").alias("n"),
             *[F.count_if(F.col("_bar") >= slice_bars - z).alias(f"z{z}") for z in tails],
             *[F.count_if(F.col("_bar") < z).alias(f"z{-z}") for z in heads],
         )
     )
-    w = W.partitionBy("symbol").orderBy(_SLICE)
+    w = W.partitionBy("symbol").orderBy(SLICE)
     counts = counts.withColumn("upto", F.sum("n").over(w.rowsBetween(W.unboundedPreceding, 0)))
     upto, n = F.col("upto"), F.col("n")
     before = _neighbours(w.rowsBetween(-back, -1), tails, lambda s: upto - n - s["upto"], back)
@@ -95,20 +95,26 @@ def _links(sliced, back, ahead, bar, slice_bars):
         w.rowsBetween(1, ahead), [-z for z in heads], lambda s: s["upto"] - s["n"] - upto, ahead
     )
     lists = [side for side, wanted in [(before, back), (after, ahead)] if wanted]
-    near = counts.select("symbol", _SLICE, F.concat(*lists).alias("near"))
-    return near.select("symbol", F.col(_SLICE).alias("_to"), F.explode("near").alias("src")).select(
-        "symbol", F.col("src.slice").alias(_SLICE), "_to", F.col("src.zone").alias("_zone")
+    near = counts.select("symbol", SLICE, F.concat(*lists).alias("near"))
+    return near.select("symbol", F.col(SLICE).alias("_to"), F.explode("near").alias("src")).select(
+        "symbol", F.col("src.slice").alias(SLICE), "_to", F.col("src.zone").alias("_zone")
     )
 
 
 def with_edges(df, back, ahead, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     """Rows tagged with their slice, plus the edge rows each slice needs from others.
 
-    ``windowed`` computes over ``slice_window()`` and drops the copies.
+    ``windowed`` computes over ``slice_window()`` and drops the copies. A table that
+    ``sinks.layout`` wrote has both already and is taken as it is.
     """
+    if OWN in df.columns:
+        held = df.schema[OWN].metadata
+        if held["back"] < back or held["ahead"] < ahead:
+            raise ValueError(f"laid out for frames of {held['back']} rows back and {held['ahead']} ahead")
+        return df
     sliced = _with_slice(df, interval_ms, slice_bars)
-    placed = sliced.repartition("symbol", _SLICE)
-    own = placed.withColumn(_OWN, F.lit(True))
+    placed = sliced.repartition("symbol", SLICE)
+    own = placed.withColumn(OWN, F.lit(True))
     bar = _bar_in_slice(interval_ms, slice_bars)
     links = _links(sliced, back, ahead, bar, slice_bars)
     # Links are one row per slice and neighbour: a hash table of one partition's links
@@ -116,10 +122,10 @@ def with_edges(df, back, ahead, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     zone = F.col("_zone")
     inside = zone.isNull() | F.when(zone > 0, bar >= slice_bars - zone).otherwise(bar < -zone)
     copies = (
-        placed.join(links.hint("shuffle_hash"), ["symbol", _SLICE])
+        placed.join(links.hint("shuffle_hash"), ["symbol", SLICE])
         .filter(inside)
-        .select(*df.columns, F.col("_to").alias(_SLICE), F.lit(False).alias(_OWN))
-        .repartition("symbol", _SLICE)
+        .select(*df.columns, F.col("_to").alias(SLICE), F.lit(False).alias(OWN))
+        .repartition("symbol", SLICE)
     )
     return own.unionByName(copies)
 
@@ -134,12 +140,12 @@ def windowed(
     symbol instead: right when each symbol is known to have few rows, as after a
     newest-n cut.
     """
-    if slice_bars is None:
+    if slice_bars is None and OWN not in df.columns:
         added = add_columns(df, W.partitionBy("symbol").orderBy("timestamp"))
         return _fill_in(added, fill) if fill else added
     frame = with_edges(df, back, ahead, interval_ms, slice_bars)
-    own = add_columns(frame, slice_window()).filter(_OWN).drop(_OWN)
-    return (_fill_slices(own, fill) if fill else own).drop(_SLICE)
+    own = add_columns(frame, slice_window()).filter(OWN).drop(OWN)
+    return (_fill_slices(own, fill) if fill else own).drop(SLICE)
 
 
 def fill_both_ways(df, columns, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
@@ -150,7 +156,7 @@ def fill_both_ways(df, columns, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     the filled columns alone.
     """
     sliced = _with_slice(df, interval_ms, slice_bars)
-    return _fill_slices(sliced.repartition("symbol", _SLICE), columns).drop(_SLICE)
+    return _fill_slices(sliced.repartition("symbol", SLICE), columns).drop(SLICE)
 
 
 def _nearest(column, keys):
@@ -175,21 +181,21 @@ def _fill_in(df, columns):
 
 def _fill_slices(sliced, columns):
     time_if = {c: F.when(F.col(c).isNotNull(), F.col("timestamp")) for c in columns}
-    edges = sliced.groupBy("symbol", _SLICE).agg(
+    edges = sliced.groupBy("symbol", SLICE).agg(
         *[F.min_by(c, time_if[c]).alias(f"_first_{c}") for c in columns],
         *[F.max_by(c, time_if[c]).alias(f"_last_{c}") for c in columns],
     )
     others = W.partitionBy("symbol").rowsBetween(W.unboundedPreceding, -1)
-    earlier, later = others.orderBy(_SLICE), others.orderBy(F.desc(_SLICE))
+    earlier, later = others.orderBy(SLICE), others.orderBy(F.desc(SLICE))
     carried = edges.select(
         "symbol",
-        _SLICE,
+        SLICE,
         *[F.last(f"_first_{c}", True).over(later).alias(f"_next_{c}") for c in columns],
         *[F.last(f"_last_{c}", True).over(earlier).alias(f"_prev_{c}") for c in columns],
     )
     filled = {}
     for c in columns:
-        down, up = _nearest(c, ["symbol", _SLICE])
+        down, up = _nearest(c, ["symbol", SLICE])
         filled[c] = F.coalesce(up, f"_next_{c}", down, f"_prev_{c}", F.lit(0.0))
-    joined = sliced.join(carried, ["symbol", _SLICE], "left")
+    joined = sliced.join(carried, ["symbol", SLICE], "left")
     return joined.withColumns(filled).select(*sliced.columns)

@@ -239,6 +239,8 @@ ORACLES = {
         SELECT *, {SPREAD_8}, {PCT_8}, round({PCT_GUARDED}, 8) AS price_change_pct_guarded
         FROM rows_""",
     "candle_features_train": train_features(CANDLES),
+    "layout_features_train": train_features(CANDLES),
+    "layout_newest": f"WITH {CANDLES} {newest('candles', CHART_BARS)}",
     "candle_features_train_wide": wide(train_features(SUPPLIER)),
     "candle_features_serve": f"WITH {CANDLES}, {serve('candles', 'feat')} {SERVE_SELECT}",
     "candle_features_serve_wide": wide(

@@ -11,6 +11,7 @@ from candlemill.operators.slices import fill_both_ways
 from candlemill.plans import inputs as I
 from candlemill.schemas import CANDLE_COLS, KEY
 from candlemill.session import scratch_path
+from candlemill.sinks import layout
 from candlemill.sinks.candle_table import CandleTable
 from candlemill.sinks.csvfiles import write_csv
 from candlemill.sources import arrival, csvfiles, feed, rest
@@ -143,6 +144,21 @@ def candle_features_train(spark, sf_dir):
     return _shown(features.features(I.candles(spark, sf_dir), "train", I.HOUR_MS))
 
 
+def _laid_out(spark, sf_dir):
+    path = scratch_path(spark, "layout")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    return layout.write_layout(I.candles(spark, sf_dir), name, path, buckets=16, interval_ms=I.HOUR_MS, slice_bars=168)
+
+
+def layout_features_train(spark, sf_dir):
+    """Training features from the bucketed layout, without a shuffle."""
+    return _shown(features.features(_laid_out(spark, sf_dir), "train", I.HOUR_MS))
+
+
+def layout_newest(spark, sf_dir):
+    return layout.newest_of(_laid_out(spark, sf_dir), CHART_BARS)
+
+
 def candle_features_serve(spark, sf_dir):
     return _shown(features.features(I.candles(spark, sf_dir), "serve", I.HOUR_MS))
 
@@ -574,6 +590,8 @@ QUERIES = {
         candle_rolling_serve,
         candle_returns,
         candle_features_train,
+        layout_features_train,
+        layout_newest,
         candle_features_serve,
         candle_features_reg12,
         candle_features_train_wide,
