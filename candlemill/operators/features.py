@@ -1,4 +1,7 @@
-"""Technical features of candles, in the three column sets models use."""
+"""Technical features of candles, in the three column sets models use.
+
+The names of columns and models' inputs are fixed values, as models are trained with them.
+"""
 
 from pyspark.sql import functions as F
 
@@ -12,6 +15,9 @@ from candlemill.schemas import MINUTE_MS
 TRAIN_FRAMES = {"short": 16, "long": 61}
 SERVE_FRAMES = {"tiny": 5, "short": 15, "long": 60}
 
+#: Rows before a candle that its serving features reach back to.
+SERVE_HISTORY = SERVE_FRAMES["long"] - 1
+
 TRAIN_LAGS = {
     "lag_close_1": ("close", 1),
     "lag_close_3": ("close", 3),
@@ -26,6 +32,7 @@ SERVE_LAGS = {
     "lag_volume_1": ("volume", 1),
 }
 
+# The inputs of the models, in their order.
 TRAIN_INPUTS = [
     "open",
     "high",
@@ -171,6 +178,37 @@ def serve_features(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
     return windowed(candles, add, back, 0, interval_ms, slice_bars, fill=list(SERVE_LAGS))
 
 
+def _lags_so_far(w):
+    """Serving lags that never look ahead: a missing one takes the value before it within the
+    longest frame, else 0.0."""
+    reach = 1 - SERVE_FRAMES["long"]
+    return {
+        name: F.coalesce(F.last(source, True).over(w.rowsBetween(reach, -k)), F.lit(0.0))
+        for name, (source, k) in SERVE_LAGS.items()
+    }
+
+
+def serve_features_so_far(candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS):
+    """The serving features a candle has the moment it is the newest one of its symbol.
+
+    They equal ``serve_features`` but where that fills a missing lag from later candles: in a
+    symbol's first rows, and next to candles without close or volume. A row needs the
+    ``SERVE_HISTORY`` rows before it and no others, so new candles need no older history.
+    """
+
+    def add(df, w):
+        return df.withColumns(
+            {
+                **_lags_so_far(w),
+                "hl_spread": hl_spread(),
+                "price_change_pct": price_change(zero_guard=True),
+                **_serve_rolling(w),
+            }
+        )
+
+    return windowed(candles, add, SERVE_HISTORY, 0, interval_ms, slice_bars)
+
+
 def reg12_features(
     candles, interval_ms=MINUTE_MS, slice_bars=SLICE_BARS, with_next_close=False
 ):

@@ -95,6 +95,17 @@ def serve(source, out):
     {out} AS (SELECT * REPLACE ({filled}) FROM {out}_raw)"""
 
 
+def so_far(source, out):
+    """As ``serve``, but a missing lag takes the value before it within 60 rows."""
+    lags = [
+        f"""coalesce(last_value({c} IGNORE NULLS) OVER ({W} ROWS BETWEEN 59 PRECEDING AND {k} PRECEDING), 0.0)
+            AS lag_{c}_{k}"""
+        for c, k in [("close", 1), ("close", 2), ("close", 3), ("close", 5), ("volume", 1)]
+    ]
+    return f"""{out} AS (
+        SELECT *, {", ".join(lags)}, {SPREAD}, {PCT_GUARDED} AS price_change_pct, {SERVE_ROLL} FROM {source})"""
+
+
 SERVE_SELECT = f"""SELECT {COLS}, lag_close_1, lag_close_2, lag_close_3, lag_close_5, lag_volume_1,
     round(hl_spread, 8) AS hl_spread, round(price_change_pct, 8) AS price_change_pct, {SERVE_ROLL_8}
     FROM feat"""
@@ -243,6 +254,9 @@ ORACLES = {
     "layout_newest": f"WITH {CANDLES} {newest('candles', CHART_BARS)}",
     "candle_features_train_wide": wide(train_features(SUPPLIER)),
     "candle_features_serve": f"WITH {CANDLES}, {serve('candles', 'feat')} {SERVE_SELECT}",
+    "candle_features_so_far": f"""WITH {CANDLES}, quiet AS (
+            SELECT * REPLACE (CASE WHEN number_of_trades > 1 THEN close END AS close) FROM candles),
+        {so_far('quiet', 'feat')} {SERVE_SELECT}""",
     "candle_features_serve_wide": wide(
         f"WITH {SUPPLIER}, {serve('candles', 'feat')} {SERVE_SELECT}"
     ),
@@ -429,6 +443,13 @@ ORACLES = {
     "live_candle_retention": f"WITH {STATE} {newest('state', LIVE_BARS)}",
     "closed_candle_stream": f"WITH {CANDLES} SELECT * FROM candles",
     "closed_candle_resume": f"WITH {CANDLES} SELECT * FROM candles",
+    "closed_candle_features": f"WITH {CANDLES}, {so_far('candles', 'feat')} {SERVE_SELECT}",
+    "live_chart": f"""WITH {STATE}, {STORED}, merged AS (
+            SELECT {COLS}, CAST(NULL AS BOOLEAN) AS is_closed FROM stored s
+            WHERE NOT EXISTS (SELECT 1 FROM state l
+                              WHERE l.symbol = s.symbol AND l."timestamp" = s."timestamp")
+            UNION ALL SELECT {COLS}, is_closed FROM state)
+        {newest('merged', CHART_BARS)}""",
     "live_state_unkeyed": f"WITH {UNKEYED_STATE} SELECT * FROM state",
     "live_latest_unkeyed": f"""WITH {UNKEYED} SELECT * FROM arrived
         QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC, "partition" DESC, "offset" DESC) = 1""",

@@ -18,6 +18,7 @@ from candlemill.sources import arrival, csvfiles, feed, rest
 from candlemill.sources.canonical import canonical
 from candlemill.sources.landed import read_landed
 from candlemill.streaming import live
+from candlemill.streaming.newest import ClosedFeatures, LiveChart
 
 BACKTEST_LIMIT = 20
 CHART_BARS = 100
@@ -163,6 +164,13 @@ def candle_features_serve(spark, sf_dir):
     return _shown(features.features(I.candles(spark, sf_dir), "serve", I.HOUR_MS))
 
 
+def candle_features_so_far(spark, sf_dir):
+    """Serving features that look at no later candle; quiet bars have no close."""
+    busy = F.col("number_of_trades") > 1
+    candles = I.candles(spark, sf_dir).withColumn("close", F.when(busy, F.col("close")))
+    return _shown(features.serve_features_so_far(candles, I.HOUR_MS))
+
+
 def candle_features_reg12(spark, sf_dir):
     return _shown(features.features(I.candles(spark, sf_dir), "reg12", I.HOUR_MS))
 
@@ -477,6 +485,18 @@ def closed_candle_stream(spark, sf_dir):
     return stored.run(klines, scratch_path(spark, "closed-cp"))
 
 
+def closed_candle_features(spark, sf_dir):
+    """Serving features of the stream's closed candles, each computed when it comes."""
+    klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
+    return _shown(ClosedFeatures(spark, scratch_path(spark, "closed-features"), I.HOUR_MS).run(klines))
+
+
+def live_chart(spark, sf_dir):
+    """The chart of stored and live candles after the stream's changes were written over it."""
+    klines = live.kline_stream(_topic(spark, sf_dir), I.EVENT_SYMBOLS)
+    return LiveChart(spark, scratch_path(spark, "chart"), _table(spark, sf_dir), CHART_BARS).run(klines)
+
+
 def ticker_latest(spark, sf_dir):
     return _kept(live.latest_ticker, live.ticker_stream(_feed(spark, sf_dir)))
 
@@ -593,6 +613,7 @@ QUERIES = {
         layout_features_train,
         layout_newest,
         candle_features_serve,
+        candle_features_so_far,
         candle_features_reg12,
         candle_features_train_wide,
         candle_features_serve_wide,
@@ -638,6 +659,8 @@ QUERIES = {
         live_candle_retention,
         closed_candle_stream,
         closed_candle_resume,
+        closed_candle_features,
+        live_chart,
         ticker_latest,
         live_state_unkeyed,
         live_latest_unkeyed,

@@ -14,3 +14,9 @@ def exists(spark, path):
 def remove(spark, path):
     found, files = _find(spark, path)
     return files.delete(found, True)
+
+
+def names(spark, path):
+    """Names of what the folder holds; none if it isn't there."""
+    found, files = _find(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(found)] if files.exists(found) else []

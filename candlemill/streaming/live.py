@@ -29,7 +29,7 @@ SALTS = 16
 _TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def _triggered(writer, every):
+def triggered(writer, every):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
@@ -53,7 +53,7 @@ class _Kept:
         ``"10 seconds"``, for as long as it is left running."""
         rows = self._rows(with_arrival(stream.select(*self.schema.fieldNames())))
         writer = rows.writeStream.outputMode("update").foreachBatch(self.changes)
-        writer = _triggered(writer.option("checkpointLocation", self.checkpoint), every)
+        writer = triggered(writer.option("checkpointLocation", self.checkpoint), every)
         # A stream takes its settings when it starts; others of the session keep theirs.
         before = self.spark.conf.get(_PROVIDER, None)
         self.spark.conf.set(_PROVIDER, ROCKSDB)
@@ -181,7 +181,7 @@ class ClosedCandles:
 
     def start(self, stream, checkpoint, every=None):
         writer = stream.writeStream.foreachBatch(self.write).option("checkpointLocation", checkpoint)
-        return _triggered(writer, every).start()
+        return triggered(writer, every).start()
 
     def run(self, stream, checkpoint):
         self.start(stream, checkpoint).awaitTermination()
