@@ -4,10 +4,11 @@ Suffixes are kept only at content-selected positions: in every run of ``gap`` wo
 the one whose ``MARK``-word hash is least. A passage of ``min_words`` words that occurs twice
 has such a position among its first ``gap`` words, the same in both places, and the
 ``min_words - gap + 1`` words from there on lie inside it. Suffixes that agree in these words
-are brought together by their hash; their words on both sides are then fetched, the
-occurrences are sorted by window and neighbours compared, which extends each match left and
-right as far as ``min_words`` words agree. A passage longer than that holds further positions,
-each of which adds its own part, so the parts join to the whole passage.
+are brought together by their hash. There they are sorted by the words that follow and, once
+more, by the words that precede, read backwards. Neighbours of either order are compared word
+by word, which tells how far matches extend to the right and to the left; occurrences whose
+extensions together reach ``min_words`` words hold the same passage. A passage longer than that
+holds further positions, each of which adds its own part, so the parts join to the whole passage.
 """
 
 import numpy as np
@@ -20,7 +21,7 @@ from candlemill.llm.wordhash import as_long, batch_words, grams, mix
 
 #: Words hashed to select positions.
 MARK = 8
-#: Suffixes with equal heads that one task compares in memory; larger groups are compared by
+#: Suffixes with equal heads that one task sorts in memory; larger groups are compared by
 #: their windows, one row each, with the same outcome.
 GROUP = 20_000
 _U = np.uint64
@@ -177,26 +178,72 @@ def _columns(batch):
     return frame
 
 
+def _around(frame, min_words, gap):
+    """The words after each position and those before it, read backwards; 0 where a text ends."""
+    n, left, right = len(frame["place"]), frame["left"], frame["right"]
+    after, before = np.zeros((n, min_words), np.uint32), np.zeros((n, gap - 1), np.uint32)
+    sizes = left + right
+    row = np.repeat(np.arange(n), sizes)
+    begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    column = np.arange(int(sizes.sum())) - np.repeat(begin + left, sizes)
+    words = np.maximum(np.frombuffer(b"".join(frame["words"]), np.uint32), 1)
+    ahead = column >= 0
+    after[row[ahead], column[ahead]] = words[ahead]
+    before[row[~ahead], -1 - column[~ahead]] = words[~ahead]
+    return after, before
+
+
+def _neighbours(head, words, length):
+    """The order of rows by head and words, and how many words each shares with the row before
+    it in that order; -1 for the first row of a head."""
+    keys = np.empty((len(head), words.shape[1] + 2), ">u4")
+    keys[:, 0], keys[:, 1] = head.view(_U) >> _U(32), head.view(_U) & _U(0xFFFFFFFF)
+    keys[:, 2:] = words
+    order = np.argsort(keys.view(f"S{keys.shape[1] * 4}").ravel(), kind="stable")
+    head, words, length = head[order], words[order], length[order]
+    same = words[1:] == words[:-1]
+    common = np.where(same.all(axis=1), words.shape[1], same.argmin(axis=1))
+    common = np.minimum(common, np.minimum(length[1:], length[:-1]))
+    common[head[1:] != head[:-1]] = -1
+    return order, np.concatenate(([-1], common))
+
+
+def _runs(order, common, least):
+    """A number per row, the same for rows between which all neighbours share ``least`` words."""
+    run = np.empty(len(order), np.int64)
+    run[order] = np.cumsum(common < least)
+    return run
+
+
 def _compare(min_words, gap):
     """Spans that repeat an earlier document's, from rows sorted by head.
 
-    All windows of the batch are sorted; a window equal to its neighbour's belongs to the
-    document that comes first, and every other document's occurrence is a repeat.
+    Two occurrences hold the same window that begins o words before the position if they share
+    o words to the left and the rest to the right: if they are in one run of either order. Of
+    the occurrences in both runs the document that comes first owns the window, and every other
+    document's occurrence is a repeat.
     """
 
     def spans(frame):
-        hashes, inside = _windows(frame, min_words, gap)
-        row, offset = np.nonzero(inside)
-        key, doc = hashes[row, offset], frame["doc_id"][row]
-        order = np.lexsort((doc, key))
-        row, offset, key, doc = row[order], offset[order], key[order], doc[order]
-        new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
-        owner = doc[new][np.cumsum(new) - 1]
-        again = doc != owner
-        row, offset, owner = row[again], offset[again], owner[again]
+        head, docs, left, right = frame["head"], frame["doc_id"], frame["left"], frame["right"]
+        after, before = _around(frame, min_words, gap)
+        to_right, to_left = _neighbours(head, after, right), _neighbours(head, before, left)
+        rows, offsets, owners = [], [], []
+        for o in range(gap):
+            row = np.flatnonzero((left >= o) & (right >= min_words - o))
+            key = _runs(*to_right, min_words - o)[row] * (len(docs) + 1) + _runs(*to_left, o)[row]
+            order = np.lexsort((docs[row], key))
+            row, key = row[order], key[order]
+            new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+            owner = docs[row][new][np.cumsum(new) - 1]
+            again = docs[row] != owner
+            rows.append(row[again])
+            owners.append(owner[again])
+            offsets.append(np.full(int(again.sum()), o))
+        row, owner, offset = (np.concatenate(part) for part in (rows, owners, offsets))
         start = frame["place"][row].astype(np.int64) - offset
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (frame["doc_id"][row], frame["variant"][row], start, start + min_words, owner)],
+            [pa.array(x) for x in (docs[row], frame["variant"][row], start, start + min_words, owner)],
             schema=_SPANS,
         )
 
@@ -307,7 +354,8 @@ def _text_spans(documents, repeated, min_words, gap, group):
     once = docs.join(repeated, "doc_id", "left_anti").withColumn("variant", F.lit(0).cast("long"))
     docs = once.unionByName(several.dropDuplicates(["doc_id", "variant"]))
     heads = docs.mapInArrow(_heads(min_words, gap), "head long, doc_id long, variant long, place int")
-    shared = heads.groupBy("head").agg(F.count("*").alias("copies")).filter("copies > 1")
+    # Read from a table, so that Spark can split the suffixes of a hot head in the join.
+    shared = staged(heads.groupBy("head").agg(F.count("*").alias("copies")).filter("copies > 1"), "shared-heads")
     places = (
         heads.join(shared, "head")
         .groupBy("doc_id", "variant")
