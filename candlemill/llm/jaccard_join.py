@@ -240,8 +240,13 @@ def _forest(n, pairs):
             yield i, j
 
 
-def _verify(percent):
-    """Links between two blocks of a group, as many as keep linked documents connected."""
+def _verify(percent, count):
+    """Links between two blocks of a group, as many as keep linked documents connected.
+
+    With ``count``, also how many rows each set is linked to in this cell (as ``a``, ``n``); a
+    pair of sets that meets in several groups counts in the first of them, which the members'
+    ``earlier`` groups tell.
+    """
 
     def linked(common, a, b):
         return 100 * common >= percent * (a + b - common)
@@ -250,20 +255,28 @@ def _verify(percent):
         ids = frame["set_id"].to_numpy()
         sets = [np.frombuffer(x, _U) for x in frame["shingles"]]
         sides = frame["side"].to_numpy()
-        if len(ids) == 2:
+        if len(ids) == 2 and not count:
             common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-            return [(ids[0], ids[1])] if linked(common, len(sets[0]), len(sets[1])) else []
+            return ([(ids[0], ids[1])] if linked(common, len(sets[0]), len(sets[1])) else []), []
         # Side 2 marks the only block of a pair of a block with itself.
         left, right = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
         if not len(left) or not len(right):
-            return []
+            return [], []
         sizes = np.array([len(s) for s in sets], float)
         common = _shared([sets[i] for i in left], [sets[i] for i in right])
         joint = sizes[left][:, None] + sizes[right][None, :] - common
-        rows, columns = np.nonzero(100 * common >= percent * joint)
-        a, b = left[rows], right[columns]
-        keep = a != b
-        return [(ids[i], ids[j]) for i, j in _forest(len(ids), zip(a[keep], b[keep]))]
+        near = (100 * common >= percent * joint) & (left[:, None] != right[None, :])
+        rows, columns = np.nonzero(near)
+        links = [(ids[i], ids[j]) for i, j in _forest(len(ids), zip(left[rows], right[columns]))]
+        if not count or not len(rows):
+            return links, []
+        earlier = [np.asarray(x, np.int64) for x in frame["earlier"]]
+        near &= _shared([earlier[i] for i in left], [earlier[i] for i in right]) == 0
+        copies = frame["copies"].to_numpy()
+        counts = list(zip(ids[left], near @ copies[right]))
+        if sides[0] != 2:
+            counts += zip(ids[right], near.T @ copies[left])
+        return links, [(i, n) for i, n in counts if n]
 
     def run(batches):
         """Rows come sorted by cell; a cell may go on in the next batch."""
@@ -275,17 +288,16 @@ def _verify(percent):
             cells = frame[["hub", "i", "j"]].to_numpy()
             cuts = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
             bounds = [0, *cuts]
-            found = [p for a, b in zip(bounds, cuts) for p in pairs_of(frame.iloc[a:b]) if b - a > 1]
+            yield _found([pairs_of(frame.iloc[a:b]) for a, b in zip(bounds, cuts) if b - a > 1])
             rest = frame.iloc[bounds[-1] :]
-            yield _links(found)
         if rest is not None and len(rest) > 1:
-            yield _links(pairs_of(rest))
+            yield _found([pairs_of(rest)])
 
-    def _links(found):
-        a, b = zip(*found) if found else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-        )
+    def _found(cells):
+        rows = [(a, b, None) for links, _ in cells for a, b in links]
+        rows += [(a, None, n) for _, counts in cells for a, n in counts]
+        a, b, n = zip(*rows) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], names=["a", "b", "n"])
 
     return run
 
@@ -335,11 +347,12 @@ def _cells(members):
 
 def near_sets(documents, n=3, percent=90):
     """Links documents whose sets of ``n``-word shingles have a Jaccard index of
-    ``percent`` / 100 or more, and names the connected classes.
+    ``percent`` / 100 or more, names the connected classes and counts the links.
 
     Takes ``doc_id`` (long) and ``text``; other columns are ignored. Words are runs other
-    than ASCII white space, A-Z lower-cased. Returns ``(doc_id, n_shingles, component_id)``,
-    a row per input row; ``component_id`` is the least ``doc_id`` of the class.
+    than ASCII white space, A-Z lower-cased. Returns ``(doc_id, n_shingles, component_id,
+    n_links)``, a row per input row; ``component_id`` is the least ``doc_id`` of the class,
+    ``n_links`` the number of other rows that the row is linked to itself.
 
     * NULL, empty and blank texts: no shingles, linked with nothing.
     * Fewer than ``n`` words: the whole sequence is the one shingle.
@@ -348,12 +361,12 @@ def near_sets(documents, n=3, percent=90):
     * Different texts under one ``doc_id`` are linked each by its own set.
     * An empty table gives an empty result.
     """
-    return near_texts(documents, n, percent).drop("text_id")
+    return near_texts(documents, n, percent, count=True).drop("text_id")
 
 
-def near_texts(documents, n, percent):
+def near_texts(documents, n, percent, count=False):
     """``near_sets`` with ``text_id``, the text's ``xxhash64``, which tells rows of one
-    ``doc_id`` apart."""
+    ``doc_id`` apart, and with ``n_links`` only if asked to ``count``."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("text_id", F.xxhash64("text"))
     sketches = staged(
@@ -376,18 +389,36 @@ def near_texts(documents, n, percent):
     met = (F.col("text_id") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_doc"))
     texts = docs.join(stand_ins, met).select("set_id", "text")
     sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary").dropDuplicates(["set_id"])
-    cells = _cells(members).join(sets, "set_id").select("hub", "i", "j", "side", "set_id", "shingles")
-    cells = cells.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-    links = cells.mapInArrow(_verify(percent), "a long, b long")
-    classes = connected(links).select(F.col("node").alias("set_id"), F.col("component").alias("class"))
+    cells = _cells(members).join(sets, "set_id")
+    told = ["hub", "i", "j", "side", "set_id", "shingles"]
+    if count:
+        # A set is in at most as many groups as it has hashes.
+        groups = members.groupBy("set_id").agg(F.collect_list("hub").alias("hubs"))
+        copies = sketches.groupBy("set_id").agg(F.count("*").alias("copies"))
+        cells = cells.join(groups, "set_id").join(copies, "set_id")
+        cells = cells.withColumn("earlier", F.filter("hubs", lambda h: h < F.col("hub")))
+        told += ["earlier", "copies"]
+    cells = cells.select(*told).repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    found = cells.mapInArrow(_verify(percent, count), "a long, b long, n long")
+    found = staged(found, "verified") if count else found
+    classes = connected(found).select(F.col("node").alias("set_id"), F.col("component").alias("class"))
     named = (
         sketches.filter("set_id IS NOT NULL")
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("doc_id"))
+        .agg(F.min("doc_id").alias("doc_id"), (F.count("*") - 1).alias("n_links"))
         .join(classes, "set_id", "left")
         .withColumn("class", F.coalesce("class", "set_id"))
     )
+    if count:
+        others = found.filter("n IS NOT NULL").groupBy(F.col("a").alias("set_id")).agg(F.sum("n").alias("n"))
+        named = named.join(others, "set_id", "left").withColumn("n_links", F.col("n_links") + F.coalesce("n", F.lit(0)))
     least = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    of_set = staged(named.join(least, "class").select("set_id", "component_id"), "classes")
+    of_set = staged(named.join(least, "class").select("set_id", "component_id", "n_links"), "classes")
     rows = sketches.select("doc_id", "text_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
-    return rows.select("doc_id", "text_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    rows = rows.withColumns(
+        {
+            "component_id": F.coalesce("component_id", "doc_id"),
+            "n_links": F.coalesce("n_links", F.lit(0).cast("long")),
+        }
+    )
+    return rows.select("doc_id", "text_id", "n_shingles", "component_id", *(["n_links"] if count else []))

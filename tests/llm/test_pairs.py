@@ -63,22 +63,24 @@ def test_near_sets(spark, texts, monkeypatch, n, percent, block):
             i = root[i]
         return i
 
+    rows = [*range(len(sets)), 1, 4, 12]  # those of the union below
+    links = [0] * len(sets)
     for i, a in enumerate(sets):
-        for j in range(i):
-            b = sets[j]
+        for j, b in enumerate(sets):
             if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
+                links[i] += rows.count(j)
     docs = frame(spark, texts)
     same = docs.filter("doc_id IN (1, 4)")  # repeated rows
     nameless = docs.filter("doc_id = 12").withColumn("doc_id", F.lit(None).cast("long"))
     got = jaccard_join.near_sets(docs.union(same).union(nameless), n, percent).collect()
     assert len(got) == len(texts) + 3
     for r in got:
-        if r.doc_id is None:
-            assert r.component_id == find(12)
-        else:
-            assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), find(r.doc_id))
+        at = 12 if r.doc_id is None else r.doc_id
+        assert (r.n_shingles, r.component_id) == (len(sets[at]), find(at))
+        assert r.n_links == max(links[at] - 1, 0)  # not to itself
+    assert max(links) > 9
 
 
 def test_near_sets_of_two_texts_under_one_id(spark):
