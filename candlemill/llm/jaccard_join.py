@@ -322,18 +322,20 @@ def _candidates(said):
     return rows.join(hubs.hint("shuffle_hash"), "hash").select("hub", "set_id").distinct()
 
 
-def _cells(members):
+def _placed(members):
+    """Every member with the number of blocks of its group and its own block."""
+    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    # Read from a table, so that Spark can split the members of a hot hub in the join.
+    sizes = staged(sizes, "group-sizes")
+    return members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")))
+
+
+def _cells(placed, columns):
     """Every member once for each pair of blocks it takes part in, with the pair's numbers.
 
     Two blocks meet in one cell, so a group of any size is compared in tasks of at most
     two blocks; a member goes to as many cells as its group has blocks.
     """
-    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    # Read from a table, so that Spark can split the members of a hot hub in the join.
-    sizes = staged(sizes, "group-sizes")
-    placed = members.join(sizes, "hub").withColumn(
-        "block", F.pmod(F.xxhash64("set_id"), F.col("blocks"))
-    )
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     side = F.when(F.col("other") == F.col("block"), 2).when(F.col("block") < F.col("other"), 0)
     return placed.withColumn("other", other).select(
@@ -341,7 +343,7 @@ def _cells(members):
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
         side.otherwise(1).alias("side"),
-        "set_id",
+        *columns,
     )
 
 
@@ -389,16 +391,17 @@ def near_texts(documents, n, percent, count=False):
     met = (F.col("text_id") == F.col("of_text")) & F.col("doc_id").eqNullSafe(F.col("of_doc"))
     texts = docs.join(stand_ins, met).select("set_id", "text")
     sets = texts.mapInArrow(_whole_sets(n), "set_id long, shingles binary").dropDuplicates(["set_id"])
-    cells = _cells(members).join(sets, "set_id")
-    told = ["hub", "i", "j", "side", "set_id", "shingles"]
+    # Joined as members, before they go to cells.
+    placed = _placed(members).join(sets, "set_id")
+    told = ["set_id", "shingles"]
     if count:
         # A set is in at most as many groups as it has hashes.
         groups = members.groupBy("set_id").agg(F.collect_list("hub").alias("hubs"))
         copies = sketches.groupBy("set_id").agg(F.count("*").alias("copies"))
-        cells = cells.join(groups, "set_id").join(copies, "set_id")
-        cells = cells.withColumn("earlier", F.filter("hubs", lambda h: h < F.col("hub")))
+        placed = placed.join(groups, "set_id").join(copies, "set_id")
+        placed = placed.withColumn("earlier", F.filter("hubs", lambda h: h < F.col("hub")))
         told += ["earlier", "copies"]
-    cells = cells.select(*told).repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+    cells = _cells(placed, told).repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
     found = cells.mapInArrow(_verify(percent, count), "a long, b long, n long")
     found = staged(found, "verified") if count else found
     classes = connected(found).select(F.col("node").alias("set_id"), F.col("component").alias("class"))
