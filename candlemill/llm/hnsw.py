@@ -7,7 +7,9 @@ and returns its nearest rows, and the nearest of all shards are kept. Largest in
 becomes nearest neighbour by one more component, which gives all stored vectors of a shard the
 same length; queries have 0 there. Scores come from the original vectors in double precision.
 
-All nodes of a batch walk the graph in step, so each step is a few array operations.
+All nodes of a batch walk the graph in step, so each step is a few array operations. A step
+opens several nodes of each beam and compares only neighbours not seen before; reverse links
+sort out a node's list only when it is full. Both keep the work on a row small as shards fill.
 
 Edge cases: rows whose vector is NULL, empty, zero or holds a NULL or non-finite component take
 no part, nor do rows without ``vec_id``, which nothing could name. Copies of a vector share a
@@ -34,6 +36,9 @@ SHARDS = 8
 LINKS = 16
 BEAM_BUILD = 64
 BEAM_SEARCH = 96
+#: Nodes of a beam opened in one step of a walk, and pairs compared at once.
+OPENED = 8
+PAIRS = 1024
 #: Nodes or queries that walk together, and nodes whose first links come from all others.
 BATCH = 512
 SEED_NODES = 1024
@@ -50,6 +55,13 @@ def _top(ids, sims, count):
     return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
 
+def _first(values):
+    """Where a value of a sorted array differs from the one before."""
+    fresh = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    return fresh
+
+
 class Graph:
     """Layers over unit-length-like ``points``; node numbers are places in ``points``.
 
@@ -74,6 +86,14 @@ class Graph:
         sims[ids < 0] = -np.inf
         return sims
 
+    def _pair_sims(self, rows, row, ids):
+        """Similarity of ``rows[row]`` to ``points[ids]``, in parts that stay in the cache."""
+        sims = np.empty(len(row), np.result_type(rows, self.points))
+        for i in range(0, len(row), PAIRS):
+            part = slice(i, i + PAIRS)
+            np.einsum("ij,ij->i", rows.take(row[part], 0), self.points.take(ids[part], 0), out=sims[part])
+        return sims
+
     def _spread(self, ids, sims, count):
         """At most ``count`` of the candidates, sorted best first, that point apart.
 
@@ -82,10 +102,11 @@ class Graph:
         between = self.points[ids]
         between = np.matmul(between, between.transpose(0, 2, 1))
         free = ids >= 0
-        chosen = np.zeros_like(free)
+        chosen, taken = np.zeros_like(free), np.zeros(len(ids), np.int64)
         for j in range(ids.shape[1]):
-            take = free[:, j] & (chosen.sum(axis=1) < count)
+            take = free[:, j] & (taken < count)
             chosen[:, j] = take
+            taken += take
             free &= ~(take[:, None] & (between[:, j] > sims))
         rank = np.where(chosen, 0, np.where(ids >= 0, 1, 2)) * ids.shape[1] + np.arange(ids.shape[1])
         order = np.argsort(rank, axis=1)[:, :count]
@@ -107,31 +128,38 @@ class Graph:
             ids = np.pad(ids, ((0, 0), (0, more)), constant_values=-1)
             sims = np.pad(sims, ((0, 0), (0, more)), constant_values=-np.inf)
         done = ids < 0
-        active = np.arange(count)
-        while len(active):
-            first = np.argmin(done[active], axis=1)
-            open_ = ~done[active, first]
-            active, first = active[open_], first[open_]
-            if not len(active):
+        active, flat_seen = np.arange(count), seen.reshape(-1)
+        kind = np.int32 if seen.size < 1 << 31 else np.int64
+        while True:
+            some = ~done[active]
+            some &= np.cumsum(some, axis=1, dtype=np.int32) <= OPENED
+            row, col = np.nonzero(some)
+            if not len(row):
                 break
-            done[active, first] = True
-            near = layer[ids[active, first]]
-            new = ~seen[active[:, None], near]
-            near = np.where(new, near, -1)
-            seen[active[:, None], near] = True
-            near_sims = self._sims(rows[active], near)
+            row, active = active[row], active[some.any(axis=1)]
+            done[row, col] = True
+            # An absent neighbour (-1) falls on the last place of the row before.
+            near = ((row * (reach + 1)).astype(kind)[:, None] + layer[ids[row, col]]).ravel()
+            near = np.sort(near[~flat_seen[near]])
+            near = near[_first(near)]
+            flat_seen[near] = True
+            row, near = np.divmod(near, reach + 1)
+            near_sims = self._pair_sims(rows, row, near)
             # Only what beats the worst of a beam can enter it.
-            enters = near_sims > sims[active, -1][:, None]
-            some = enters.any(axis=1)
-            if not some.any():
+            enters = near_sims > sims[row, -1]
+            if not enters.any():
                 continue
-            to = active[some]
-            near, near_sims = near[some], np.where(enters[some], near_sims[some], -np.inf)
-            all_ids = np.concatenate([ids[to], near], axis=1)
-            all_sims = np.concatenate([sims[to], near_sims], axis=1)
-            all_done = np.concatenate([done[to], ~enters[some]], axis=1)
-            best = np.argpartition(-all_sims, width - 1, axis=1)[:, :width]
-            best = np.take_along_axis(best, np.argsort(-np.take_along_axis(all_sims, best, 1), axis=1), 1)
+            row, near, near_sims = row[enters], near[enters], near_sims[enters]
+            fresh = _first(row)
+            to, begins = row[fresh], np.flatnonzero(fresh)
+            at = np.cumsum(fresh) - 1
+            place = width + np.arange(len(row)) - begins[at]
+            shape = len(to), int(place.max()) + 1
+            all_ids, all_sims = np.full(shape, -1, np.int64), np.full(shape, -np.inf, sims.dtype)
+            all_done = np.ones(shape, bool)
+            all_ids[:, :width], all_sims[:, :width], all_done[:, :width] = ids[to], sims[to], done[to]
+            all_ids[at, place], all_sims[at, place], all_done[at, place] = near, near_sims, False
+            best = np.argsort(-all_sims, axis=1)[:, :width]
             ids[to] = np.take_along_axis(all_ids, best, 1)
             sims[to] = np.take_along_axis(all_sims, best, 1)
             done[to] = np.take_along_axis(all_done, best, 1)
@@ -180,6 +208,11 @@ class Graph:
         order = np.argsort(to, kind="stable")
         to, back = to[order], back[order]
         place = np.arange(len(to)) - np.searchsorted(to, to)
+        # Links fill a list from its start; a node with room for all of them just takes them.
+        held = (layer[to] >= 0).sum(axis=1)
+        fits = held + np.searchsorted(to, to, side="right") - np.searchsorted(to, to) <= room
+        layer[to[fits], (held + place)[fits]] = back[fits]
+        to, back, place = to[~fits], back[~fits], place[~fits]
         for turn in range(0, int(place.max(initial=-1)) + 1, room):
             now = (place >= turn) & (place < turn + room)
             nodes, row = np.unique(to[now], return_inverse=True)
@@ -234,7 +267,7 @@ class Shard:
         row, col = np.nonzero(nodes >= 0)
         node = nodes[row, col]
         score = np.concatenate(
-            [(queries[row[i : i + 65_536]] * self.vectors[node[i : i + 65_536]]).sum(axis=1) for i in range(0, len(row), 65_536)]
+            [(queries[row[i : i + PAIRS]] * self.vectors[node[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(row), PAIRS)]
             or [np.zeros(0)]
         )
         times = self.copies[node]

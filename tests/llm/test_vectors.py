@@ -151,6 +151,37 @@ def test_nearest_with_queries_of_their_own(spark):
     assert [i for i, _ in got[500]] == [i for i, _ in want[500]]
 
 
+def test_graph_compares_a_pair_once_and_sorts_out_only_full_lists(monkeypatch):
+    """A walk leaves out neighbours it has seen, and a list with room takes reverse links as they are."""
+    work = {"compared": 0, "sorted": 0}
+
+    def counted(name, kind, size):
+        plain = getattr(hnsw.Graph, name, None)
+
+        def run(graph, *args):
+            work[kind] += size(*args)
+            return plain(graph, *args)
+
+        monkeypatch.setattr(hnsw.Graph, name, run, raising=False)
+
+    counted("_sims", "compared", lambda rows, ids: ids.size)
+    counted("_pair_sims", "compared", lambda rows, row, ids: len(ids))
+    counted("_spread", "sorted", lambda ids, sims, count: len(ids))
+    x = vectors(11, 4000, 12, spread=False).astype(np.float32)
+    graph = hnsw.Graph(x)
+    assert work["compared"] < 1200 * len(x) and work["sorted"] < 4 * len(x)
+    work["compared"] = 0
+    found = graph.search(x[::10], 96)
+    assert work["compared"] < 1700 * len(found)
+    want = np.argsort(-(x[::10] @ x.T), axis=1)[:, :20]
+    assert sum(len(set(f[:20]) & set(w)) for f, w in zip(found, want)) > 0.95 * want.size
+    for layer in graph.layers:
+        for node, links in enumerate(layer):
+            kept = links[links >= 0]
+            assert len(set(kept)) == len(kept) and node not in kept
+            assert (links[len(kept) :] == -1).all()
+
+
 # --- hard negatives ----------------------------------------------------------
 
 
